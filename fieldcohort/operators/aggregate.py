@@ -119,8 +119,9 @@ def rate_by(df: DataFrame, key: Column | str, cond: Column, name: str, digits: i
 
 def with_total(df: DataFrame, value: str, total: str, by: Sequence[str] = ()) -> DataFrame:
     """Attach the sum of ``value`` over all rows or per group."""
-    sums = df.groupBy(*by).agg(F.sum(value).alias(total))
-    return df.join(sums, list(by), "left") if by else df.join(F.broadcast(sums))
+    if not by:
+        return df.withColumn(total, df.agg(F.sum(value)).scalar())
+    return df.join(df.groupBy(*by).agg(F.sum(value).alias(total)), list(by), "left")
 
 
 def distribution(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -368,8 +369,13 @@ def indicator_rows(row: DataFrame, names: Sequence[str], keep: Sequence[str] = (
 def alert_summary(df: DataFrame, cond: Column, office: str) -> DataFrame:
     """Alert rows per office with the overall count and number of offices."""
     per_office = _known(df.where(cond), office).groupBy(office).agg(F.count(F.lit(1)).alias("n"))
-    overall = per_office.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("n_offices"))
-    return per_office.join(F.broadcast(overall)).withColumn("has_alert", F.col("total") > 0)
+    return per_office.withColumns(
+        {
+            "total": per_office.agg(F.sum("n")).scalar(),
+            "n_offices": per_office.agg(F.count(F.lit(1))).scalar(),
+            "has_alert": F.col("n") > 0,
+        }
+    )
 
 
 def active_units(df: DataFrame, unit: str, day: str, start, end, present: Column) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import due_date, episode_start
 from ..functions.nulls import as_date, yes_no
+from ..functions.text import decode
 from .clean import quoted, select_existing
 from .latest import latest_per_key
 
@@ -196,8 +197,8 @@ def status_partition(
     """
     tagged = [d.select(F.col(key), F.lit(i).alias("_rank")) for i, (_, d) in enumerate(classes)]
     ranks = reduce(DataFrame.unionByName, tagged).groupBy(key).agg(F.min("_rank").alias("_rank"))
-    label = F.element_at(F.array(*[F.lit(n) for n, _ in classes]), F.col("_rank") + 1)
-    return df.join(ranks, key, "left").withColumn(out, F.coalesce(label, F.lit(rest))).drop("_rank")
+    label = decode("_rank", {i: name for i, (name, _) in enumerate(classes)}, rest)
+    return df.join(ranks, key, "left").withColumn(out, label).drop("_rank")
 
 
 def canonical_id(linked: str, own: str) -> Column:

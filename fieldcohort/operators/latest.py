@@ -135,10 +135,6 @@ def set_difference_ids(df: DataFrame, key: str, *excluded: DataFrame) -> DataFra
 
 
 def append_newer_than(base: DataFrame, full: DataFrame, day: str) -> DataFrame:
-    """Base rows plus the rows created after the newest base row.
-
-    The broadcast side is one aggregated row.
-    """
-    newest = base.agg(F.max(quoted(day)).alias("_newest"))
-    newer = full.join(F.broadcast(newest), quoted(day) > F.col("_newest"), "inner").drop("_newest")
-    return base.unionByName(newer.select(*base.columns))
+    """Base rows plus the rows created after the newest base row."""
+    newest = base.agg(F.max(quoted(day))).scalar()
+    return base.unionByName(full.where(quoted(day) > newest).select(*base.columns))
