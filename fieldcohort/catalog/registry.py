@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 AS_OF = "2001-12-01"
 EVENTS_AS_OF = "2024-01-31"
 
-MODULES = ("io", "clean", "filters", "joins", "aggregates", "latest", "scalars")
+MODULES = ("io", "clean", "filters", "joins", "aggregates", "latest", "scalars", "cohorts", "linkage", "streams")
 
 _QUERIES: dict[str, Callable[["Tables"], DataFrame]] = {}
 _SQL: dict[str, str] = {}
