@@ -6,11 +6,17 @@ an exact filter.
 
 from __future__ import annotations
 
+import sys
 from difflib import SequenceMatcher
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Executors get these functions with the task and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def sequence_score(a: str, b: str, floor: float = 0.0) -> float:
@@ -62,12 +68,12 @@ def token_set_score(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else sequence_score(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")
 
@@ -75,7 +81,7 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def lowest_sequence_ratio(left: Column, right: Column, floor: float) -> Column:
     """Smallest ratio over the paired texts of two arrays; stops under ``floor``."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def lowest(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for xs, ys in zip(a, b):

@@ -37,7 +37,7 @@ def load_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
-def _paths(spark: SparkSession, pattern: str) -> DataFrame | None:
+def list_paths(spark: SparkSession, pattern: str) -> DataFrame | None:
     """File paths under a pattern, listed without reading any content."""
     try:
         return spark.read.format("binaryFile").load(pattern).select("path")
@@ -49,7 +49,7 @@ def _paths(spark: SparkSession, pattern: str) -> DataFrame | None:
 
 def latest_date_in_names(spark: SparkSession, pattern: str, name: str, as_of: str | date) -> date | None:
     """Newest date, not after ``as_of``, that follows ``name`` in the file paths."""
-    paths = _paths(spark, pattern)
+    paths = list_paths(spark, pattern)
     if paths is None:
         return None
     plain = F.url_decode("path")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_per_key
-from ..sources.tables import _paths
+from ..sources.tables import list_paths
 
 
 def read_arriving(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -78,8 +78,8 @@ def stream_alerts(rows: DataFrame, cond: Column, out: str, checkpoint: str) -> N
 
 
 def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Newest complete version number below a snapshot folder."""
-    paths = _paths(spark, f"{path}/version=*/_SUCCESS")
+    """Newest version number below a snapshot folder."""
+    paths = list_paths(spark, f"{path}/version=*/*.parquet")
     if paths is None:
         return None
     number = F.regexp_extract("path", r"version=(\d+)", 1).cast("long")
