@@ -201,9 +201,9 @@ def service_sources(t: Tables):
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_returnflag")
     shipped = lines.join(orders.select("o_orderkey", "c_custkey"), "o_orderkey")
     return {
-        "orders": (orders, "o_orderdate"),
-        "lines": (shipped, "l_shipdate"),
-        "returns": (shipped.where("l_returnflag = 'R'"), "l_shipdate"),
+        "orders": (orders, "o_orderdate", None),
+        "lines": (shipped, "l_shipdate", None),
+        "returns": (shipped, "l_shipdate", F.col("l_returnflag") == "R"),
     }
 
 

@@ -27,11 +27,25 @@ def _known(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def with_margin(counts: DataFrame, name: str) -> DataFrame:
+    """Add a total row over all measures of a grouped table.
+
+    The grouped rows are rolled up, so the detail is neither read twice nor
+    expanded.
+    """
+    measures = [c for c in counts.columns if c != name]
+    rolled = counts.rollup(quoted(name)).agg(
+        F.grouping(name).alias("_g"), *[F.coalesce(F.sum(quoted(c)), F.lit(0)).alias(c) for c in measures]
+    )
+    label = F.when(F.col("_g") == 1, TOTAL).otherwise(quoted(name))
+    return rolled.select(label.alias(name), *[quoted(c) for c in measures])
+
+
 def count_by(df: DataFrame, col: str, total: bool = True) -> DataFrame:
     """Group sizes, largest first, with the grand total as one more row."""
     counts = _known(df, col).groupBy(quoted(col).cast("string").alias(col)).agg(F.count(F.lit(1)).alias("n"))
     if total:
-        counts = counts.unionByName(counts.agg(F.lit(TOTAL).alias(col), F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+        counts = with_margin(counts, col)
     return counts.orderBy(F.col("n").desc(), F.col(col))
 
 
@@ -164,14 +178,19 @@ def time_bucket_counts(df: DataFrame, col: str, unit: str) -> DataFrame:
     return counts.select("bucket", label.alias("label"), "n").orderBy("bucket")
 
 
-def density_fill_buckets(df: DataFrame, col: str, unit: str = "day") -> DataFrame:
-    """Counts per bucket from first to last, empty buckets as 0."""
-    counts = _known(df, col).groupBy(time_bucket(quoted(col), unit).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+def fill_buckets(counts: DataFrame, unit: str) -> DataFrame:
+    """Add the empty buckets between the first and the last as 0."""
     span = counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where("lo is not null")
     every = span.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval 1 {unit}"))).alias("bucket"))
     return every.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n")).orderBy("bucket")
 
 
+def density_fill_buckets(df: DataFrame, col: str, unit: str = "day") -> DataFrame:
+    """Counts per bucket from first to last, empty buckets as 0."""
+    counts = _known(df, col).groupBy(time_bucket(quoted(col), unit).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return fill_buckets(counts, unit)
+
+
 def crosstab(
     df: DataFrame,
     row: Column,
@@ -186,8 +205,8 @@ def crosstab(
 ) -> DataFrame:
     """Rows by columns with counts (or a summed measure) and totals.
 
-    One grouped pass over (row) with one conditional aggregate per declared
-    column; the total row comes from a grouping set of the same pass.
+    One grouped pass over the rows with one conditional aggregate per declared
+    column; the total row is rolled up from its result.
     """
     base = df.select(row.cast("string").alias(row_name), quoted(col).alias("_col"),
                      (F.lit(1) if measure is None else measure).alias("_m")).where(
@@ -196,11 +215,9 @@ def crosstab(
     names = {v: safe_name(v) for v in values}
     aggs = [F.coalesce(F.sum(F.when(F.col("_col") == F.lit(v), F.col("_m"))), F.lit(0)).alias(n) for v, n in names.items()]
     aggs.append(F.coalesce(F.sum("_m"), F.lit(0)).alias("total"))
+    body = base.groupBy(row_name).agg(*aggs)
     if margins:
-        body = base.rollup(row_name).agg(F.grouping(row_name).alias("_g"), *aggs)
-        body = body.withColumn(row_name, F.when(F.col("_g") == 1, TOTAL).otherwise(F.col(row_name))).drop("_g")
-    else:
-        body = base.groupBy(row_name).agg(*aggs)
+        body = with_margin(body, row_name)
     if percent:
         body = body.withColumns({f"{n}_pct": safe_pct(F.col(n), F.col("total"), digits) for n in names.values()})
     return body
@@ -233,10 +250,8 @@ def pivot_margins(
     for cond in cells.values():
         known = cond if known is None else known | cond
     aggs = [F.count_if(c).alias(n) for n, c in cells.items()] + [F.count_if(known).alias("total")]
-    grouped = base.rollup(index_name) if total else base.groupBy(index_name)
-    keep = [F.grouping(index_name).alias("_g")] if total else [F.lit(0).alias("_g")]
-    out = grouped.agg(*keep, *aggs).where("total > 0")
-    return out.withColumn(index_name, F.when(F.col("_g") == 1, TOTAL).otherwise(F.col(index_name))).drop("_g")
+    body = base.groupBy(index_name).agg(*aggs).where("total > 0")
+    return with_margin(body, index_name) if total else body
 
 
 def add_found_percentage(pivot: DataFrame, found_cols: Sequence[str], digits: int = 2) -> DataFrame:
@@ -347,7 +362,7 @@ def month_wide_counts(df: DataFrame, key: str, day: str) -> DataFrame:
 def sum_by(df: DataFrame, key: str, value: Column, out: str) -> DataFrame:
     """Sum per key and the grand total as one more row."""
     sums = _known(df, key).groupBy(quoted(key).cast("string").alias(key)).agg(F.sum(value).alias(out))
-    return sums.unionByName(sums.agg(F.lit(TOTAL).alias(key), F.sum(out).alias(out)))
+    return with_margin(sums, key)
 
 
 def age_pyramid(df: DataFrame, band: Column, sex: str, sexes: Sequence) -> DataFrame:

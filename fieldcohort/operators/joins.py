@@ -143,20 +143,28 @@ def correlated_extreme(
 
 
 def presence_matrix(
-    base: DataFrame,
+    base: DataFrame | None,
     key: str,
-    sources: Mapping[str, tuple[DataFrame, str]],
+    sources: Mapping[str, tuple[DataFrame, str, Column | None]],
     periods: Mapping[str, tuple[object, object]],
 ) -> DataFrame:
     """yes/no per (source, period) and one any-source flag per period.
 
-    All sources are stacked with a tag and grouped once; the wide row is then
-    left joined to the population.
+    A source is (table, date column, row condition or None). All sources are
+    stacked with a tag and grouped once; several sources on one table are read
+    in one pass. The wide row is then left joined to the population; without
+    one, everybody a source saw in a period is listed.
     """
-    tagged = [
-        src.select(F.col(key), F.lit(name).alias("_source"), as_date(F.col(day)).alias("_day"))
-        for name, (src, day) in sources.items()
-    ]
+    shared: dict[tuple[int, str], list[str]] = {}
+    for name, (src, day, _) in sources.items():
+        shared.setdefault((id(src), day), []).append(name)
+    tagged = []
+    for (_, day), names in shared.items():
+        marks = [F.lit(n) if sources[n][2] is None else F.when(sources[n][2], F.lit(n)) for n in names]
+        src = sources[names[0]][0]
+        tag = marks[0] if len(marks) == 1 else F.explode(F.array_compact(F.array(*marks)))
+        rows = src.select(F.col(key), tag.alias("_source"), as_date(F.col(day)).alias("_day"))
+        tagged.append(rows.where(F.col("_source").isNotNull()))
     stacked = reduce(DataFrame.unionByName, tagged)
     inside = {p: F.col("_day").between(as_date(lo), as_date(hi)) for p, (lo, hi) in periods.items()}
     stacked = stacked.where(reduce(or_, inside.values()))
@@ -165,7 +173,8 @@ def presence_matrix(
     }
     cells |= {f"any_{p}": F.max(F.when(hit, True)) for p, hit in inside.items()}
     wide = stacked.groupBy(key).agg(*[c.alias(n) for n, c in cells.items()])
-    return base.join(wide, key, "left").withColumns({n: yes_no(F.col(n)) for n in cells})
+    rows = wide.where(F.col(key).isNotNull()) if base is None else base.join(wide, key, "left")
+    return rows.withColumns({n: yes_no(F.col(n)) for n in cells})
 
 
 def latest_then_flag(

@@ -51,15 +51,42 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
     return latest_per_key(df, key, order)
 
 
+HOT_KEYS = 1000
+
+
+def join_group_rows(df: DataFrame, groups: DataFrame, key: str | Sequence[str], size: str) -> DataFrame:
+    """Left join one row per group to its detail rows, whatever the group sizes.
+
+    ``size`` is the number of detail rows of a group. Groups over a thousandth
+    of all rows are at most a thousand, so they are broadcast. Their detail
+    rows skip the other join: a salt spreads them over its partitions, where
+    they meet nothing. A missing key gets nulls.
+    """
+    keys = _keys(key)
+    cols = [c for c in groups.columns if c not in keys and c != size]
+    limit = groups.agg(F.sum(size) / HOT_KEYS).scalar()
+    large = groups.where(F.col(size) > limit).select(*keys, *[quoted(c).alias(f"_hot_{c}") for c in cols], F.lit(True).alias("_hot"))
+    small = groups.where(F.col(size) <= limit).select(*keys, *cols, F.lit(0).cast("long").alias("_salt"))
+    place = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns], F.spark_partition_id()), F.lit(1 << 20)) + 1
+    marked = df.join(F.broadcast(large), keys, "left").withColumn("_salt", F.when(F.col("_hot"), place).otherwise(F.lit(0)))
+    both = marked.join(small, [*keys, "_salt"], "left")
+    return both.select(
+        *[quoted(c) for c in df.columns],
+        *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(quoted(c)).alias(c) for c in cols],
+    )
+
+
 def with_key_stats(df: DataFrame, key: str | Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     """Repeat group statistics on every row of the group.
 
-    A grouped pass and a join: the grouping is combined before its shuffle and
-    the join may be split where one key is very frequent. Keys must be set.
+    A grouped pass, combined before its shuffle, and a join that no frequent
+    key can pile up in one task; no window over a whole group.
     """
     keys = _keys(key)
-    groups = df.groupBy(*[quoted(k) for k in keys]).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(groups, keys, "left")
+    groups = df.groupBy(*[quoted(k) for k in keys]).agg(
+        *[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_size")
+    )
+    return join_group_rows(df, groups, keys, "_size")
 
 
 def count_over_key(df: DataFrame, key: str | Sequence[str], out: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.similarity import lowest_sequence_ratio, token_set_ratio
 from ..functions.text import normalize_text
 from ..session import cut_lineage
 from .clean import quoted, require_columns
-from .latest import dedupe_keep, latest_per_key
+from .latest import dedupe_keep, join_group_rows, latest_per_key
 
 MODES = ("uniques", "duplicates", "all")
 GROUP_ID, GROUP_SIZE = "duplicate_group_id", "duplicate_group_size"
@@ -69,8 +69,8 @@ def exact_duplicate_groups(df: DataFrame, cols: Sequence[str], mode: str = "dupl
     _check(df, cols, mode)
     keyed = df.withColumn("_k", F.sha2(F.concat_ws("\x1f", *[compare_text(c) for c in cols]), 256))
     repeated = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
-    numbered = number_densely(repeated, "_k", GROUP_ID)
-    out = keyed.join(numbered, "_k", "left").drop("_k")
+    numbered = number_densely(repeated, "_k", GROUP_ID).withColumn("_size", F.col(GROUP_SIZE))
+    out = join_group_rows(keyed, numbered, "_k", "_size").drop("_k")
     return _pick(
         out.withColumns({GROUP_ID: F.coalesce(GROUP_ID, F.lit(0)), GROUP_SIZE: F.coalesce(GROUP_SIZE, F.lit(1))}),
         mode,
@@ -282,8 +282,8 @@ def fuzzy_duplicate_groups(
     grouped = values.join(roots, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
     sizes = grouped.groupBy("root").agg(F.sum("n").alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
     numbered = number_densely(sizes.withColumn("_h", F.sha2(F.col("root").cast("string"), 256)), "_h", GROUP_ID)
-    by_value = grouped.select(F.col("texts").alias("_texts"), "root").join(numbered.drop("_h"), "root", "left").drop("root")
-    out = rows.join(by_value, "_texts", "left").drop("_texts")
+    by_value = grouped.select(F.col("texts").alias("_texts"), "root", "n").join(numbered.drop("_h"), "root", "left").drop("root")
+    out = join_group_rows(rows, by_value, "_texts", "n").drop("_texts")
     return _pick(
         out.withColumns({GROUP_ID: F.coalesce(GROUP_ID, F.lit(0)), GROUP_SIZE: F.coalesce(GROUP_SIZE, F.lit(1))}),
         mode,

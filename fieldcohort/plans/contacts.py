@@ -97,8 +97,8 @@ def session_detail(
     ]
     detail = rows.where(filters.on_or_between("session_date", start, end))
     for keys, stats in levels:
-        groups = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-        detail = detail.join(groups, keys, "left")
+        groups = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_size"))
+        detail = latest.join_group_rows(detail, groups, keys, "_size")
     return detail.join(clubs, "id_club", "left").select(
         "person",
         "patient_code",

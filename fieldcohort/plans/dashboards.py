@@ -11,30 +11,38 @@ from ..functions.bands import safe_pct
 from ..functions.dates import PERIODS, period_bounds
 from ..functions.nulls import as_date
 from ..operators import aggregate, filters, latest
+from ..session import cut_lineage
 
 
-def dashboard_tables(
+def dashboard_pack(
     rows: DataFrame, *, day: str, office: str, agent: str, age_band: Column, start, end, top: int = 10
-) -> dict[str, DataFrame]:
-    """Trend, daily series, age distribution, agent ranking and office impact."""
-    inside = filters.between_dates(rows, day, start, end)
-    banded = inside.withColumn("band", age_band)
-    impact = inside.dropna(subset=[office]).groupBy(office).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(agent).alias("agents"))
-    return {
-        "trend": aggregate.period_compare(rows, day, start, end),
-        "daily": aggregate.density_fill_buckets(inside, day),
-        "ages": aggregate.distribution(banded, "band"),
-        "agents": latest.top_k_by_count(inside, agent, top),
-        "offices": impact,
-    }
-
-
-def dashboard_pack(rows: DataFrame, **choices) -> DataFrame:
-    """The dashboard as one long table (block, label, n, measure)."""
-    t = dashboard_tables(rows, **choices)
-    agent, office = choices["agent"], choices["office"]
-
-    def block(name: str, df: DataFrame, label, n, measure) -> DataFrame:
+) -> DataFrame:
+    """The dashboard as one long table (block, label, n, measure).
+
+    Trend against the period before, daily series without gaps, age shares,
+    agents by activity, and rows and agents per office. The detail is read
+    once: grouping sets give the counts of every block, which are written to
+    the shared folder, and the blocks are built from them.
+    """
+    lo, hi = as_date(start), as_date(end)
+    before = F.date_sub(lo, F.datediff(hi, lo) + 1)
+    both = rows.where(filters.on_or_between(day, before, hi)).select(
+        as_date(F.col(day)).alias("day"),
+        F.col(office).cast("string").alias("office"),
+        F.col(agent).alias("agent"),
+        age_band.alias("band"),
+    )
+    both = both.withColumn("now", F.col("day") >= lo)
+    sets = [[F.col(c) for c in cols] for cols in (["now"], ["now", "day"], ["now", "band"], ["now", "office", "agent"])]
+    counted = both.groupingSets(sets, "now", "day", "band", "office", "agent").agg(
+        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n")
+    )
+    counts = cut_lineage(counted, "dashboard")
+    # one bit per column that a set leaves out, in the order now day band office agent
+    overall = counts.where("set = 15")
+    days, bands, pairs = (counts.where(f"set = {s} and now") for s in (7, 11, 12))
+
+    def block(name: str, df: DataFrame, label: Column, n: Column, measure: Column) -> DataFrame:
         return df.select(
             F.lit(name).alias("block"),
             label.cast("string").alias("label"),
@@ -42,12 +50,21 @@ def dashboard_pack(rows: DataFrame, **choices) -> DataFrame:
             measure.cast("double").alias("measure"),
         )
 
+    none = F.lit(None)
+    trend = overall.agg(
+        F.coalesce(F.sum(F.when(F.col("now"), F.col("n"))), F.lit(0)).alias("c"),
+        F.coalesce(F.sum(F.when(~F.col("now"), F.col("n"))), F.lit(0)).alias("p"),
+    )
+    change = F.when(F.col("p") > 0, F.bround((F.col("c") - F.col("p")) * 100.0 / F.col("p"), 2)).otherwise(F.lit(0.0))
+    shares = aggregate.with_total(bands.where("band is not null"), "n", "t")
+    agents = pairs.where("agent is not null").groupBy("agent").agg(F.sum("n").alias("n"))
+    offices = pairs.where("office is not null").groupBy("office").agg(F.sum("n").alias("n"), F.count("agent").alias("agents"))
     return latest.union_all(
-        block("trend", t["trend"], F.lit("current"), F.col("current_n"), F.col("pct_change")),
-        block("daily", t["daily"], F.col("bucket"), F.col("n"), F.lit(None)),
-        block("ages", t["ages"], F.col("band"), F.col("n"), F.col("pct")),
-        block("agents", t["agents"], F.col(agent), F.col("n"), F.lit(None)),
-        block("offices", t["offices"], F.col(office), F.col("n"), F.col("agents")),
+        block("trend", trend, F.lit("current"), F.col("c"), change),
+        block("daily", aggregate.fill_buckets(days.select(F.col("day").alias("bucket"), "n"), "day"), F.col("bucket"), F.col("n"), none),
+        block("ages", shares, F.col("band"), F.col("n"), safe_pct(F.col("n"), F.col("t"))),
+        block("agents", agents.orderBy(F.col("n").desc(), "agent").limit(top), F.col("agent"), F.col("n"), none),
+        block("offices", offices, F.col("office"), F.col("n"), F.col("agents")),
     )
 
 

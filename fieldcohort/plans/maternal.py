@@ -21,22 +21,14 @@ from ..operators import aggregate, filters, joins, latest
 
 
 def quarter_service_presence(
-    sources: Mapping[str, tuple[DataFrame, str]], key: str, periods: Mapping[str, tuple], people: DataFrame
+    sources: Mapping[str, tuple[DataFrame, str, Column | None]], key: str, periods: Mapping[str, tuple], people: DataFrame
 ) -> DataFrame:
     """People served in any of the periods by source and period.
 
-    The base is everybody whom a source saw in one of the periods.
+    The base is everybody whom a source saw in one of the periods, which is
+    what the matrix without a population holds.
     """
-    lo = [str(a) for a, _ in periods.values()]
-    hi = [str(b) for _, b in periods.values()]
-    seen = [filters.between_dates(df, day, min(lo), max(hi)).select(key) for df, day in sources.values()]
-    base = latest.union_distinct(*seen)
-    matrix = joins.presence_matrix(base, key, sources, periods)
-    served = [F.col(f"any_{p}") == "yes" for p in periods]
-    any_period = served[0]
-    for s in served[1:]:
-        any_period = any_period | s
-    return matrix.where(any_period).join(people, key, "left")
+    return joins.presence_matrix(None, key, sources, periods).join(people, key, "left")
 
 
 def mother_mastersheet(

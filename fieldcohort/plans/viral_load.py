@@ -103,16 +103,17 @@ def pediatric_line_list(
     starts = aggregate.string_agg_by(regimes, "id_patient", F.col("start_date"), "all_arv_start_date", " | ")
     clubs = latest.latest_per_key(children_clubs, "id_patient", [F.col("club_type")]).select("id_patient", "club_type")
 
+    # one partitioning by patient serves all joins but the last
     rows = joins.left_star(
         people,
         (infants, "id_patient"),
-        (sites, "id_hospital"),
         (loads, "id_patient"),
         (visits, "id_patient"),
         (therapy, "id_patient"),
         (names, "id_patient"),
         (starts, "id_patient"),
         (clubs, "id_patient"),
+        (sites, "id_hospital"),
     )
     count, undetectable = F.col("last_load.viral_load_count"), F.col("last_load.viral_load_indetectable") == 1
     low = undetectable | (count < 1000)
