@@ -14,7 +14,10 @@ from .nulls import as_col
 
 @functools.lru_cache(maxsize=1)
 def _accent_pairs() -> tuple[str, str]:
-    """Latin letters whose decomposition is one ASCII letter plus marks."""
+    """Latin letters whose decomposition is one ASCII letter plus marks.
+
+    The marks themselves come last and have no counterpart, so they vanish.
+    """
     src, dst = [], []
     for cp in range(0xC0, 0x1F00):
         parts = unicodedata.normalize("NFKD", chr(cp))
@@ -22,20 +25,27 @@ def _accent_pairs() -> tuple[str, str]:
         if len(plain) == 1 and plain != chr(cp) and plain.isascii():
             src.append(chr(cp))
             dst.append(plain)
-    return "".join(src), "".join(dst)
+    marks = "".join(chr(cp) for cp in range(0x300, 0x370))
+    return "".join(src) + marks, "".join(dst)
 
 
 def strip_accents(c: str | Column) -> Column:
-    src, dst = _accent_pairs()
-    bare = F.regexp_replace(as_col(c), r"\p{M}+", "")
-    return F.translate(bare, src, dst)
+    return F.translate(as_col(c), *_accent_pairs())
 
 
 def normalize_text(c: str | Column, ascii_only: bool = True) -> Column:
-    """Lower case, single blanks, no accents; by default ASCII only."""
-    squeezed = F.trim(F.regexp_replace(F.lower(as_col(c)), r"(?U)\s+", " "))
-    plain = strip_accents(squeezed)
-    return F.regexp_replace(plain, r"[^\x00-\x7F]", "") if ascii_only else plain
+    """Lower case, single blanks, no accents; by default ASCII only.
+
+    Text that is ASCII already, told by its byte length, skips the costly
+    part.
+    """
+    low = F.lower(as_col(c))
+    blanks = r"\s{2,}|[^\S ]"
+    plain = F.trim(F.regexp_replace(low, blanks, " "))
+    other = strip_accents(F.trim(F.regexp_replace(low, "(?U)" + blanks, " ")))
+    if ascii_only:
+        other = F.regexp_replace(other, r"[^\x00-\x7F]+", "")
+    return F.when(F.octet_length(low) == F.length(low), plain).otherwise(other)
 
 
 def extract_digits(c: str | Column) -> Column:

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .clean import quoted
 
@@ -60,14 +61,16 @@ def join_group_rows(df: DataFrame, groups: DataFrame, key: str | Sequence[str],
     ``size`` is the number of detail rows of a group. Groups over a thousandth
     of all rows are at most a thousand, so they are broadcast. Their detail
     rows skip the other join: a salt spreads them over its partitions, where
-    they meet nothing. A missing key gets nulls.
+    they meet nothing. The salt is a hash of the row's short columns, so it is
+    the same when a task runs again. A missing key gets nulls.
     """
     keys = _keys(key)
     cols = [c for c in groups.columns if c not in keys and c != size]
     limit = groups.agg(F.sum(size) / HOT_KEYS).scalar()
     large = groups.where(F.col(size) > limit).select(*keys, *[quoted(c).alias(f"_hot_{c}") for c in cols], F.lit(True).alias("_hot"))
     small = groups.where(F.col(size) <= limit).select(*keys, *cols, F.lit(0).cast("long").alias("_salt"))
-    place = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns], F.spark_partition_id()), F.lit(1 << 20)) + 1
+    short = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)] or df.columns
+    place = F.pmod(F.xxhash64(*[quoted(c) for c in short], F.spark_partition_id()), F.lit(1 << 20)) + 1
     marked = df.join(F.broadcast(large), keys, "left").withColumn("_salt", F.when(F.col("_hot"), place).otherwise(F.lit(0)))
     both = marked.join(small, [*keys, "_salt"], "left")
     return both.select(
