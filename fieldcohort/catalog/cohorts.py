@@ -28,7 +28,7 @@ INPUTS = {
           CASE WHEN o_orderpriority < '3' THEN CAST({ORDER_DAY} + copy * 30 AS STRING) ELSE '---' END AS date_admission,
           CASE WHEN o_orderstatus = 'F' THEN CAST({ORDER_DAY} + 40 AS STRING) ELSE 'n/a' END AS approval_date,
           CAST({ORDER_DAY} + copy AS STRING) AS opened_date, CAST({ORDER_DAY} - 200 AS STRING) AS date_of_birth,
-          CASE o_orderpriority WHEN '1-URGENT' THEN 'caris_itu' WHEN '2-HIGH' THEN '---' ELSE 'community' END AS enrrolled_where,
+          CASE o_orderpriority WHEN '1-URGENT' THEN 'inpatient' WHEN '2-HIGH' THEN '---' ELSE 'community' END AS enrrolled_where,
           CASE WHEN o_totalprice > 60000 THEN '---' ELSE CAST({ORDER_DAY} + 300 AS STRING) END AS closed_date,
           CASE WHEN o_totalprice > 300000 THEN 'yes' ELSE '---' END AS has_mamba,
           CASE WHEN o_totalprice < 20000 THEN 'moved' WHEN o_totalprice < 40000 THEN NULL ELSE '---' END AS visit_reason_not_reachable,
@@ -124,8 +124,9 @@ INPUTS = {
         FROM {events} WHERE event_type IN ('error', 'purchase')""",
     # --- savings groups and gardens: a group is a customer, a member an order ---
     "savings_groups": f"""SELECT c_custkey AS caseid, c_mktsegment AS name, CASE WHEN c_nationkey < 5 THEN 'old' || CAST(c_nationkey AS STRING) ELSE 'agent' END AS username,
-          DATE '1999-01-01' + CAST(c_custkey % 900 AS INT) AS creation_date FROM {{customer}}""",
-    "active_groups": "SELECT c_custkey AS caseid FROM {customer} WHERE c_acctbal > 2000 AND c_custkey % 900 < 800",
+          first_day AS creation_date FROM {{customer}} JOIN (SELECT o_custkey, MIN({ORDER_DAY}) AS first_day FROM {{orders}} GROUP BY o_custkey) o ON o_custkey = c_custkey""",
+    "active_groups": f"""SELECT c_custkey AS caseid FROM {{customer}} JOIN (SELECT o_custkey, MIN({ORDER_DAY}) AS first_day FROM {{orders}} GROUP BY o_custkey) o
+        ON o_custkey = c_custkey WHERE c_acctbal > 2000 AND first_day < DATE '1996-01-01'""",
     "members": """SELECT o_orderkey AS caseid, o_custkey AS caseid_group, CASE WHEN o_orderstatus = 'P' THEN '2000-01-01' ELSE '---' END AS removing_date,
           o_orderpriority AS rank FROM {orders}""",
     "officers": "SELECT c_custkey AS caseid_group, 'officer ' || CAST(c_nationkey AS STRING) AS officer_name FROM {customer} WHERE c_nationkey < 20",
@@ -133,7 +134,7 @@ INPUTS = {
     "questionnaires": f"""SELECT l_orderkey AS caseid, l_returnflag AS type_ppi, {SHIP_DAY} AS date_ppi,
           l_partkey * 10 + l_linenumber AS form FROM {{lineitem}} WHERE l_quantity > 40""",
     "gardens": f"""SELECT l_orderkey AS caseid, l_linenumber AS line, l_partkey AS plot, 'agent' || CAST(l_suppkey % 20 AS STRING) AS username,
-          ' S' || CAST(l_suppkey AS STRING) || ' - site' AS caris_site, l_shipdate AS last_modified_date, l_linestatus = 'F' AS closed,
+          ' S' || CAST(l_suppkey AS STRING) || ' - site' AS site_label, l_shipdate AS last_modified_date, l_linestatus = 'F' AS closed,
           CASE WHEN l_tax < 0.05 THEN '---' ELSE '2000-01-01' END AS cycle_4_start_date,
           CASE l_returnflag WHEN 'R' THEN 'nord-ouest' WHEN 'A' THEN 'nord' END AS address_department FROM {{lineitem}}""",
     "site_info": """SELECT 'S' || CAST(s_suppkey AS STRING) AS site, 'open' AS status, CAST(s_nationkey AS STRING) AS network, n_name AS commune,
@@ -195,7 +196,7 @@ K01_COLUMNS = [
     e1 AS (SELECT * FROM e QUALIFY ROW_NUMBER() OVER (PARTITION BY caseid ORDER BY opened, d1 NULLS LAST, d2 NULLS LAST) = 1),
     e2 AS (SELECT e1.*, COALESCE(GREATEST(d1, d2), d1, d2) AS de, CASE WHEN enrrolled_where = '---' THEN 'community' ELSE enrrolled_where END AS place,
         nullif(regexp_extract(username, '[0-9]+'), '') AS eu FROM e1 LEFT JOIN screening USING (caseid)),
-    itu AS (SELECT caseid FROM e2 WHERE place = 'caris_itu' AND caseid NOT IN (SELECT caseid FROM s)),
+    itu AS (SELECT caseid FROM e2 WHERE place = 'inpatient' AND caseid NOT IN (SELECT caseid FROM s)),
     appr AS (SELECT caseid FROM e2 WHERE appr BETWEEN DATE '1998-01-01' AND DATE '2000-12-31'
         AND caseid NOT IN (SELECT caseid FROM s) AND caseid NOT IN (SELECT caseid FROM itu)),
     ids AS (SELECT caseid FROM itu UNION ALL SELECT caseid FROM appr UNION ALL SELECT caseid FROM s),
@@ -211,7 +212,7 @@ K01_COLUMNS = [
     SELECT caseid, total_visits, fv::VARCHAR AS first_visit_date, lv::VARCHAR AS last_visit_date, suivi_exists, user_mamba_suivi,
         disp AS mamba_disponible_suivi, sortie, reason AS raison_pour_la_sortie, de::VARCHAR AS date_enrollement,
         {yn("closed_date = '---' AND de BETWEEN DATE '1996-01-01' AND DATE '2001-12-01' AND disp = 'no'")} AS enroled,
-        vr AS visits_remaining, mr AS mamba_remaining, {yn("place IS DISTINCT FROM 'caris_itu' AND mr = 0 AND derniere = 0")} AS child_to_be_exited,
+        vr AS visits_remaining, mr AS mamba_remaining, {yn("place IS DISTINCT FROM 'inpatient' AND mr = 0 AND derniere = 0")} AS child_to_be_exited,
         vm AS visit_mamba, {yn('derniere = 0 AND post = 0')} AS actif
     FROM b WHERE NOT (unreach IS DISTINCT FROM '---' AND vm = 'no')""",
 )
@@ -225,6 +226,7 @@ def k01(t: Tables):
         enrolled=("1996-01-01", AS_OF),
         supplied_users=USERS,
         supplied=SUPPLIED,
+        inpatient="inpatient",
     ).select(*K01_COLUMNS)
 
 
@@ -623,7 +625,7 @@ def k17(t: Tables):
 @query(
     "k18_garden_active",
     ctes("gardens", "site_info")
-    + """SELECT caseid, line, plot, g.username, s.site, commune, network FROM (SELECT *, trim(split_part(caris_site, '-', 1)) AS site FROM gardens) g
+    + """SELECT caseid, line, plot, g.username, s.site, commune, network FROM (SELECT *, trim(split_part(site_label, '-', 1)) AS site FROM gardens) g
         LEFT JOIN site_info s ON s.site = g.site
         WHERE username IN ('agent1', 'agent3', 'agent19') AND last_modified_date >= DATE '1998-10-01' AND last_modified_date < DATE '2001-12-02'
           AND NOT closed AND cycle_4_start_date = '---' AND address_department IS DISTINCT FROM 'nord-ouest'""",

@@ -71,7 +71,7 @@ def c05(t: Tables):
     return op.open_cases(t.orders, "o_orderstatus", "O").select("o_orderkey", "o_custkey")
 
 
-_STEPS_SQL = ["c_mktsegment <> 'BUILDING'", "c_nationkey NOT IN (3, 7)", "c_acctbal BETWEEN 0 AND 8000", "c_custkey > 10"]
+_STEPS_SQL = ["c_mktsegment <> 'BUILDING'", "c_nationkey NOT IN (3, 7)", "c_acctbal BETWEEN 0 AND 8000", "c_acctbal NOT BETWEEN 4000 AND 4500"]
 
 
 def _steps():
@@ -79,7 +79,7 @@ def _steps():
         ("not building", F.col("c_mktsegment") != "BUILDING"),
         ("nation", ~F.col("c_nationkey").isin(3, 7)),
         ("balance", F.col("c_acctbal").between(0, 8000)),
-        ("registered later", F.col("c_custkey") > 10),
+        ("settled", ~F.col("c_acctbal").between(4000, 4500)),
     ]
 
 
@@ -96,7 +96,7 @@ def c06(t: Tables):
     "SELECT 0 AS step, 'initial' AS name, COUNT(*) AS rows_left FROM customer "
     + " ".join(
         f"UNION ALL SELECT {i}, '{n}', COUNT(*) FROM customer WHERE {' AND '.join(_STEPS_SQL[:i])}"
-        for i, n in enumerate(["not building", "nation", "balance", "registered later"], start=1)
+        for i, n in enumerate(["not building", "nation", "balance", "settled"], start=1)
     ),
 )
 def c06_attrition(t: Tables):

@@ -154,6 +154,25 @@ def _probes(text: Column, length: Column, t: float) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.sequence(shortest, length), per_length)))
 
 
+PART_ROWS = 20_000
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join on a key of candidates with frequent keys cut in parts.
+
+    A key with more than ``PART_ROWS`` right rows is cut by a hash of
+    ``spread`` and its left rows are sent to every part, so no task meets a
+    whole frequent key.
+    """
+    sizes = right.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.withColumn("_parts", F.ceil(F.col("_size") / PART_ROWS).cast("int"))
+    placed = join_group_rows(right, sizes, key, "_size")
+    placed = placed.withColumn("_part", F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int")).drop("_parts")
+    sent = join_group_rows(left, sizes, key, "_size").where("_parts is not null")
+    sent = sent.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return sent.join(placed, [key, "_part"]).drop("_part")
+
+
 def similar_lengths(la: Column, lb: Column, t: float) -> Column:
     return 2 * F.least(la, lb) >= t * (la + lb) - 1e-9
 
@@ -161,9 +180,9 @@ def similar_lengths(la: Column, lb: Column, t: float) -> Column:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the smallest node.
 
-    Alternating large-star and small-star rounds. Each round groups by node
-    (combined before the shuffle), is written to the shared folder, and ends
-    when it changes nothing.
+    Alternating large-star and small-star rounds, each grouped by node
+    (combined before the shuffle) and written to the shared folder. They end
+    when the links are stars: one link per node, none from a root.
     """
     links = cut_lineage(edges.where("a <> b").selectExpr("greatest(a, b) u", "least(a, b) v").distinct(), "links")
     for _ in range(max_rounds):
@@ -174,9 +193,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         lows = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = cut_lineage(moved.unionByName(lows.selectExpr("u", "m v")).distinct(), "links")
-        change = small.exceptAll(links).unionByName(links.exceptAll(small))
         links = small
-        if change.isEmpty():
+        several = links.groupBy("u").count().where("count > 1").select("u")
+        inner = links.select("u").join(links.select(F.col("v").alias("u")), "u", "left_semi")
+        if several.unionByName(inner).isEmpty():
             roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return roots.unionByName(roots.selectExpr("root node", "root").distinct())
     raise RuntimeError("components did not settle")
@@ -272,12 +292,13 @@ def fuzzy_duplicate_groups(
     right = members_p.join(open_keys, "key").select("key", F.col("vid").alias("y"), F.col("label").alias("ly"), (F.col("label") == F.col("major")).alias("my"))
     apart = F.col("lx") != F.col("ly")
     rest = [
-        left.where("not mx").join(right, "key").where(apart),
-        left.where("mx").join(right.where("not my"), "key").where(apart),
+        split_join(left.where("not mx"), right, "key", "y").where(apart),
+        split_join(right.where("not my"), left.where("mx"), "key", "x").where(apart),
     ]
     pairs = rest[0].unionByName(rest[1]).selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
     more = cut_lineage(_score_pairs(pairs, values, threshold), "edges")
-    roots = cut_lineage(connected_components(edges.unionByName(more)).withColumnRenamed("node", "vid"), "roots")
+    if not more.isEmpty():
+        roots = cut_lineage(connected_components(edges.unionByName(more)).withColumnRenamed("node", "vid"), "roots")
 
     grouped = values.join(roots, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
     sizes = grouped.groupBy("root").agg(F.sum("n").alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
@@ -333,7 +354,7 @@ def best_name_match(
     def candidates(short: str, long: str) -> DataFrame:
         a = keyed(open_names, "s", _segments if short == "s" else _probes)
         b = keyed(right.select("o"), "o", _segments if short == "o" else _probes)
-        return a.join(b, "key").where(_reachable(F.col("s"), F.col("o"), t)).select("s", "o")
+        return split_join(a, b, "key", "o").where(_reachable(F.col("s"), F.col("o"), t)).select("s", "o")
 
     pairs = candidates("s", "o").unionByName(candidates("o", "s")).distinct()
     scored = pairs.withColumn("score", token_set_ratio("s", "o")).where(F.col("score") >= threshold)
@@ -353,12 +374,19 @@ def best_name_match(
 def _reachable(s: Column, o: Column, t: float) -> Column:
     """Can the token-set score of two sorted token texts reach the threshold?
 
-    An upper bound from lengths alone, evaluated inside the join.
+    Evaluated inside the join, so only near matches leave it: all tokens of one
+    side are shared, the shared ones make up nearly all of a side, or the two
+    texts with the shared tokens in front are few edits apart. The edit
+    distance counts a replacement once, so it is never above the number of
+    inserted and deleted characters that the score allows.
     """
     a, b = F.split(s, " "), F.split(o, " ")
-    core = F.array_join(F.array_intersect(a, b), " ")
-    n = F.length(core)
+    shared = F.array_intersect(a, b)
+    n = F.length(F.array_join(shared, " "))
     la, lb = F.length(s), F.length(o)
     subset = (n > 0) & ((n == la) | (n == lb))
     near_core = (n > 0) & (2 * n >= t * (n + F.least(la, lb)) - 1e-9)
-    return subset | near_core | similar_lengths(la, lb, t)
+    text_a = F.array_join(F.concat(shared, F.array_except(a, b)), " ")
+    text_b = F.array_join(F.concat(shared, F.array_except(b, a)), " ")
+    near = F.levenshtein(text_a, text_b) <= (1 - t) * (la + lb) + 1e-9
+    return subset | near_core | (similar_lengths(la, lb, t) & near)

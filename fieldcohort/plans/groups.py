@@ -49,7 +49,7 @@ def garden_active(
     gardens: DataFrame, sites: DataFrame, users: Sequence, start, end, not_area: str, blank: str = "---"
 ) -> DataFrame:
     """Open first-cycle gardens of listed agents with their site."""
-    rows = gardens.withColumn("site", site_from_code("caris_site", sep="-"))
+    rows = gardens.withColumn("site", site_from_code("site_label", sep="-"))
     rows = filters.conjunctive_filter(
         rows,
         user="username",

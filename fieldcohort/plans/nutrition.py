@@ -92,10 +92,11 @@ def nutrition_enrolment(
     enrolled: tuple,
     supplied_users: Sequence[str],
     supplied: tuple,
-    itu: str = "caris_itu",
+    inpatient: str,
 ) -> DataFrame:
     """Status of every followed, inpatient or approved child.
 
+    ``inpatient`` is the place of enrolment that stands for the hospital unit.
     Visits and enrolments meet in one full join. A child stays when it has
     visits, was enrolled in the inpatient unit, or was approved in the period;
     what a child without visits lacks is taken from its enrolment.
@@ -104,7 +105,7 @@ def nutrition_enrolment(
     known = clean_enrolment(enrolment, screening, supplied_users, supplied)
     both = known.withColumn("_enrolled", F.lit(True)).join(seen.withColumn("_seen", F.lit(True)), "caseid", "full")
     approved = F.col("approval_date").between(as_date(approvals[0]), as_date(approvals[1]))
-    rows = both.where(F.col("_seen") | (F.col("enrrolled_where") == itu) | approved)
+    rows = both.where(F.col("_seen") | (F.col("enrrolled_where") == inpatient) | approved)
 
     zero = ["total_visits", "nbr_visit_succeed_suivi", "visit_mamba_yes", "visit_mamba_no", *VISIT_TYPES, *EXIT_REASONS]
     rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero}).withColumns(
@@ -134,7 +135,7 @@ def nutrition_enrolment(
     )
     rows = rows.withColumn(
         "child_to_be_exited",
-        yes_no(differs("enrrolled_where", itu) & (F.col("mamba_remaining") == 0) & (F.col("derniere_visite") == 0)),
+        yes_no(differs("enrrolled_where", inpatient) & (F.col("mamba_remaining") == 0) & (F.col("derniere_visite") == 0)),
     )
     unreachable = differs("visit_reason_not_reachable", BLANK) & (F.col("visit_mamba") == "no")
     return rows.where(~unreachable).drop("_seen", "_enrolled")
