@@ -180,8 +180,7 @@ K01_COLUMNS = [
 ]
 
 
-@query(
-    "k01_nutrition_enrolment",
+_K01 = (
     ctes("screening", "enrolment", "follow_up")
     + f""", f AS (SELECT *, TRY_CAST(date_of_visit AS DATE) AS d, COALESCE(TRY_CAST(mamba_quantity AS DOUBLE), 0) AS q FROM follow_up),
     s AS (SELECT caseid, COUNT(*) AS total_visits, MIN(d) AS first_visit, MAX(d) AS last_visit,
@@ -214,8 +213,11 @@ K01_COLUMNS = [
         {yn("closed_date = '---' AND de BETWEEN DATE '1996-01-01' AND DATE '2001-12-01' AND disp = 'no'")} AS enroled,
         vr AS visits_remaining, mr AS mamba_remaining, {yn("place IS DISTINCT FROM 'inpatient' AND mr = 0 AND derniere = 0")} AS child_to_be_exited,
         vm AS visit_mamba, {yn('derniere = 0 AND post = 0')} AS actif
-    FROM b WHERE NOT (unreach IS DISTINCT FROM '---' AND vm = 'no')""",
+    FROM b WHERE NOT (unreach IS DISTINCT FROM '---' AND vm = 'no')"""
 )
+
+
+@query("k01_nutrition_enrolment", _K01)
 def k01(t: Tables):
     return nutrition.nutrition_enrolment(
         made(t, "screening"),
@@ -871,6 +873,30 @@ def k26(t: Tables):
     return lt.sort_multi(_work_lists(t), F.col("list"), F.col("office"), F.col("sort_date"), F.col("key"))
 
 
+_EXITS = {"to_be_exited": "child_to_be_exited = 'yes'", "exited": "sortie = 'yes'", "without_supply": "visit_mamba = 'no'"}
+
+
+@query(
+    "k26_nutrition_action_lists",
+    f"WITH k AS ({_K01}) "
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS list, caseid AS key, raison_pour_la_sortie AS office, last_visit_date AS sort_date FROM k WHERE {c}" for n, c in _EXITS.items()
+    ),
+)
+def k26_nutrition(t: Tables):
+    return dashboards.action_lists(
+        k01(t),
+        "caseid",
+        "raison_pour_la_sortie",
+        "last_visit_date",
+        {
+            "to_be_exited": F.col("child_to_be_exited") == "yes",
+            "exited": F.col("sortie") == "yes",
+            "without_supply": F.col("visit_mamba") == "no",
+        },
+    )
+
+
 @query(
     "k26_action_list_counts",
     _WORK + f"""SELECT list, office, n, {pct('n', 't')} AS pct FROM (SELECT list, office, COUNT(*) AS n, SUM(COUNT(*)) OVER (PARTITION BY list) AS t FROM lists GROUP BY 1, 2)""",

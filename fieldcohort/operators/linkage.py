@@ -206,13 +206,19 @@ def _score_pairs(pairs: DataFrame, values: DataFrame, threshold: float) -> DataF
     """Pairs (a, b) whose lowest column similarity reaches the threshold.
 
     The earlier row is the first text; when copies of the two values lie in
-    both orders, both directions count.
+    both orders, both directions count. Pairs further apart than the threshold
+    allows are dropped by length and edit distance before any is scored.
     """
     left = values.select(F.col("vid").alias("a"), F.col("texts").alias("ta"), F.col("last_id").alias("la"))
     right = values.select(F.col("vid").alias("b"), F.col("texts").alias("tb"), F.col("last_id").alias("lb"))
     t = threshold / 100.0
     full = pairs.join(left, "a").join(right, "b")
-    fits = F.forall(F.zip_with("ta", "tb", lambda x, y: similar_lengths(F.length(x), F.length(y), t)), lambda ok: ok)
+
+    def near(x: Column, y: Column) -> Column:
+        size = F.length(x) + F.length(y)
+        return similar_lengths(F.length(x), F.length(y), t) & (F.levenshtein(x, y) <= (1 - t) * size + 1e-9)
+
+    fits = F.forall(F.zip_with("ta", "tb", near), lambda ok: ok)
     oriented = full.where(fits).select(
         "a",
         "b",

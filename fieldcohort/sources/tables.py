@@ -123,11 +123,12 @@ def write_partitioned(df: DataFrame, group: str, path: str, spread: Column | Non
 
 
 def snapshot_write(df: DataFrame, path: str, as_of: str | date, min_days: int = 7) -> bool:
-    """Write a dated snapshot unless the newest one is younger than ``min_days``."""
+    """Write a dated snapshot unless the newest one is younger than ``min_days``
+    or of the same day. Says whether it was written."""
     spark = df.sparkSession
     run_day = date.fromisoformat(str(as_of))
     newest = latest_date_in_names(spark, f"{path}/snapshot_date=*", "snapshot_date=", as_of)
-    if newest is not None and (run_day - newest).days < min_days:
+    if newest is not None and (newest == run_day or (run_day - newest).days < min_days):
         return False
     df.write.mode("errorifexists").parquet(f"{path}/snapshot_date={run_day}")
     return True

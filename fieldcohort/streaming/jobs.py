@@ -32,14 +32,18 @@ def _finish(query: StreamingQuery) -> None:
 def stream_time_buckets(rows: DataFrame, ts: str, out: str, checkpoint: str, late: str = "1 day") -> None:
     """Weekly counts, Monday to Sunday, written once a week is complete.
 
-    The epoch was a Thursday, so weeks start four days after it. A week is
-    complete when its end lies ``late`` before the newest time seen.
+    The epoch was a Thursday, so weeks start four days after it. Windows are
+    cut in UTC; times are moved to the wall clock of the session before and
+    back after. A week is complete when its end lies ``late`` before the
+    newest time seen.
     """
+    zone = rows.sparkSession.conf.get("spark.sql.session.timeZone")
     weeks = (
-        rows.withWatermark(ts, late)
-        .groupBy(F.window(ts, "7 days", startTime="4 days"))
+        rows.withColumn("_wall", F.from_utc_timestamp(ts, zone))
+        .withWatermark("_wall", late)
+        .groupBy(F.window("_wall", "7 days", startTime="4 days"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("window.start").cast("date").alias("week_start"), "n")
+        .select(F.to_utc_timestamp("window.start", zone).cast("date").alias("week_start"), "n")
     )
     _finish(
         weeks.writeStream.outputMode("append")
