@@ -91,9 +91,12 @@ def f06(t: Tables):
               CAST(MIN(ts) OVER (PARTITION BY user_id, event_type) AS DATE)::VARCHAR AS first_day_by_type FROM events""",
 )
 def f07(t: Tables):
-    day = F.to_date("ts")
-    rows = op.with_key_stats(t.events, "user_id", {"first_day": F.min(day), "last_day": F.max(day)})
-    rows = op.with_key_stats(rows, ["user_id", "event_type"], {"first_day_by_type": F.min(day)})
+    events = t.events.select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"))
+    levels = [
+        (["user_id"], {"first_day": "first", "last_day": "last"}),
+        (["user_id", "event_type"], {"first_day_by_type": "first"}),
+    ]
+    rows = op.first_last_at_levels(events, events, "day", levels)
     return rows.select("event_id", "first_day", "last_day", "first_day_by_type")
 
 

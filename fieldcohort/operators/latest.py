@@ -96,6 +96,26 @@ def count_over_key(df: DataFrame, key: str | Sequence[str], out: str) -> DataFra
     return with_key_stats(df, key, {out: F.count(F.lit(1))})
 
 
+def first_last_at_levels(
+    detail: DataFrame, rows: DataFrame, day: str, levels: Sequence[tuple[Sequence[str], Mapping[str, str]]]
+) -> DataFrame:
+    """First and last dates of several groupings on each detail row.
+
+    A level is (keys, {column: "first" or "last"}). ``rows`` is what the dates
+    are taken from and may hold more than ``detail``. It is grouped once by all
+    keys together; the levels are grouped from that result.
+    """
+    keys = list(dict.fromkeys(k for names, _ in levels for k in names))
+    finest = rows.groupBy(*[quoted(k) for k in keys]).agg(
+        F.min(quoted(day)).alias("_first"), F.max(quoted(day)).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    for names, columns in levels:
+        stats = {n: F.min("_first") if end == "first" else F.max("_last") for n, end in columns.items()}
+        groups = finest.groupBy(*names).agg(*[c.alias(n) for n, c in stats.items()], F.sum("_n").alias("_size"))
+        detail = join_group_rows(detail, groups, names, "_size")
+    return detail
+
+
 def latest_and_previous(
     df: DataFrame, key: str, order: Sequence[Column], cols: Sequence[str], where: Column | None = None
 ) -> DataFrame:

@@ -41,6 +41,12 @@ def compare_text(col: str) -> Column:
     return F.coalesce(normalize_text(quoted(col).cast("string")), F.lit("nan"))
 
 
+def _digest(text: Column) -> Column:
+    """SHA-256, marked as never null: joins on it then add no null test, which
+    would work out the text a second time."""
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
+
+
 def number_densely(keys: DataFrame, key: str, out: str, start: int = 1) -> DataFrame:
     """Consecutive numbers for distinct hexadecimal digests, in digest order.
 
@@ -67,7 +73,7 @@ def exact_duplicate_groups(df: DataFrame, cols: Sequence[str], mode: str = "dupl
     shuffled.
     """
     _check(df, cols, mode)
-    keyed = df.withColumn("_k", F.sha2(F.concat_ws("\x1f", *[compare_text(c) for c in cols]), 256))
+    keyed = df.withColumn("_k", _digest(F.concat_ws("\x1f", *[compare_text(c) for c in cols])))
     repeated = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
     numbered = number_densely(repeated, "_k", GROUP_ID).withColumn("_size", F.col(GROUP_SIZE))
     out = join_group_rows(keyed, numbered, "_k", "_size").drop("_k")
@@ -308,7 +314,7 @@ def fuzzy_duplicate_groups(
 
     grouped = values.join(roots, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
     sizes = grouped.groupBy("root").agg(F.sum("n").alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
-    numbered = number_densely(sizes.withColumn("_h", F.sha2(F.col("root").cast("string"), 256)), "_h", GROUP_ID)
+    numbered = number_densely(sizes.withColumn("_h", _digest(F.col("root").cast("string"))), "_h", GROUP_ID)
     by_value = grouped.select(F.col("texts").alias("_texts"), "root", "n").join(numbered.drop("_h"), "root", "left").drop("root")
     out = join_group_rows(rows, by_value, "_texts", "n").drop("_texts")
     return _pick(

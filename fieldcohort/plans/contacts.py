@@ -91,14 +91,12 @@ def session_detail(
         (patients, "id_patient"),
     ).withColumn("person", joins.canonical_id("linked_to_id_patient", "id_patient"))
     levels = [
-        (["person"], {"first_attendance_date": F.min("session_date")}),
-        (["id_patient"], {"last_attendance_date": F.max("session_date")}),
-        (["id_patient", "id_club"], {"first_attendance_date_by_club": F.min("session_date")}),
+        (["person"], {"first_attendance_date": "first"}),
+        (["id_patient"], {"last_attendance_date": "last"}),
+        (["id_patient", "id_club"], {"first_attendance_date_by_club": "first"}),
     ]
-    detail = rows.where(filters.on_or_between("session_date", start, end))
-    for keys, stats in levels:
-        groups = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_size"))
-        detail = latest.join_group_rows(detail, groups, keys, "_size")
+    inside = rows.where(filters.on_or_between("session_date", start, end))
+    detail = latest.first_last_at_levels(inside, rows, "session_date", levels)
     return detail.join(clubs, "id_club", "left").select(
         "person",
         "patient_code",
