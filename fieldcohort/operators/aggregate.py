@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.bands import safe_pct
 from ..functions.nulls import as_date
-from .clean import quoted, safe_name
+from .clean import quoted, value_names
 from .filters import on_or_between
 
 TOTAL = "Total"
@@ -212,7 +212,7 @@ def crosstab(
                      (F.lit(1) if measure is None else measure).alias("_m")).where(
         F.col(row_name).isNotNull() & F.col("_col").isin(*values)
     )
-    names = {v: safe_name(v) for v in values}
+    names = value_names(values, taken=[row_name, "total"])
     aggs = [F.coalesce(F.sum(F.when(F.col("_col") == F.lit(v), F.col("_m"))), F.lit(0)).alias(n) for v, n in names.items()]
     aggs.append(F.coalesce(F.sum("_m"), F.lit(0)).alias("total"))
     body = base.groupBy(row_name).agg(*aggs)
@@ -238,14 +238,10 @@ def pivot_margins(
     (outer, outer_values), *rest = groups
     base = df.select(index.cast("string").alias(index_name), *[quoted(g).alias(g) for g, _ in groups])
     base = base.where(F.col(index_name).isNotNull())
-    cells = {}
-    for v in outer_values:
-        if rest:
-            inner, inner_values = rest[0]
-            for w in inner_values:
-                cells[f"{safe_name(v)}_{safe_name(w)}"] = (F.col(outer) == F.lit(v)) & (F.col(inner) == F.lit(w))
-        else:
-            cells[safe_name(v)] = F.col(outer) == F.lit(v)
+    cells = {n: F.col(outer) == F.lit(v) for v, n in value_names(outer_values, taken=[index_name, "total"]).items()}
+    for inner, inner_values in rest:
+        inner_names = value_names(inner_values)
+        cells = {f"{n}_{m}": c & (F.col(inner) == F.lit(w)) for n, c in cells.items() for w, m in inner_names.items()}
     known = None
     for cond in cells.values():
         known = cond if known is None else known | cond
@@ -272,7 +268,8 @@ def heatmap_matrix(df: DataFrame, row: str, col: str, values: Sequence, measure:
     """Summed measure per row and declared column, missing cells as 0."""
     zero = F.lit(0)
     cells = [
-        F.coalesce(F.sum(F.when(quoted(col) == F.lit(v), measure)), zero).alias(safe_name(v)) for v in values
+        F.coalesce(F.sum(F.when(quoted(col) == F.lit(v), measure)), zero).alias(n)
+        for v, n in value_names(values, taken=[row]).items()
     ]
     return _known(df, row).groupBy(row).agg(*cells)
 
@@ -368,7 +365,7 @@ def sum_by(df: DataFrame, key: str, value: Column, out: str) -> DataFrame:
 def age_pyramid(df: DataFrame, band: Column, sex: str, sexes: Sequence) -> DataFrame:
     """Band by sex counts; every sex has its column."""
     rows = df.select(band.alias("band"), quoted(sex).alias("_sex")).where(F.col("band").isNotNull())
-    return rows.groupBy("band").agg(*[F.count_if(F.col("_sex") == F.lit(s)).alias(safe_name(s)) for s in sexes])
+    return rows.groupBy("band").agg(*[F.count_if(F.col("_sex") == F.lit(s)).alias(n) for s, n in value_names(sexes, taken=["band"]).items()])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

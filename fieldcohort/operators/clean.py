@@ -40,6 +40,16 @@ def safe_name(text: object) -> str:
     return re.sub(r"[^a-z0-9]+", "_", str(text).lower()).strip("_")
 
 
+def value_names(values: Iterable, prefix: str = "", taken: Iterable[str] = ()) -> dict:
+    """Column name per category value; two of one name are an error."""
+    names = {v: f"{prefix}{safe_name(v)}" for v in values}
+    seen = [*names.values(), *taken]
+    twice = sorted({n for n in seen if [s.lower() for s in seen].count(n.lower()) > 1})
+    if twice:
+        raise ValueError(f"values give the same column name: {', '.join(twice)}")
+    return names
+
+
 def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     missing = [c for c in cols if c not in df.columns]
     if missing:
@@ -190,7 +200,8 @@ def vocabulary(df: DataFrame, col: str, limit: int = 1000) -> list:
 def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null: bool = False) -> DataFrame:
     """0/1 column per category, named ``col_value``."""
     found = vocabulary(df, col) if values is None else values
-    new = {f"{col}_{safe_name(v)}": F.when(quoted(col) == F.lit(v), 1).otherwise(0) for v in found}
+    names = value_names(found, f"{col}_")
+    new = {n: F.when(quoted(col) == F.lit(v), 1).otherwise(0) for v, n in names.items()}
     if dummy_null:
         new[f"{col}_null"] = quoted(col).isNull().cast("int")
     return df.withColumns(new)
@@ -204,11 +215,11 @@ def multi_label_flags(
     if values is None:
         values = vocabulary(df.select(F.explode(tokens).alias("token")), "token")
     new = {}
-    for v in values:
+    for v, name in value_names(values, prefix).items():
         hit = F.array_contains(tokens, v)
         if v == alone:
             hit = hit & (F.size(tokens) == 1)
-        new[f"{prefix}{safe_name(v)}"] = F.when(hit, 1).otherwise(0)
+        new[name] = F.when(hit, 1).otherwise(0)
     return df.withColumns(new)
 
 

@@ -209,6 +209,14 @@ def test_columns_and_names(spark):
         clean.vocabulary(wide, "v", 3)
 
 
+def test_two_values_of_one_name_are_refused(spark):
+    df = spark.createDataFrame([("A-b",), ("a b",)], "v string")
+    with pytest.raises(ValueError, match="same column name: v_a_b"):
+        clean.one_hot(df, "v")
+    with pytest.raises(ValueError, match="same column name"):
+        aggregate.crosstab(df, F.col("v"), "total", "v", ["x"])
+
+
 def test_one_hot_and_labels_find_their_values(spark):
     df = spark.createDataFrame([("fever cough",), ("Aucun",), ("aucun fever",), (None,)], "s string")
     rows = {r.s: (r.aucun, r.cough, r.fever) for r in clean.multi_label_flags(df, "s").collect()}
