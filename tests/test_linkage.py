@@ -144,3 +144,16 @@ def test_best_match_equals_brute_force(spark, threshold):
             assert token_set_score(norm(name), norm(match)) == best
         else:
             assert (match, score, flag) == (None, None, "no")
+
+
+def test_frequent_candidate_keys_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "PART_ROWS", 3)
+    rows = people(80, 5)
+    df = spark.createDataFrame(rows, "id long, first string, last string, dob string")
+    assert spark_groups(linkage.fuzzy_duplicate_groups(df, ["first", "last"], "id", 85)) == brute_groups(rows, [1, 2], 85)
+
+    left = spark.createDataFrame([(i,) for i in range(200)], "x int").selectExpr("x", "x % 3 key")
+    right = spark.createDataFrame([(i,) for i in range(50)], "y int").selectExpr("y", "if(y < 20, 0, y) key")
+    got = linkage.split_join(left, right, "key", "y").select("key", "x", "y").collect()
+    want = left.join(right, "key").select("key", "x", "y").collect()
+    assert sorted(got) == sorted(want) and len(got) == 67 * 20
