@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
     """A session for tests and benches; on a cluster the submitter sets these."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("fieldcohort")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -20,41 +18,58 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .getOrCreate()
     )
-
-
-@functools.lru_cache(maxsize=1)
-def _test_folder() -> str:
-    return tempfile.mkdtemp(prefix="fieldcohort-")
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder of this machine; a cluster without it is refused.
+    Where that is unset, a folder in the warehouse, which all executors share
+    too, becomes the setting's place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _test_folder()
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+_MADE: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives lost executors and has a one-step plan, which keeps
-    iterative jobs from growing their lineage.
+    iterative jobs from growing their lineage. ``release`` removes it.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove what ``cut_lineage`` wrote for these; nothing may read them later."""
+    for df in frames:
+        delete_path(df.sparkSession, df._scratch)
+        _MADE.remove(df._scratch)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove all intermediate data of this process, once its results are read."""
+    while _MADE:
+        delete_path(spark, _MADE.pop())

@@ -10,6 +10,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -61,10 +62,11 @@ def compare(spark_df, con, sql: str) -> list[str]:
 def main() -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
-    from fieldcohort.session import local_session
+    from fieldcohort.session import local_session, sweep
 
     folder = os.environ.get("SF_DIR", DEFAULT_DIR)
-    spark = local_session("8")
+    shared = tempfile.mkdtemp(prefix="run-")
+    spark = local_session("8", shared=f"file://{shared}")
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = oracle(folder), entry.oracle_sql(), 0
     for name, func in entry.queries().items():
@@ -76,6 +78,7 @@ def main() -> int:
             problems = compare(df, con, sqls[name]) if name in sqls else [] if df.count() > 0 else ["no rows"]
         except Exception as e:  # noqa: BLE001
             problems = [f"{type(e).__name__}: {str(e)[:900]}"]
+        sweep(spark)
         mark = "FAIL" if problems else "ok  " if name in sqls else "rows"
         bad += bool(problems)
         print(f"{mark} {name} {time.time() - start:.1f}s", *problems, sep="\n   " if problems else " ", flush=True)

@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from fieldcohort.session import local_session
+def spark(tmp_path_factory):
+    from fieldcohort.session import local_session, sweep
 
-    session = local_session("4", 4)
+    session = local_session("4", 4, f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    sweep(session)
     session.stop()
