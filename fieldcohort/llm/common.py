@@ -19,14 +19,19 @@ BROADCAST_ROWS = 500_000
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
-def numbered_rows(docs: DataFrame, *columns: Column, label: str = "rows") -> DataFrame:
-    """(row, uid, columns): every row with all its own columns in the struct ``row``.
+def numbered_rows(docs: DataFrame, label: str = "rows") -> DataFrame:
+    """(row, uid): every row with all its own columns in the struct ``row``.
 
     Written once, so ``uid`` stays the same however often it is read, and the
     names inside ``row`` cannot clash with those of an operator.
     """
     packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return cut_lineage(docs.select(packed, F.monotonically_increasing_id().alias("uid"), *columns), label)
+    return cut_lineage(docs.select(packed, F.monotonically_increasing_id().alias("uid")), label, "zstd")
+
+
+def inside(name: str) -> Column:
+    """A column of ``row``."""
+    return F.col(f"row.`{name}`")
 
 
 def small(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, release
 from . import common, tokens
 from .candidates import crowded_regions, link_rounds
-from .common import numbered_rows, small, text_slices
+from .common import inside, numbered_rows, small, text_slices
 from .tokens import _stream, mix, shingle_sets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -108,16 +108,16 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     - Equal sets are collapsed to one node before the search, so exact copies
       cost one signature each and no comparison.
     """
-    text_col = F.col(f"`{text}`")
-    rows = numbered_rows(docs, F.col(f"`{doc_id}`").alias("id"), text_col.alias("text"))
-    signed = cut_lineage(rows.select("uid", "text").mapInArrow(_sign, SIGNED), "signed")
-    known = rows.select("uid", "id").join(signed.drop("signature"), "uid")
+    rows = numbered_rows(docs)
+    whole = rows.select("uid", inside(text).alias("text"))
+    signed = cut_lineage(whole.mapInArrow(_sign, SIGNED), "signed")
+    known = rows.select("uid", inside(doc_id).alias("id")).join(signed.drop("signature"), "uid")
     classes = cut_lineage(signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("uid").alias("node")), "classes")
     heads = signed.join(classes.select(F.col("node").alias("uid")), "uid", "left_semi")
     members = crowded_regions(forest(heads), deeper_levels(heads))
     wanted = members.select(F.col("node").alias("uid")).distinct()
     wanted = cut_lineage(wanted, "wanted")
-    texts = cut_lineage(rows.select("uid", "text").join(small(wanted), "uid", "left_semi"), "texts")
+    texts = cut_lineage(whole.join(small(wanted), "uid", "left_semi"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         full = pairs.join(texts.selectExpr("uid a", "text ta"), "a").join(texts.selectExpr("uid b", "text tb"), "b")

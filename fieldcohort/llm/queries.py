@@ -6,23 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lsh_forest
+from . import decontaminate, line_dedup, lsh_forest
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, folder, "benchmark")).select("doc_id", "item_id", "n_equal")
+
+
 def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     found = lsh_forest.cluster(table(spark, folder, "documents").select("doc_id", "text"))
     return found.selectExpr("row.doc_id doc_id", "n_shingles", "component_id", "coalesce(row.doc_id = component_id, false) kept")
 
 
+def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without the lines that copy an earlier one, as digests."""
+    found = line_dedup.keep_first_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.selectExpr("row.doc_id doc_id", "n_lines", "n_removed", "length(clean) n_chars", "crc32(cast(clean as binary)) text_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_spaced_seeds,
         op5_lsh_forest,
+        op10_fuzzy_lines,
     )
 }
 
