@@ -44,14 +44,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "step", compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives lost executors and has a one-step plan, which keeps
     iterative jobs from growing their lineage. ``release`` removes it.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
