@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, lsh_forest
+from . import decontaminate, line_dedup, line_quality, lsh_forest
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(docs, table(spark, folder, "benchmark")).select("doc_id", "item_id", "n_equal")
 
 
+def op3_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    found = line_quality.judge(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return found.selectExpr("row.doc_id doc_id", *line_quality.COUNTS, "base_failed", "kept", "n_removed", "n_left")
+
+
 def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     found = lsh_forest.cluster(table(spark, folder, "documents").select("doc_id", "text"))
@@ -35,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_spaced_seeds,
+        op3_line_frequency,
         op5_lsh_forest,
         op10_fuzzy_lines,
     )
