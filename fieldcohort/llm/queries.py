@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, line_quality, lsh_forest
+from . import decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,15 @@ def op1_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(docs, table(spark, folder, "benchmark")).select("doc_id", "item_id", "n_equal")
 
 
+def op2_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards; rows are numbered by id, then by text."""
+    docs = table(spark, folder, "documents")
+    text = F.coalesce("text", F.lit(""))
+    narrow = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = sharding.assign(narrow, 24, [F.col("doc_id"), F.col("text_crc32"), F.col("size")])
+    return placed.select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "number")
+
+
 def op3_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of every document."""
     found = line_quality.judge(table(spark, folder, "documents").select("doc_id", "source", "text"))
@@ -31,6 +41,12 @@ def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("row.doc_id doc_id", "n_shingles", "component_id", "coalesce(row.doc_id = component_id, false) kept")
 
 
+def op7_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids in sequences of at most 1024."""
+    found = packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Texts without the lines that copy an earlier one, as digests."""
     found = line_dedup.keep_first_lines(table(spark, folder, "documents").select("doc_id", "text"))
@@ -41,8 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_spaced_seeds,
+        op2_feistel_shards,
         op3_line_frequency,
         op5_lsh_forest,
+        op7_vector_packing,
         op10_fuzzy_lines,
     )
 }
