@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding
+from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,12 @@ def op3_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("row.doc_id doc_id", *line_quality.COUNTS, "base_failed", "kept", "n_removed", "n_left")
 
 
+def op4_brown_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Language-model scores of all documents, learnt from six sevenths of them."""
+    held_out = common.fold("doc_id", 7) == 2
+    return brown.score(table(spark, folder, "documents"), held_out).withColumnRenamed("id", "doc_id")
+
+
 def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     found = lsh_forest.cluster(table(spark, folder, "documents").select("doc_id", "text"))
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_spaced_seeds,
         op2_feistel_shards,
         op3_line_frequency,
+        op4_brown_classes,
         op5_lsh_forest,
         op7_vector_packing,
         op10_fuzzy_lines,
