@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding
+from ..session import scratch_path
+from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +54,15 @@ def op7_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives and read back through the index."""
+    archives = scratch_path(spark, "warc")
+    index = warc.write_archives(table(spark, folder, "pages"), archives)
+    read = warc.read_records(index, archives, keep_payload=False)
+    owners = index.select("uid", "page_id", "refers_to")
+    return read.join(owners, "uid").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Texts without the lines that copy an earlier one, as digests."""
     found = line_dedup.keep_first_lines(table(spark, folder, "documents").select("doc_id", "text"))
@@ -68,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_brown_classes,
         op5_lsh_forest,
         op7_vector_packing,
+        op8_warc_index,
         op10_fuzzy_lines,
     )
 }
