@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, sharding, warc
+from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, private_data, sharding, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,14 @@ def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("row.doc_id doc_id", "n_shingles", "component_id", "coalesce(row.doc_id = component_id, false) kept")
 
 
+def op6_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents: base spans and those the classifier adds."""
+    found = private_data.personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(private_data.KINDS[:4])]
+    base = private_data.spelled(F.col("base"))
+    return found.select("row.doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), private_data.spelled(F.col("spans")).alias("spans"))
+
+
 def op7_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids in sequences of at most 1024."""
     found = packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_line_frequency,
         op4_brown_classes,
         op5_lsh_forest,
+        op6_weak_supervision,
         op7_vector_packing,
         op8_warc_index,
         op10_fuzzy_lines,
