@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, private_data, sharding, warc
+from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, private_data, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,15 @@ def op8_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return read.join(owners, "uid").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_counterfactual(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from four fifths of the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = common.fold("doc_id", 5) == 0
+    model = toxicity.learn(docs, table(spark, folder, "labels"), ~held_out)
+    found = toxicity.score(docs, model).select("row.doc_id", "score")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Texts without the lines that copy an earlier one, as digests."""
     found = line_dedup.keep_first_lines(table(spark, folder, "documents").select("doc_id", "text"))
@@ -88,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_weak_supervision,
         op7_vector_packing,
         op8_warc_index,
+        op9_counterfactual,
         op10_fuzzy_lines,
     )
 }
