@@ -15,27 +15,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, release
+from .common import small
 from .components import relabel
 
 #: A region with more members is cut by its deeper order, again and again for each factor of this.
 CROWD = 512
 
 
-def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(region, part, ord, node, n, first) of the regions that hold at least two nodes.
 
-    ``deepen`` adds ``ord``, an array of longs: the deeper levels of the region's
-    order. A region of more than ``CROWD`` members is divided by as many levels
+    ``ord``, an array of longs, holds the deeper levels of the region's order;
+    ``deepen`` adds it where ``rows`` have none. A region of more than ``CROWD`` members is divided by as many levels
     as its size calls for: depth adapts to each region. Regions are counted
     with map-side combine and the counts joined back, so none is gathered here.
     """
-    held = rows.groupBy("region").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    kept = deepen(rows.join(held, "region"))
+    held = cut_lineage(rows.groupBy("region").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "held")
+    kept = rows.join(small(held), "region")
+    kept = deepen(kept) if deepen else kept
     depth = F.ceil(F.log(F.col("held") / CROWD) / F.log(F.lit(8.0)))
     depth = F.greatest(F.least(depth, F.size("ord")), F.lit(1)).cast("int")
     deeper = F.when(F.col("held") > CROWD, F.xxhash64("region", F.slice("ord", F.lit(1), depth)))
     part = F.coalesce(deeper, F.lit(0).cast("long")).alias("part")
-    return cut_lineage(kept.select("region", part, "ord", "node", "n", "first"), "regions")
+    found = cut_lineage(kept.select("region", part, "ord", "node", "n", "first"), "regions")
+    release(held)
+    return found
 
 
 def neighbour_pairs(members: DataFrame, reach: int, fits: str) -> DataFrame:

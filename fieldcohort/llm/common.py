@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -39,6 +39,27 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def once(value: Column) -> Column:
+    """``value`` as a column that is computed once per row.
+
+    Spark pastes the definition of a column into its uses, inside lambda
+    functions and pushed-down filters too, and would compute it there for every
+    element. It leaves alone what depends on the partition id.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
+#: Bytes of texts that a Python worker gets at once.
+BATCH = "8m"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, so that workers on whole texts stay small; a setting of the user's is kept."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, BATCH)
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
