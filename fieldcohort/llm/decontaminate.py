@@ -57,7 +57,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     and empty texts have no words. Repeated rows and items are each reported by
     their own id; null ids stay null.
     """
-    rows = docs if "uid" in docs.columns and "row" in docs.columns else numbered_rows(docs)
+    return _contaminated(numbered_rows(docs), benchmark, doc_id, text, item_id, item_text)
+
+
+def _contaminated(rows: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), _hashes(F.col(f"`{item_text}`")).alias("words")).distinct()
     items = cut_lineage(items.withColumn("item", F.monotonically_increasing_id()), "items")
     seeds = cut_lineage(_seeds(items, "item").distinct(), "seeds")
@@ -89,5 +92,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def clean_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage."""
     rows = numbered_rows(docs)
-    found = contaminated(rows, benchmark, doc_id, text, item_id, item_text)
+    found = _contaminated(rows, benchmark, doc_id, text, item_id, item_text)
     return rows.join(small(found.select("uid").distinct()), "uid", "left_anti").select("row.*")

@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from . import common, tokens
-from .common import BROADCAST_ROWS, inside, text_slices, words
+from .common import BROADCAST_ROWS, inside, once, text_batches, text_slices, words
 from .tokens import IS_SPACE, raw_bytes, run_hashes, runs, windows, word_hashes
 
 for _module in (sys.modules[__name__], common, tokens):
@@ -86,7 +87,7 @@ def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-@F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
+@F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
 def counted(texts: pa.Array) -> pa.Array:
     parts = [base_counts(part) for _, _, part in text_slices(texts)]
     columns = [np.concatenate([p[c] for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64) for c in COUNTS]
@@ -128,6 +129,7 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", least: int
     number of lines of them; they travel as one array per host, broadcast if
     their number shows that they are few.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     frequent = cut_lineage(frequent_lines(rows, host, text, least, share_pct), "frequent")
     by_host = frequent.groupBy("host").agg(F.collect_list("key").alias("furniture"))
@@ -135,12 +137,12 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", least: int
         by_host = F.broadcast(by_host)
     found = rows.join(by_host, inside(host).eqNullSafe(F.col("host")), "left").drop("host")
 
-    found = found.withColumn("lines", F.when(F.col("furniture").isNotNull(), F.split(inside(text), "\n")))
-    found = found.withColumn("keys", F.transform("lines", line_key))
-    found = found.withColumn("hit", F.array_intersect("keys", "furniture")).drop("furniture")
+    found = found.withColumn("lines", once(F.when(F.col("furniture").isNotNull(), F.split(inside(text), "\n"))))
+    found = found.withColumn("keys", once(F.transform("lines", line_key)))
+    found = found.withColumn("hit", once(F.array_intersect("keys", "furniture"))).drop("furniture")
     places = F.sequence(F.lit(0), F.size("lines") - 1)
     gone = F.filter(places, lambda i: F.array_contains("hit", F.get("keys", i)))
-    found = found.withColumn("gone", F.when(F.size("hit") > 0, gone)).drop("hit", "keys")
+    found = found.withColumn("gone", once(F.when(F.size("hit") > 0, gone))).drop("hit", "keys")
     stay = F.array_except(places, F.col("gone"))
     pick = lambda spots: F.array_join(F.transform(spots, lambda i: F.get("lines", i)), "\n")
     found = found.withColumn("clean", F.when(F.col("gone").isNull(), inside(text)).otherwise(pick(stay)))

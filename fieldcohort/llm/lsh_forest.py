@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, release
 from . import common, tokens
 from .candidates import crowded_regions, link_rounds
-from .common import inside, numbered_rows, small, text_slices
+from .common import inside, numbered_rows, small, text_batches, text_slices
 from .tokens import _stream, mix, shingle_sets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -108,6 +108,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     - Equal sets are collapsed to one node before the search, so exact copies
       cost one signature each and no comparison.
     """
+    text_batches(docs.sparkSession)
     rows = numbered_rows(docs)
     whole = rows.select("uid", inside(text).alias("text"))
     signed = cut_lineage(whole.mapInArrow(_sign, SIGNED), "signed")

@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .common import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,7 +156,7 @@ def features(text: str, start: int, kind: int, end: int) -> tuple[int, ...]:
 
 
 SIZES = (len(KINDS), 4, 4, 2, 2, 2, 2, 2, 2, 2)
-SPAN = "array<struct<start:int,end:int,kind:int,base:boolean,votes:int,features:int>>"
+SPAN = T.StructType([T.StructField(c, T.BooleanType() if c == "base" else T.IntegerType()) for c in ("start", "end", "kind", "base", "votes", "features")])
 
 
 def _code(values, sizes) -> int:
@@ -174,7 +176,7 @@ def candidates(text: str) -> list[dict]:
     return sorted(out, key=lambda s: (s["start"], s["kind"], s["end"]))
 
 
-@F.arrow_udf(SPAN)
+@F.arrow_udf(T.ArrayType(SPAN))
 def found_spans(texts: pa.Array) -> pa.Array:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("base", pa.bool_()), ("votes", pa.int32()), ("features", pa.int32())]))
     return pa.array([candidates(t.as_py() or "") for t in texts], kind)
@@ -248,6 +250,7 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     scanned whole, once. Only counts of vote and feature patterns reach the
     driver, of which there are at most 3 ** 6 patterns of votes times 10 240 of features, and in practice some dozens.
     """
+    text_batches(docs.sparkSession)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     scanned = docs.select(F.struct(*others).alias("row"), found_spans(F.col(f"`{text}`")).alias("found"))
     scanned = cut_lineage(scanned, "spans")

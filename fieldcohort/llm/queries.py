@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, packing, private_data, sharding, toxicity, warc
+from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, oracles, packing, private_data, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,7 +102,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_spaced_seeds": oracles.OP1,
+    "op3_line_frequency": oracles.OP3,
+    "op5_lsh_forest": oracles.OP5,
+    "op8_warc_index": oracles.OP8,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from . import tokens
@@ -101,7 +102,7 @@ def assign(df: DataFrame, shards: int, order: list[Column], seed: int = 0) -> Da
     numbered, count = global_numbers(df, order)
     shuffle = Shuffle(count, seed)
 
-    @F.arrow_udf("long")
+    @F.arrow_udf(T.LongType())
     def permuted(numbers: pa.Array) -> pa.Array:
         return pa.array(shuffle.forward(numbers.to_numpy(zero_copy_only=False)))
 

@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common, tokens
-from .common import text_slices
+from .common import text_batches, text_slices
 from .tokens import LOWER, _stream, raw_bytes, run_hashes, runs
 
 for _module in (sys.modules[__name__], common, tokens):
@@ -91,7 +92,7 @@ def _levels(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows[order], values[order]
 
 
-@F.arrow_udf("array<long>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def all_features(texts: pa.Array) -> pa.Array:
     parts = [pa.array([], pa.list_(pa.int64()))]
     for _, _, part in text_slices(texts):
@@ -126,7 +127,7 @@ class Known:
 def known_features(hashes: np.ndarray):
     known = Known(hashes)
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf(T.ArrayType(T.LongType()))
     def find(texts: pa.Array) -> pa.Array:
         parts = [pa.array([], pa.list_(pa.int64()))]
         for _, _, part in text_slices(texts):
@@ -139,7 +140,7 @@ def known_features(hashes: np.ndarray):
 def scorer(hashes: np.ndarray, weights: np.ndarray, bias: float):
     known = Known(hashes)
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
         out = [np.zeros(0)]
         for _, _, part in text_slices(texts):
@@ -224,6 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     are left out. With labels of one value only, or none, nothing but the bias
     is learnt.
     """
+    text_batches(docs.sparkSession)
     known = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where("id is not null and label is not null")
     known = known.groupBy("id").agg(F.max("label").alias("label")).withColumnRenamed("id", doc_id).where(learn_from).withColumnRenamed(doc_id, "id")
     count = known.count()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .common import BROADCAST_ROWS, inside, numbered_rows
+from .common import BROADCAST_ROWS, inside, numbered_rows, text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -125,6 +125,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
       those of attempts that ended well, so a lost executor leaves at most files
       that nothing refers to.
     """
+    text_batches(pages.sparkSession)
     rows = numbered_rows(pages, "pages")
     payload = F.coalesce(inside(html), F.lit("")).cast("binary")
     known = rows.select("uid", inside(page_id).alias("page_id"), F.sha1(payload).alias("same"), F.octet_length(payload).alias("bytes"))
