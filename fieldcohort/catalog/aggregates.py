@@ -177,19 +177,11 @@ def _bucket(unit: str, label: str) -> str:
     ),
 )
 def e12(t: Tables):
-    from ..operators.latest import union_all
-
-    return union_all(
-        *[
-            op.time_bucket_counts(t.orders, "o_orderdate", u).select(
-                F.lit(u).alias("unit"), F.col("bucket").cast("string").alias("bucket"), "label", "n"
-            )
-            for u in ("day", "week", "month", "quarter", "weekday")
-        ]
-    )
+    return op.time_buckets_of_all_units(t.orders, "o_orderdate")
 
 
 PRIORITY_PAIR = ["1-URGENT", "5-LOW"]
+DECLARED = ["BUILDING", "MACHINERY"]
 STATUSES = ["F", "O"]
 _CELLS = [
     (f"{s.lower()}_{p.lower().replace('-', '_')}", f"o_orderstatus = '{s}' AND o_orderpriority = '{p}'")
@@ -202,8 +194,8 @@ _CELLS = [
     "e13_pivot_margins",
     "SELECT COALESCE(monthname(o_orderdate), 'Total') AS month, "
     + ", ".join(f"COUNT(*) FILTER ({c}) AS {n}" for n, c in _CELLS)
-    + """, COUNT(*) AS total FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority IN ('1-URGENT', '5-LOW')
-         GROUP BY ROLLUP(monthname(o_orderdate))""",
+    + """, COUNT(*) FILTER (NOT (o_orderstatus IN ('F', 'O') AND o_orderpriority IN ('1-URGENT', '5-LOW'))) AS other, COUNT(*) AS total
+         FROM orders GROUP BY ROLLUP(monthname(o_orderdate))""",
 )
 def e13(t: Tables):
     return op.pivot_margins(
@@ -215,34 +207,36 @@ def e13(t: Tables):
 
 
 def _seg_cells(measure: str) -> str:
-    return ", ".join(f"{measure.format(s)} AS {s.lower()}" for s in SEGMENTS)
+    """One column per declared segment and one for all others."""
+    rest = "c_mktsegment NOT IN ({})".format(", ".join(f"'{s}'" for s in DECLARED))
+    return ", ".join([*[measure.format(f"c_mktsegment = '{s}'") + f" AS {s.lower()}" for s in DECLARED], measure.format(rest) + " AS other"])
 
 
 @query(
     "e14_crosstab",
-    f"""WITH b AS (SELECT COALESCE(n_name, 'Total') AS n_name, {_seg_cells("COUNT(*) FILTER (c_mktsegment = '{}')")},
+    f"""WITH b AS (SELECT COALESCE(n_name, 'Total') AS n_name, {_seg_cells("COUNT(*) FILTER ({})")},
           COUNT(*) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ROLLUP(n_name))
-        SELECT *, {', '.join(pct(s.lower(), 'total') + f' AS {s.lower()}_pct' for s in SEGMENTS)} FROM b""",
+        SELECT *, {', '.join(pct(s.lower(), 'total') + f' AS {s.lower()}_pct' for s in [*DECLARED, 'other'])} FROM b""",
 )
 def e14(t: Tables):
-    return op.crosstab(customers_with_nation(t), F.col("n_name"), "n_name", "c_mktsegment", SEGMENTS, percent=True)
+    return op.crosstab(customers_with_nation(t), F.col("n_name"), "n_name", "c_mktsegment", DECLARED, percent=True)
 
 
 @query(
     "e14_crosstab_sum",
-    f"""SELECT n_name, {_seg_cells("COALESCE(SUM(CAST(c_acctbal AS DECIMAL(18,2))) FILTER (c_mktsegment = '{}'), 0)::DOUBLE")},
+    f"""SELECT n_name, {_seg_cells("COALESCE(SUM(CAST(c_acctbal AS DECIMAL(18,2))) FILTER ({}), 0)::DOUBLE")},
         SUM(CAST(c_acctbal AS DECIMAL(18,2)))::DOUBLE AS total FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""",
 )
 def e14_sum(t: Tables):
     return op.crosstab(
-        customers_with_nation(t), F.col("n_name"), "n_name", "c_mktsegment", SEGMENTS, measure=money("c_acctbal"), margins=False
+        customers_with_nation(t), F.col("n_name"), "n_name", "c_mktsegment", DECLARED, measure=money("c_acctbal"), margins=False
     )
 
 
 @query(
     "e15_add_found_percentage",
     f"""WITH b AS (SELECT COALESCE(event_type, 'Total') AS event_type, COUNT(*) FILTER (value > 50) AS oui,
-           COUNT(*) FILTER (value <= 50) AS non, COUNT(*) AS total FROM events GROUP BY ROLLUP(event_type))
+           COUNT(*) FILTER (value <= 50) AS non, 0::BIGINT AS other, COUNT(*) AS total FROM events GROUP BY ROLLUP(event_type))
         SELECT *, oui AS total_found, {pct('oui', 'total', 2)} AS pct_found FROM b""",
 )
 def e15(t: Tables):
@@ -262,12 +256,12 @@ def e16(t: Tables):
 
 @query(
     "e17_heatmap_matrix",
-    f"""SELECT r_name, {_seg_cells("COALESCE(SUM(CAST(c_acctbal AS DECIMAL(18,2))) FILTER (c_mktsegment = '{}'), 0)::DOUBLE")}
+    f"""SELECT r_name, {_seg_cells("COALESCE(SUM(CAST(c_acctbal AS DECIMAL(18,2))) FILTER ({}), 0)::DOUBLE")}
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1""",
 )
 def e17(t: Tables):
     rows = customers_with_nation(t).join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
-    return op.heatmap_matrix(rows, "r_name", "c_mktsegment", SEGMENTS, money("c_acctbal"))
+    return op.heatmap_matrix(rows, "r_name", "c_mktsegment", DECLARED, money("c_acctbal"))
 
 
 def _profile_sql() -> str:
@@ -277,14 +271,15 @@ def _profile_sql() -> str:
         num = f"CAST({c} AS DOUBLE)" if kind != "string" else "CAST(NULL AS DOUBLE)"
         parts.append(
             f"""SELECT '{c}' AS column_name, '{kind}' AS type, COUNT(*) - COUNT({c}) AS n_null, MIN({num}) AS min, MAX({num}) AS max,
-                round(AVG({num}), 4) AS mean FROM customer"""
+                round(AVG({num}), 4) AS mean, round(STDDEV({num}), 4) AS std, QUANTILE_DISC({num}, 0.25) AS q25, QUANTILE_DISC({num}, 0.5) AS q50,
+                QUANTILE_DISC({num}, 0.75) AS q75 FROM customer"""
         )
     return " UNION ALL ".join(parts)
 
 
 @query("e18_profile", _profile_sql())
 def e18(t: Tables):
-    return op.profile(t.customer).withColumn("mean", F.round("mean", 4))
+    return op.profile(t.customer).withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
 @query(
@@ -377,9 +372,9 @@ def e24(t: Tables):
 
 @query(
     "e25_age_pyramid",
-    """SELECT CASE WHEN p_size < 5 THEN '0-4' WHEN p_size < 10 THEN '5-9' WHEN p_size < 15 THEN '10-14' ELSE '15-17' END AS band,
+    """SELECT CASE WHEN p_size < 5 THEN '0-4' WHEN p_size < 10 THEN '5-9' WHEN p_size < 15 THEN '10-14' WHEN p_size < 18 THEN '15-17' ELSE 'other' END AS band,
               COUNT(*) FILTER (p_type = 'SMALL') AS small, COUNT(*) FILTER (p_type = 'PROMO') AS promo,
-              COUNT(*) FILTER (p_type = 'NEVER') AS never FROM part WHERE p_size < 18 GROUP BY 1""",
+              COUNT(*) FILTER (p_type = 'NEVER') AS never, COUNT(*) FILTER (p_type NOT IN ('SMALL', 'PROMO', 'NEVER')) AS other FROM part GROUP BY 1""",
 )
 def e25(t: Tables):
     bands = band("p_size", [(5, "0-4"), (10, "5-9"), (15, "10-14"), (18, "15-17")])
@@ -427,10 +422,12 @@ def e29(t: Tables):
 
 @query(
     "e30_density_fill_buckets",
-    """WITH r AS (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_quantity = 50 AND l_tax = 0.08 AND l_discount = 0.1)
+    """WITH r AS (SELECT CAST(l_shipdate AS DATE) + 3 * (CAST(l_shipdate AS DATE) - DATE '1990-01-01')::INT AS d FROM lineitem)
        SELECT CAST(g AS DATE)::VARCHAR AS bucket, COUNT(d) AS n FROM generate_series((SELECT MIN(d) FROM r)::TIMESTAMP,
          (SELECT MAX(d) FROM r)::TIMESTAMP, INTERVAL 1 DAY) s(g) LEFT JOIN r ON d = CAST(g AS DATE) GROUP BY 1""",
 )
 def e30(t: Tables):
-    rare = t.lineitem.where("l_quantity = 50 AND l_tax = 0.08 AND l_discount = 0.1")
-    return op.density_fill_buckets(rare, "l_shipdate")
+    # every date moves to four times its distance, which leaves three empty days after each
+    day = F.to_date("l_shipdate")
+    spread = F.date_add(day, 3 * F.datediff(day, F.lit("1990-01-01").cast("date")))
+    return op.density_fill_buckets(t.lineitem.select(spread.alias("day")), "day")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import clean as op
-from .registry import Tables, query
+from .registry import MOVED_ORDERS, Tables, moved_orders, query
 
 
 @query("b01_select_existing", "SELECT c_name, c_custkey FROM customer")
@@ -75,11 +75,11 @@ def b07(t: Tables):
     return op.sentinel_to_null(raw, ["o_orderpriority"], ["5-LOW", "4-NOT SPECIFIED"])
 
 
-_LEFT = """customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 495000) o ON c_custkey = o.o_custkey"""
+_LEFT = f"customer LEFT JOIN {MOVED_ORDERS} o ON c_custkey = o.o_custkey"
 
 
-def _with_large_orders(t: Tables):
-    return t.customer.join(t.orders.where("o_totalprice > 495000"), F.col("c_custkey") == F.col("o_custkey"), "left")
+def _with_orders(t: Tables):
+    return t.customer.join(moved_orders(t), F.col("c_custkey") == F.col("o_custkey"), "left")
 
 
 @query(
@@ -90,7 +90,7 @@ def _with_large_orders(t: Tables):
         FROM {_LEFT}""",
 )
 def b08(t: Tables):
-    rows = _with_large_orders(t).select("c_custkey", "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    rows = _with_orders(t).select("c_custkey", "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
     return op.fill_missing_by_type(rows).withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
@@ -100,7 +100,7 @@ def b08(t: Tables):
                ELSE o_orderstatus END AS o_orderstatus FROM {_LEFT}""",
 )
 def b09(t: Tables):
-    rows = _with_large_orders(t).select("c_custkey", "o_orderkey", "o_orderstatus")
+    rows = _with_orders(t).select("c_custkey", "o_orderkey", "o_orderstatus")
     return op.fill_value(rows, "o_orderstatus", "P", "community")
 
 
@@ -109,7 +109,7 @@ def b09(t: Tables):
     f"SELECT c_custkey, o_orderkey, COALESCE(o_orderpriority, c_mktsegment) AS label FROM {_LEFT}",
 )
 def b10(t: Tables):
-    out = op.coalesce_cols(_with_large_orders(t), "label", "o_orderpriority", "c_mktsegment")
+    out = op.coalesce_cols(_with_orders(t), "label", "o_orderpriority", "c_mktsegment")
     return out.select("c_custkey", "o_orderkey", "label")
 
 

@@ -99,12 +99,12 @@ INPUTS = {
           CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 0 WHEN '3-MEDIUM' THEN 2 END AS pcr_result,
           {ORDER_DAY} + 60 AS pcr_result_date, CASE WHEN o_totalprice > 250000 THEN 1 ELSE 2 END AS which_pcr FROM {{orders}}""",
     "children": "SELECT c_custkey AS id_patient, CASE WHEN c_acctbal > 0 THEN c_nationkey END AS id_patient_mother FROM {customer}",
-    "contact_log": f"""SELECT o_custkey AS patient_code, o_orderkey AS event_key, {ORDER_DAY} AS date,
-          CASE WHEN o_orderstatus = 'F' THEN 'Oui' ELSE 'Non' END AS found, o_orderpriority AS type FROM {{orders}} WHERE o_totalprice > 300000""",
-    "attendance": f"""SELECT o_custkey AS patient_code, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS event_key, {SHIP_DAY} AS session_date,
+    "contact_log": f"""SELECT CASE WHEN o_custkey % 4 > 0 THEN o_custkey END AS patient_code, o_orderkey AS event_key, {ORDER_DAY} AS date,
+          CASE WHEN o_orderstatus = 'F' THEN 'Oui' ELSE 'Non' END AS found, o_orderpriority AS type FROM {{orders}}""",
+    "attendance": f"""SELECT CASE WHEN o_custkey % 3 > 0 THEN o_custkey END AS patient_code, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS event_key, {SHIP_DAY} AS session_date,
           CASE l_returnflag WHEN 'R' THEN '1- Present' WHEN 'A' THEN '2- Malade' END AS raison_absence
-        FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey WHERE l_quantity > 48""",
-    "households": f"SELECT o_custkey AS patient_code, o_orderkey AS event_key, {ORDER_DAY} AS collection_date FROM {{orders}} WHERE o_totalprice < 20000",
+        FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey""",
+    "households": f"SELECT CASE WHEN o_custkey % 5 > 0 THEN o_custkey END AS patient_code, o_orderkey AS event_key, {ORDER_DAY} AS collection_date FROM {{orders}}",
     "cohort": f"SELECT c_custkey AS patient_code, c_mktsegment AS office, DATE '2000-01-15' + CAST(c_custkey % 400 AS INT) AS ddr FROM {{customer}}",
     "annual": f"""SELECT o_custkey AS patient_code, o_orderkey AS pregnancy_id, c_mktsegment AS office, CASE WHEN c_acctbal < -500 THEN 1 END AS is_abandoned,
           CASE WHEN c_acctbal > 9500 THEN 1 ELSE 0 END AS is_dead, CASE WHEN o_orderstatus <> 'P' THEN {ORDER_DAY} END AS ddr,
@@ -112,9 +112,19 @@ INPUTS = {
           CASE WHEN o_orderpriority < '3' THEN {ORDER_DAY} - 600 END AS delivery_date,
           CASE WHEN o_totalprice > 450000 THEN 1 END AS termination_of_pregnancy FROM {{orders}} JOIN {{customer}} ON c_custkey = o_custkey""",
     # --- calls, visits and club sessions: a form is an event ---
-    "session_rows": "SELECT event_id AS session_id, event_id AS id_club_session, user_id AS id_patient, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'error' THEN 3 WHEN 'signup' THEN 4 END AS is_present FROM {events}",
-    "session_heads": "SELECT event_id AS id_club_session, user_id % 6 AS id_club, ts AS date FROM {events}",
+    "session_rows": """SELECT event_id AS session_id, event_id AS id_club_session, user_id AS id_patient, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'error' THEN 3 WHEN 'signup' THEN 4 END AS is_present,
+          event_id % 2 AS clore, event_id % 3 AS nbre_deparasitaires, event_id % 5 AS nbre_preservatifs, user_id % 3 AS nbre_vit_a, user_id % 4 AS nbre_moustiquaires,
+          user_id % 2 AS is_patient_tb, CASE WHEN value > 50 THEN 1 END AS is_patient_on_pf, event_type AS adh FROM {events}""",
+    "session_heads": "SELECT event_id AS id_club_session, user_id % 6 AS id_club, ts AS date, user_id % 7 AS topic FROM {events}",
     "club_names": "SELECT s_suppkey AS id_club, s_name AS club_name FROM {supplier}",
+    "club_info": "SELECT s_suppkey AS id_club, s_nationkey AS id_hospital, s_suppkey % 4 AS club_type FROM {supplier}",
+    "session_hospitals": "SELECT n_nationkey AS id_hospital, n_name AS name, n_regionkey AS city_code, 'H' || CAST(n_nationkey AS STRING) AS hospital_code FROM {nation} WHERE n_nationkey > 3",
+    "session_club_types": "SELECT r_regionkey AS club_type, r_name AS name FROM {region} WHERE r_regionkey > 0",
+    "session_topics": "SELECT r_regionkey AS topic, r_name AS name FROM {region}",
+    "mother_info": """SELECT c_custkey AS id_patient, c_name AS first_name, c_mktsegment AS last_name, 'M' || CAST(c_nationkey AS STRING) AS dob, c_custkey % 2 AS is_abandoned,
+          CASE WHEN c_acctbal < 0 THEN 1 END AS is_dead, c_custkey % 3 AS is_graduate, CAST(c_nationkey AS STRING) AS graduation_date FROM {customer} WHERE c_custkey % 2 = 0""",
+    "infant_info": """SELECT c_custkey AS id_patient, c_name || ' jr' AS first_name, CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS last_name, 'I' || CAST(c_nationkey AS STRING) AS dob,
+          CASE WHEN c_acctbal > 0 THEN 1 END AS is_abandoned, c_custkey % 5 AS is_dead, c_custkey % 4 + 1 AS gender FROM {customer} WHERE c_custkey % 3 = 0""",
     "linked": "SELECT c_custkey AS id_patient, c_name AS patient_code, CASE WHEN c_acctbal < 2000 THEN c_nationkey ELSE 0 END AS linked_to_id_patient FROM {customer}",
     "calls": """SELECT event_id AS formid, user_id AS health_id, CASE WHEN event_id % 50 = 0 THEN '---' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS date_appel,
           CASE WHEN value > 80 THEN '---' WHEN value > 20 THEN '1' ELSE '0' END AS is_available, CAST(user_id % 8 AS STRING) || 'agent' AS username
@@ -515,6 +525,31 @@ def k13(t: Tables):
     )
 
 
+_PERSON = ", ".join(f"COALESCE(i.{c}, m.{c}) AS {c}" for c in ("first_name", "last_name", "dob", "is_abandoned", "is_dead"))
+
+
+@query(
+    "k13_session_lines",
+    ctes("session_rows", "session_heads", "club_names", "linked", "club_info", "session_hospitals", "session_club_types", "session_topics", "mother_info", "infant_info")
+    + f""", r AS (SELECT s.*, CAST(h.date AS DATE) AS d, h.id_club, h.topic, patient_code,
+            CASE WHEN linked_to_id_patient > 0 THEN linked_to_id_patient ELSE s.id_patient END AS person
+          FROM session_rows s JOIN session_heads h USING (id_club_session) JOIN linked l ON l.id_patient = s.id_patient WHERE is_present IS NOT NULL),
+        w AS (SELECT *, MIN(d) OVER (PARTITION BY person) AS f1, MAX(d) OVER (PARTITION BY id_patient) AS l1, MIN(d) OVER (PARTITION BY id_patient, id_club) AS f2 FROM r)
+        SELECT person, hs.name AS hospital, hs.city_code || '/' || hs.hospital_code AS site_code, club_name, ct.name AS club_type, patient_code, tp.name AS topic,
+          d::VARCHAR AS session_date, f1::VARCHAR AS first_attendance_date, l1::VARCHAR AS last_attendance_date, f2::VARCHAR AS first_attendance_date_by_club,
+          {_PERSON}, CASE WHEN m.is_graduate = 1 THEN 'Yes' ELSE 'Non' END AS graduation, m.graduation_date,
+          CASE i.gender WHEN 1 THEN 'male' WHEN 2 THEN 'female' WHEN 3 THEN 'unknown' ELSE i.gender::VARCHAR END AS sex, {", ".join(contacts.SERVICES)}, is_present,
+          CASE is_present WHEN 1 THEN '1- Present' WHEN 2 THEN '2- Malade' WHEN 3 THEN '3- Voyage' END AS reason, session_id
+        FROM w LEFT JOIN club_names USING (id_club) LEFT JOIN club_info ci USING (id_club) LEFT JOIN session_hospitals hs USING (id_hospital) LEFT JOIN session_club_types ct ON ct.club_type = ci.club_type
+          LEFT JOIN session_topics tp ON tp.topic = w.topic LEFT JOIN mother_info m ON m.id_patient = person LEFT JOIN infant_info i ON i.id_patient = person
+        WHERE d BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
+)
+def k13_lines(t: Tables):
+    heads = ("session_rows", "session_heads", "club_names", "linked")
+    detail = contacts.session_detail(*[made(t, n) for n in heads], REASONS, "2024-01-10", "2024-01-20", keep=["id_club", "topic", *contacts.SERVICES])
+    return contacts.session_lines(detail, *[made(t, n) for n in ("club_info", "session_hospitals", "session_club_types", "session_topics", "mother_info", "infant_info")])
+
+
 @query(
     "k14_mother_club_sessions",
     ctes("mothers", "club_sessions")
@@ -583,7 +618,7 @@ def k16_by(t: Tables):
     return contacts.contacts_by(contacts.decided(_log(t)), "username", "program", "type")
 
 
-_COMMUNES = ["Nord", "Ouest", "Nord-Ouest", "Artibonite", "Autre"]
+_COMMUNES = ["Nord", "Ouest", "Artibonite"]
 
 
 @query(
@@ -593,7 +628,8 @@ _COMMUNES = ["Nord", "Ouest", "Nord-Ouest", "Artibonite", "Autre"]
     + ", ".join(
         f"COUNT(*) FILTER (commune = '{c}' AND found = '{f}') AS {c.lower().replace('-', '_')}_{f.lower()}" for c in _COMMUNES for f in ("Oui", "Non")
     )
-    + f", COUNT(*) AS total, {_OUI} AS total_found FROM c GROUP BY ROLLUP(mois)) SELECT *, {pct('total_found', 'total', 2)} AS pct_found FROM p",
+    + ", COUNT(*) FILTER (NOT (commune IN ({0}) AND found IN ('Oui', 'Non'))) AS other".format(", ".join(f"'{c}'" for c in _COMMUNES))
+    + f", COUNT(*) AS total, {_OUI} AS total_found FROM c WHERE commune IS NOT NULL AND found IS NOT NULL GROUP BY ROLLUP(mois)) SELECT *, {pct('total_found', 'total', 2)} AS pct_found FROM p",
 )
 def k16_month(t: Tables):
     return contacts.contacts_by_month(contacts.decided(_log(t)), _COMMUNES)
@@ -607,7 +643,7 @@ def k16_month(t: Tables):
     ctes("savings_groups", "active_groups", "members", "officers", "known_duplicates", "questionnaires")
     + """, b AS (SELECT * FROM savings_groups WHERE caseid IN (SELECT caseid FROM active_groups)),
         g AS (SELECT * FROM b UNION ALL SELECT * FROM savings_groups WHERE creation_date > (SELECT MAX(creation_date) FROM b)),
-        g2 AS (SELECT caseid AS caseid_group, CASE WHEN name = 'BUILDING' THEN 'jessica' WHEN username = 'old1' THEN 'estheve' WHEN username = 'old2' THEN 'fanfan' ELSE username END AS username FROM g),
+        g2 AS (SELECT caseid AS caseid_group, CASE WHEN name = 'BUILDING' THEN 'agent_a' WHEN username = 'old1' THEN 'agent_b' WHEN username = 'old2' THEN 'agent_c' ELSE username END AS username FROM g),
         q AS (SELECT * FROM questionnaires QUALIFY ROW_NUMBER() OVER (PARTITION BY caseid ORDER BY date_ppi DESC, form DESC) = 1)
         SELECT m.caseid, m.caseid_group, g2.username, officer_name, rank, type_ppi, date_ppi::VARCHAR AS date_ppi FROM members m JOIN g2 USING (caseid_group)
         LEFT JOIN officers USING (caseid_group) LEFT JOIN q ON q.caseid = m.caseid
@@ -617,8 +653,8 @@ def k17(t: Tables):
     names = ("savings_groups", "active_groups", "members", "officers", "known_duplicates", "questionnaires")
     out = groups.savings_groups_active(
         *[made(t, n) for n in names],
-        agent_by_name={"BUILDING": "jessica"},
-        agent_by_agent={"old1": "estheve", "old2": "fanfan"},
+        agent_by_name={"BUILDING": "agent_a"},
+        agent_by_agent={"old1": "agent_b", "old2": "agent_c"},
         newest=[F.col("date_ppi").desc(), F.col("form").desc()],
     )
     return out.select("caseid", "caseid_group", "username", "officer_name", "rank", "type_ppi", "date_ppi")
@@ -719,7 +755,8 @@ def k21(t: Tables):
 @query(
     "k21_annual_attendance",
     ctes("attendance")
-    + """SELECT patient_code, COUNT(*) FILTER (raison_absence = '1- Present') AS present, COUNT(*) FILTER (raison_absence IS DISTINCT FROM '1- Present') AS absent FROM attendance GROUP BY 1""",
+    + """SELECT patient_code, COUNT(*) FILTER (raison_absence = '1- Present') AS present, COUNT(*) FILTER (raison_absence IS DISTINCT FROM '1- Present') AS absent FROM attendance
+         WHERE patient_code IS NOT NULL GROUP BY 1""",
 )
 def k21_attendance(t: Tables):
     return maternal.annual_attendance(made(t, "attendance"), F.col("raison_absence") == "1- Present")
@@ -783,8 +820,10 @@ _PERIOD_SQL = {
     "current_month": ("2024-01-01", "2024-01-31"),
     "previous_month": ("2023-12-01", "2023-12-31"),
     "last_3_months": ("2023-10-01", "2023-12-31"),
-    "all": ("2020-01-01", "2024-01-18"),
 }
+#: Some events lie long before and after the run date, and some have no date.
+_SPREAD = """(SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN NULL WHEN user_id % 7 = 1 THEN ts - INTERVAL 9 YEAR WHEN user_id % 7 = 2 THEN ts + INTERVAL 3 YEAR ELSE ts END AS ts)
+       FROM events)"""
 _IND = {
     "forms": "COUNT(*)",
     "errors": "COUNT(*) FILTER (event_type = 'error')",
@@ -797,15 +836,17 @@ _IND = {
     "k24_weekly_activity_pack",
     "SELECT * FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{p}' AS period, '{n}' AS indicator, {e} AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
-        for p, (lo, hi) in _PERIOD_SQL.items()
+        f"SELECT '{p}' AS period, '{n}' AS indicator, {e} AS n FROM {_SPREAD} WHERE {where}"
+        for p, where in [*((p, f"CAST(ts AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'") for p, (lo, hi) in _PERIOD_SQL.items()), ("all", "TRUE")]
         for n, e in _IND.items()
     )
     + ") WHERE n > 0",
 )
 def k24(t: Tables):
+    group, ts = F.col("user_id") % 7, F.col("ts")
+    moved = F.when(group == 0, None).when(group == 1, ts - F.expr("interval 9 year")).when(group == 2, ts + F.expr("interval 3 year")).otherwise(ts)
     return dashboards.activity_pack(
-        t.events,
+        t.events.withColumn("ts", moved),
         "ts",
         "2024-01-18",
         {
@@ -837,12 +878,14 @@ def k25(t: Tables):
     )
 
 
+# Some of the mothers are on therapy, of some it is not known.
+_THERAPY_SQL = "CASE patient_code % 3 WHEN 0 THEN 'Oui' WHEN 1 THEN 'Non' END"
 _LISTS = {
     "not_in_club": "mother_in_club = 'no'",
     "not_served": "service_type = 'no'",
     "no_household_count": "has_household = 'no'",
     "served_in_club_only": "mother_in_club = 'yes' AND service_type = 'no'",
-    "third_trimester": f"{due_sql('ddr')} - DATE '2001-03-01' <= 91",
+    "third_trimester_without_therapy": f"{due_sql('ddr')} - DATE '2001-03-01' <= 91 AND COALESCE({_THERAPY_SQL}, 'Non') = 'Non'",
 }
 _WORK = _FLAGS + ", lists AS (" + " UNION ALL ".join(
     f"SELECT '{n}' AS list, patient_code AS key, office, ddr AS sort_date FROM flags WHERE {c}" for n, c in _LISTS.items()
@@ -853,6 +896,7 @@ def _work_lists(t: Tables):
     from ..functions.dates import trimester, due_date
 
     in_club, served, counted = (F.col(c) == "yes" for c in ("mother_in_club", "service_type", "has_household"))
+    therapy = F.when(F.col("patient_code") % 3 == 0, "Oui").when(F.col("patient_code") % 3 == 1, "Non")
     return dashboards.action_lists(
         _flags(t),
         "patient_code",
@@ -863,7 +907,7 @@ def _work_lists(t: Tables):
             "not_served": ~served,
             "no_household_count": ~counted,
             "served_in_club_only": in_club & ~served,
-            "third_trimester": trimester(due_date("ddr"), "2001-03-01") == "3rd",
+            "third_trimester_without_therapy": (trimester(due_date("ddr"), "2001-03-01") == "3rd") & (F.coalesce(therapy, F.lit("Non")) == "Non"),
         },
     )
 

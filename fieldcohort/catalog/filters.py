@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import filters as op
 from ..operators import joins
-from .registry import AS_OF, EVENTS_AS_OF, Tables, query
+from .registry import AS_OF, EVENTS_AS_OF, MOVED_ORDERS, Tables, moved_orders, query
 
 _IN_1997 = "o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'"
 
@@ -48,11 +48,11 @@ def c03(t: Tables):
     return out.select("o_orderkey", "n_lines")
 
 
-_LARGE = "customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 495000) o ON c_custkey = o.o_custkey"
+_LARGE = f"customer LEFT JOIN {MOVED_ORDERS} o ON c_custkey = o.o_custkey"
 
 
 def _large(t: Tables):
-    return t.customer.join(t.orders.where("o_totalprice > 495000"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return t.customer.join(moved_orders(t), F.col("c_custkey") == F.col("o_custkey"), "left")
 
 
 @query(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import joins as op
-from .registry import Tables, query
+from .registry import MOVED_ORDERS, Tables, moved_orders, query
 
 
 def _orders_by_customer(t: Tables, where: str = "true"):
@@ -20,21 +20,18 @@ def d01(t: Tables):
     return out.select("c_custkey", "c_name", "n_name", "n_regionkey")
 
 
-_BIG = "o_totalprice > 480000"
-
-
 @query(
     "d02_match_flag_join",
     f"""SELECT c_custkey, o_orderkey, CASE WHEN o.o_custkey IS NULL THEN 'no' ELSE 'yes' END AS has_order, 'all' AS kind
-        FROM customer LEFT JOIN (SELECT * FROM orders WHERE {_BIG}) o ON c_custkey = o.o_custkey
+        FROM customer LEFT JOIN {MOVED_ORDERS} o ON c_custkey = o.o_custkey
         UNION ALL
         SELECT c_custkey, o_orderkey, CASE WHEN o.o_custkey IS NULL THEN 'no' ELSE 'yes' END, 'newest'
         FROM customer LEFT JOIN (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey
-              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders WHERE {_BIG}) WHERE rn = 1) o
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM {MOVED_ORDERS}) WHERE rn = 1) o
           ON c_custkey = o.o_custkey""",
 )
 def d02(t: Tables):
-    people, big = t.customer.select("c_custkey"), _orders_by_customer(t, _BIG).select("c_custkey", "o_orderkey", "o_orderdate")
+    people, big = t.customer.select("c_custkey"), moved_orders(t).withColumnRenamed("o_custkey", "c_custkey").select("c_custkey", "o_orderkey", "o_orderdate")
     newest = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
     every = op.match_flag_join(people, big, "c_custkey", "has_order").withColumn("kind", F.lit("all"))
     one = op.match_flag_join(people, big, "c_custkey", "has_order", dedupe_right=newest).withColumn("kind", F.lit("newest"))
@@ -76,10 +73,10 @@ def d04(t: Tables):
 
 @query(
     "d05_anti_join",
-    f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE {_BIG})",
+    f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM {MOVED_ORDERS})",
 )
 def d05(t: Tables):
-    return op.anti_join(t.customer, _orders_by_customer(t, _BIG), "c_custkey").select("c_custkey", "c_name")
+    return op.anti_join(t.customer, moved_orders(t).withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").select("c_custkey", "c_name")
 
 
 _URGENT = "o_orderpriority = '1-URGENT'"
@@ -221,12 +218,12 @@ def d12(t: Tables):
 )
 def d13(t: Tables):
     keys = ["l_orderkey", "l_linenumber"]
-    returned = t.lineitem.where("l_returnflag = 'R'").select(*keys)
-    other = t.lineitem.where("l_returnflag <> 'R'").select(*keys, "l_quantity")
+    # both sides are grouped first, so the join has one row per key
+    returned = t.lineitem.where("l_returnflag = 'R'").groupBy(*keys).agg(F.count(F.lit(1)).alias("a"))
+    qty = F.sum(F.col("l_quantity").cast("decimal(18,2)"))
+    other = t.lineitem.where("l_returnflag <> 'R'").groupBy(*keys).agg(F.count(F.lit(1)).alias("b"), qty.alias("q"))
     both = op.inner_chain(returned, (other, keys))
-    return both.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty")
-    )
+    return both.select(*keys, (F.col("a") * F.col("b")).alias("n"), (F.col("a") * F.col("q")).cast("decimal(38,2)").alias("qty"))
 
 
 @query(

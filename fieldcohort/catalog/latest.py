@@ -146,7 +146,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     "g05_category_order_by_total",
     "SELECT COALESCE(n_name, 'Total') AS n_name, "
     + ", ".join(f"COUNT(*) FILTER (c_mktsegment = '{s}') AS {s.lower()}" for s in SEGMENTS)
-    + ", COUNT(*) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ROLLUP(n_name)",
+    + ", 0::BIGINT AS other, COUNT(*) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ROLLUP(n_name)",
 )
 def g05(t: Tables):
     rows = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))

@@ -51,6 +51,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: All orders; those of every third customer belong to nobody, so some customers have none.
+MOVED_ORDERS = "(SELECT * REPLACE (CASE WHEN o_custkey % 3 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey) FROM orders)"
+
+
+def moved_orders(t: Tables) -> DataFrame:
+    key = F.col("o_custkey")
+    return t.orders.withColumn("o_custkey", F.when(key % 3 == 0, -key).otherwise(key))
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Dates as text and decimals as doubles, for comparison across engines."""
     out = []

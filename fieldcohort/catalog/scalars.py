@@ -541,6 +541,30 @@ def i58(t: Tables):
     return _pairs(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", active.alias("active"))
 
 
+@query(
+    "i58_active_group",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_returnflag IN ('X', 'A') THEN 'no' WHEN closed < DATE '1998-01-01' THEN 'no'
+          WHEN created > DATE '1999-12-31' THEN 'no' WHEN inactive > DATE '1998-01-01' THEN 'yes' WHEN inactive < DATE '1998-01-01' THEN 'no'
+          WHEN COALESCE(is_inactive, 0) = 0 THEN 'yes' ELSE 'no' END AS active
+        FROM (SELECT *, {_CASE_COLS} FROM {_PAIR})""",
+)
+def i58_group(t: Tables):
+    ship, flag, state = F.to_date("l_shipdate"), F.col("l_returnflag"), F.col("l_linestatus")
+    active = bd.active_group(
+        "1998-01-01",
+        "1999-12-31",
+        office=flag,
+        excluded=["X", "A"],
+        closed=F.when(flag == "R", ship),
+        created=day(),
+        graduated=F.when(flag == "A", ship),
+        inactive=F.when((state == "O") & (flag == "N"), ship),
+        is_inactive=F.when(state == "F", 1),
+        is_graduated=F.lit(None).cast("int"),
+    )
+    return _pairs(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", active.alias("active"))
+
+
 @query(
     "i59_period_eligible",
     f"""SELECT o_orderkey, {_yn(f"o_custkey IN (1, 5, 6) AND {DAY} BETWEEN DATE '1997-05-01' AND DATE '2000-10-30'")} AS eligible FROM orders""",

@@ -71,7 +71,7 @@ def m04(t: Tables):
     t.events.repartition(4, "event_id").write.parquet(folder)
     out, mark = scratch_path(t.spark, "newest"), scratch_path(t.spark, "mark")
     jobs.stream_latest_per_key(_arriving(t, folder, files_per_batch=1), "user_id", _newest(), out, mark)
-    return jobs.read_latest_version(t.spark, out).select("user_id", "event_id", "event_type", "value")
+    return jobs.read_latest_version(t.spark, out, SCHEMA).select("user_id", "event_id", "event_type", "value")
 
 
 @query(

@@ -108,6 +108,17 @@ def active_case(start, end, *, closed, created, graduated, abandoned, inactive,
     )
 
 
+def active_group(start, end, *, office, excluded: Sequence, closed, created, graduated, inactive, is_inactive, is_graduated) -> Column:
+    """Was the group active in [start, end]? Groups of excluded offices never
+    are; abandoning plays no part. First matching rule wins and a missing date
+    never matches."""
+    rule = active_case(
+        start, end, closed=closed, created=created, graduated=graduated, abandoned=F.lit(None).cast("date"),
+        inactive=inactive, is_inactive=is_inactive, is_graduated=is_graduated,
+    )
+    return F.when(office.isin(*excluded), F.lit("no")).otherwise(rule)
+
+
 def period_eligible(user: str | Column, day: str | Column, users: Sequence, start, end) -> Column:
     return yes_no(as_col(user).isin(*users) & as_date(as_col(day)).between(as_date(start), as_date(end)))
 

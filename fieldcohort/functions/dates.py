@@ -151,6 +151,7 @@ def quarter_flag(c: str | Column, quarter: int, as_of: AsOf) -> Column:
 def period_status(c: str | Column) -> Column:
     """Season label of a date; an unknown date stays unknown."""
     month = F.month(as_col(c))
+    # The labels of the seasons.
     return (
         F.when(month <= 4, F.lit("janvier-avril"))
         .when(month <= 9, F.lit("mai-septembre"))

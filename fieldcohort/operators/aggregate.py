@@ -6,6 +6,7 @@ Pivots take their value list, so no extra pass finds it and width is known.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ from .clean import quoted, value_names
 from .filters import on_or_between
 
 TOTAL = "Total"
+#: Column and band of what was not declared.
+OTHER = "other"
 
 
 def _known(df: DataFrame, *keys: str) -> DataFrame:
@@ -178,6 +181,24 @@ def time_bucket_counts(df: DataFrame, col: str, unit: str) -> DataFrame:
     return counts.select("bucket", label.alias("label"), "n").orderBy("bucket")
 
 
+def time_buckets_of_all_units(df: DataFrame, col: str, units: Sequence[str] = ("day", "week", "month", "quarter", "weekday")) -> DataFrame:
+    """(unit, bucket as text, label, n) for several units from one pass.
+
+    Rows are counted per day first; every other unit is rolled up from the days.
+    """
+    days = _known(df, col).groupBy(as_date(quoted(col)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    marks = []
+    for unit in units:
+        if unit == "weekday":
+            bucket, label = (F.weekday("day") + 1).cast("string"), F.date_format("day", "EEEE")
+        else:
+            start = time_bucket(F.col("day"), unit)
+            bucket, label = start.cast("string"), F.date_format(start, BUCKET_LABELS[unit])
+        marks.append(F.struct(F.lit(unit).alias("unit"), bucket.alias("bucket"), label.alias("label")))
+    each = days.select("n", F.inline(F.array(*marks)))
+    return each.groupBy("unit", "bucket", "label").agg(F.sum("n").alias("n"))
+
+
 def fill_buckets(counts: DataFrame, unit: str) -> DataFrame:
     """Add the empty buckets between the first and the last as 0."""
     span = counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where("lo is not null")
@@ -206,20 +227,23 @@ def crosstab(
     """Rows by columns with counts (or a summed measure) and totals.
 
     One grouped pass over the rows with one conditional aggregate per declared
-    column; the total row is rolled up from its result.
+    column; the total row is rolled up from its result. Values that are not
+    declared are summed up in the column ``other``, so totals hold all rows; a
+    missing row or column value is in neither.
     """
     base = df.select(row.cast("string").alias(row_name), quoted(col).alias("_col"),
                      (F.lit(1) if measure is None else measure).alias("_m")).where(
-        F.col(row_name).isNotNull() & F.col("_col").isin(*values)
+        F.col(row_name).isNotNull() & F.col("_col").isNotNull()
     )
-    names = value_names(values, taken=[row_name, "total"])
+    names = value_names(values, taken=[row_name, "total", OTHER])
     aggs = [F.coalesce(F.sum(F.when(F.col("_col") == F.lit(v), F.col("_m"))), F.lit(0)).alias(n) for v, n in names.items()]
+    aggs.append(F.coalesce(F.sum(F.when(~F.col("_col").isin(*values), F.col("_m"))), F.lit(0)).alias(OTHER))
     aggs.append(F.coalesce(F.sum("_m"), F.lit(0)).alias("total"))
     body = base.groupBy(row_name).agg(*aggs)
     if margins:
         body = with_margin(body, row_name)
     if percent:
-        body = body.withColumns({f"{n}_pct": safe_pct(F.col(n), F.col("total"), digits) for n in names.values()})
+        body = body.withColumns({f"{n}_pct": safe_pct(F.col(n), F.col("total"), digits) for n in [*names.values(), OTHER]})
     return body
 
 
@@ -229,24 +253,30 @@ def category_order_by_total(table: DataFrame, row_name: str) -> DataFrame:
 
 
 def pivot_margins(
-    df: DataFrame, index: Column, index_name: str, groups: Sequence[tuple[str, Sequence]], total: bool = True
+    df: DataFrame,
+    index: Column,
+    index_name: str,
+    groups: Sequence[tuple[str, Sequence]],
+    total: bool = True,
+    counts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Counts of one or two nested column levels with row and column totals.
 
-    Only rows with a count appear, and the total row is kept.
+    Rows whose levels are not declared are counted in the column ``other``, so
+    totals hold all rows; a missing index or level is not counted. ``counts``
+    adds the number of rows that meet a condition on the levels.
     """
     (outer, outer_values), *rest = groups
     base = df.select(index.cast("string").alias(index_name), *[quoted(g).alias(g) for g, _ in groups])
-    base = base.where(F.col(index_name).isNotNull())
-    cells = {n: F.col(outer) == F.lit(v) for v, n in value_names(outer_values, taken=[index_name, "total"]).items()}
+    base = base.dropna(subset=[index_name, *[g for g, _ in groups]])
+    cells = {n: F.col(outer) == F.lit(v) for v, n in value_names(outer_values, taken=[index_name, "total", OTHER]).items()}
     for inner, inner_values in rest:
         inner_names = value_names(inner_values)
         cells = {f"{n}_{m}": c & (F.col(inner) == F.lit(w)) for n, c in cells.items() for w, m in inner_names.items()}
-    known = None
-    for cond in cells.values():
-        known = cond if known is None else known | cond
-    aggs = [F.count_if(c).alias(n) for n, c in cells.items()] + [F.count_if(known).alias("total")]
-    body = base.groupBy(index_name).agg(*aggs).where("total > 0")
+    declared = functools.reduce(lambda one, two: one | two, cells.values())
+    aggs = [F.count_if(c).alias(n) for n, c in cells.items()] + [F.count_if(~declared).alias(OTHER), F.count(F.lit(1)).alias("total")]
+    aggs += [F.count_if(c).alias(n) for n, c in (counts or {}).items()]
+    body = base.groupBy(index_name).agg(*aggs)
     return with_margin(body, index_name) if total else body
 
 
@@ -265,31 +295,38 @@ def attendance_summary(df: DataFrame, key: str, present: Column) -> DataFrame:
 
 
 def heatmap_matrix(df: DataFrame, row: str, col: str, values: Sequence, measure: Column) -> DataFrame:
-    """Summed measure per row and declared column, missing cells as 0."""
+    """Summed measure per row and declared column, missing cells as 0; ``other`` sums all other columns."""
     zero = F.lit(0)
     cells = [
         F.coalesce(F.sum(F.when(quoted(col) == F.lit(v), measure)), zero).alias(n)
-        for v, n in value_names(values, taken=[row]).items()
+        for v, n in value_names(values, taken=[row, OTHER]).items()
     ]
-    return _known(df, row).groupBy(row).agg(*cells)
+    rest = F.coalesce(F.sum(F.when(F.coalesce(~quoted(col).isin(*values), F.lit(True)), measure)), zero).alias(OTHER)
+    return _known(df, row).groupBy(row).agg(*cells, rest)
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Type, null count and numeric statistics per column, from one pass."""
+    """Type, null count and numeric statistics per column, from one pass.
+
+    Quartiles are approximate on large inputs (``percentile_approx`` with
+    accuracy 10 000); they are values that occur.
+    """
     aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
     for i, f in enumerate(df.schema.fields):
         c = quoted(f.name)
         numeric = isinstance(f.dataType, T.NumericType)
         num = c.cast("double") if numeric else F.lit(None).cast("double")
-        aggs += [F.count(c).alias(f"c{i}"), F.min(num).alias(f"lo{i}"), F.max(num).alias(f"hi{i}"), F.avg(num).alias(f"avg{i}")]
+        stats = {"min": F.min(num), "max": F.max(num), "mean": F.avg(num), "std": F.stddev(num)}
+        aggs += [F.count(c).alias(f"c{i}"), *[v.alias(f"{k}{i}") for k, v in stats.items()]]
+        aggs.append(F.percentile_approx(num, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}"))
+        quartiles = [F.get(F.col(f"q{i}"), F.lit(k)).alias(n) for k, n in enumerate(("q25", "q50", "q75"))]
         rows.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("type"),
                 (F.col("_rows") - F.col(f"c{i}")).alias("n_null"),
-                F.col(f"lo{i}").alias("min"),
-                F.col(f"hi{i}").alias("max"),
-                F.col(f"avg{i}").alias("mean"),
+                *[F.col(f"{k}{i}").alias(k) for k in stats],
+                *quartiles,
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
@@ -363,9 +400,15 @@ def sum_by(df: DataFrame, key: str, value: Column, out: str) -> DataFrame:
 
 
 def age_pyramid(df: DataFrame, band: Column, sex: str, sexes: Sequence) -> DataFrame:
-    """Band by sex counts; every sex has its column."""
-    rows = df.select(band.alias("band"), quoted(sex).alias("_sex")).where(F.col("band").isNotNull())
-    return rows.groupBy("band").agg(*[F.count_if(F.col("_sex") == F.lit(s)).alias(n) for s, n in value_names(sexes, taken=["band"]).items()])
+    """Band by sex counts; every sex has its column.
+
+    Rows of any other or missing sex are counted in ``other``, rows without a
+    band in the band ``other``.
+    """
+    rows = df.select(F.coalesce(band.cast("string"), F.lit(OTHER)).alias("band"), quoted(sex).alias("_sex"))
+    names = value_names(sexes, taken=["band", OTHER])
+    rest = F.count_if(F.coalesce(~F.col("_sex").isin(*sexes), F.lit(True))).alias(OTHER)
+    return rows.groupBy("band").agg(*[F.count_if(F.col("_sex") == F.lit(s)).alias(n) for s, n in names.items()], rest)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -185,21 +185,37 @@ def make_code(df: DataFrame, col: str, out: str, prefix: str) -> DataFrame:
     return df.withColumn(out, F.upper(code))
 
 
-def vocabulary(df: DataFrame, col: str, limit: int = 1000) -> list:
-    """Distinct non-null values of a category column, for use as column names.
+#: From so many values on, flags come as rows and not as columns.
+WIDE = 1000
 
-    Columns cannot be unbounded, so more than ``limit`` values is an error;
-    nothing is cut off silently.
-    """
-    rows = df.select(quoted(col).alias("v")).where("v is not null").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} values and cannot become columns")
-    return sorted(r.v for r in rows)
+
+def vocabulary(df: DataFrame, col: str) -> list | None:
+    """Distinct non-null values of a category column, sorted; None if too many to be columns."""
+    rows = df.select(quoted(col).alias("v")).where("v is not null").distinct().limit(WIDE + 1).collect()
+    return None if len(rows) > WIDE else sorted(r.v for r in rows)
+
+
+def long_flags(df: DataFrame, labels: Column) -> DataFrame:
+    """One row per set flag, named in ``flag``; a row without any has a null flag once."""
+    return df.withColumn("flag", F.explode_outer(labels))
+
+
+def _flag_name(prefix: str, value: Column) -> Column:
+    """The column name ``value_names`` would give, as an expression."""
+    plain = F.regexp_replace(F.lower(value.cast("string")), "[^a-z0-9]+", "_")
+    return F.concat(F.lit(prefix), F.btrim(plain, F.lit("_")))
 
 
 def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null: bool = False) -> DataFrame:
-    """0/1 column per category, named ``col_value``."""
+    """0/1 column per category, named ``col_value``.
+
+    Without ``values`` all are taken; more than ``WIDE`` of them give the long
+    form of ``long_flags`` instead, with the same names.
+    """
     found = vocabulary(df, col) if values is None else values
+    if found is None:
+        missing = F.lit(f"{col}_null") if dummy_null else F.lit(None)
+        return long_flags(df, F.array(F.coalesce(_flag_name(f"{col}_", quoted(col)), missing)))
     names = value_names(found, f"{col}_")
     new = {n: F.when(quoted(col) == F.lit(v), 1).otherwise(0) for v, n in names.items()}
     if dummy_null:
@@ -210,10 +226,17 @@ def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null:
 def multi_label_flags(
     df: DataFrame, col: str, values: Sequence[str] | None = None, alone: str | None = "aucun", prefix: str = ""
 ) -> DataFrame:
-    """0/1 column per blank-separated token; ``alone`` counts only by itself."""
+    """0/1 column per blank-separated token; ``alone`` counts only by itself.
+
+    Without ``values`` all are taken; more than ``WIDE`` of them give the long
+    form of ``long_flags`` instead.
+    """
     tokens = F.filter(F.split(F.coalesce(F.lower(F.trim(quoted(col))), F.lit("")), r"\s+"), lambda x: x != "")
     if values is None:
         values = vocabulary(df.select(F.explode(tokens).alias("token")), "token")
+    if values is None:
+        counted = F.filter(F.array_distinct(tokens), lambda x: (x != F.lit(alone or "")) | (F.size(tokens) == 1))
+        return long_flags(df, F.transform(counted, lambda x: _flag_name(prefix, x)))
     new = {}
     for v, name in value_names(values, prefix).items():
         hit = F.array_contains(tokens, v)

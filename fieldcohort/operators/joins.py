@@ -227,8 +227,10 @@ def disjoint_by_key(df: DataFrame, key: str, start, end) -> tuple[DataFrame, Dat
     lo, hi = as_date(start), as_date(end)
     chosen = df.where((F.col("dpa") >= lo) | (F.col("dpa").isNull() & F.col("added_at").between(lo, hi)))
     recent = F.col("delivery_date").isNull() | (F.col("delivery_date") >= F.add_months(lo, -24))
-    old = anti_join(chosen, chosen.where(recent), key).where(F.col("delivery_date").isNotNull())
-    kept = anti_join(chosen, old, key).where(
+    flags = chosen.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(recent).alias("_recent"))
+    flagged = chosen.join(flags, key, "left").withColumn("_out", ~F.coalesce("_recent", F.lit(False))).drop("_recent")
+    old = flagged.where(F.col("_out") & F.col("delivery_date").isNotNull()).drop("_out")
+    kept = flagged.where(~F.col("_out") | F.col(key).isNull()).drop("_out").where(
         F.coalesce(F.col("delivery_date") > F.add_months(lo, -3), F.lit(False))
         | F.col("dpa").isNotNull()
         | F.col("ddr").isNotNull()

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .clean import quoted
 
 
@@ -62,11 +63,13 @@ def join_group_rows(df: DataFrame, groups: DataFrame, key: str | Sequence[str],
     of all rows are at most a thousand, so they are broadcast. Their detail
     rows skip the other join: a salt spreads them over its partitions, where
     they meet nothing. The salt is a hash of the row's short columns, so it is
-    the same when a task runs again. A missing key gets nulls.
+    the same when a task runs again. A missing key gets nulls. The groups are
+    written to the shared folder, so they are computed once.
     """
     keys = _keys(key)
+    groups = cut_lineage(groups, "groups")
     cols = [c for c in groups.columns if c not in keys and c != size]
-    limit = groups.agg(F.sum(size) / HOT_KEYS).scalar()
+    limit = F.lit(groups.agg(F.sum(size) / HOT_KEYS).first()[0] or 0.0)
     large = groups.where(F.col(size) > limit).select(*keys, *[quoted(c).alias(f"_hot_{c}") for c in cols], F.lit(True).alias("_hot"))
     small = groups.where(F.col(size) <= limit).select(*keys, *cols, F.lit(0).cast("long").alias("_salt"))
     short = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)] or df.columns

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import lowest_sequence_ratio, token_set_ratio
 from ..functions.text import normalize_text
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .clean import quoted, require_columns
 from .latest import dedupe_keep, join_group_rows, latest_per_key
 
@@ -65,22 +65,45 @@ def number_densely(keys: DataFrame, key: str, out: str, start: int = 1) -> DataF
     )
 
 
-def exact_duplicate_groups(df: DataFrame, cols: Sequence[str], mode: str = "duplicates") -> DataFrame:
-    """Group rows whose normalised columns are equal.
+def row_digest(cols: Sequence[str]) -> Column:
+    """One digest of several normalised columns.
 
-    Adds a group number (0 for a single row) and the group size. Rows are
-    grouped on a SHA-256 digest, so whole texts are compared without being
-    shuffled.
+    Each column is digested by itself first, so no text in one column can pass
+    for the border between two.
     """
-    _check(df, cols, mode)
-    keyed = df.withColumn("_k", _digest(F.concat_ws("\x1f", *[compare_text(c) for c in cols])))
+    each = [_digest(compare_text(c)) for c in cols]
+    return each[0] if len(each) == 1 else _digest(F.concat(*each))
+
+
+def exact_duplicate_labels(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame:
+    """(row_id, group number, group size) of every row; 0 and 1 for a single one.
+
+    Texts are read and normalised once: the narrow rows of id and digest are
+    written, and grouped from there. Groups are numbered in the order of their
+    digests, which has nothing to do with the order of the keys.
+    """
+    _check(df, cols, "all")
+    keyed = cut_lineage(df.select(quoted(row_id).alias(row_id), row_digest(cols).alias("_k")), "digests")
+    return _numbered(keyed)
+
+
+def _numbered(keyed: DataFrame) -> DataFrame:
     repeated = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
     numbered = number_densely(repeated, "_k", GROUP_ID).withColumn("_size", F.col(GROUP_SIZE))
     out = join_group_rows(keyed, numbered, "_k", "_size").drop("_k")
-    return _pick(
-        out.withColumns({GROUP_ID: F.coalesce(GROUP_ID, F.lit(0)), GROUP_SIZE: F.coalesce(GROUP_SIZE, F.lit(1))}),
-        mode,
-    )
+    return out.withColumns({GROUP_ID: F.coalesce(GROUP_ID, F.lit(0)), GROUP_SIZE: F.coalesce(GROUP_SIZE, F.lit(1))})
+
+
+def exact_duplicate_groups(df: DataFrame, cols: Sequence[str], mode: str = "duplicates") -> DataFrame:
+    """Group rows whose normalised columns are equal.
+
+    Adds a group number (0 for a single row, else in the order of the digests)
+    and the group size. Rows are grouped on a SHA-256 digest, so whole texts
+    are compared without being shuffled for it. Where rows have an id,
+    ``exact_duplicate_labels`` is cheaper: it reads the texts once.
+    """
+    _check(df, cols, mode)
+    return _pick(_numbered(df.withColumn("_k", row_digest(cols))), mode)
 
 
 def keep_most_null(groups: DataFrame, row_id: str, mode: str = "duplicates", case_id: str | None = None) -> DataFrame:
@@ -183,7 +206,7 @@ def similar_lengths(la: Column, lb: Column, t: float) -> Column:
     return 2 * F.least(la, lb) >= t * (la + lb) - 1e-9
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the smallest node.
 
     Alternating large-star and small-star rounds, each grouped by node
@@ -191,7 +214,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     when the links are stars: one link per node, none from a root.
     """
     links = cut_lineage(edges.where("a <> b").selectExpr("greatest(a, b) u", "least(a, b) v").distinct(), "links")
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.selectExpr("v u", "u v"))
         lows = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -199,13 +222,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         lows = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = cut_lineage(moved.unionByName(lows.selectExpr("u", "m v")).distinct(), "links")
+        release(links, large)
         links = small
         several = links.groupBy("u").count().where("count > 1").select("u")
         inner = links.select("u").join(links.select(F.col("v").alias("u")), "u", "left_semi")
         if several.unionByName(inner).isEmpty():
             roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return roots.unionByName(roots.selectExpr("root node", "root").distinct())
-    raise RuntimeError("components did not settle")
 
 
 def _score_pairs(pairs: DataFrame, values: DataFrame, threshold: float) -> DataFrame:

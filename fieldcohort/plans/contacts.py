@@ -73,21 +73,24 @@ def contacts_by(log: DataFrame, *keys: str) -> DataFrame:
 
 def contacts_by_month(log: DataFrame, communes: Sequence[str]) -> DataFrame:
     """Month by commune and found, with totals and the found percentage."""
-    pivot = aggregate.pivot_margins(log, F.col("mois"), "mois", [("commune", communes), ("found", ["Oui", "Non"])])
-    return aggregate.add_found_percentage(pivot, [f"{clean.safe_name(c)}_oui" for c in communes])
+    groups = [("commune", communes), ("found", ["Oui", "Non"])]
+    pivot = aggregate.pivot_margins(log, F.col("mois"), "mois", groups, counts={"total_found": F.col("found") == "Oui"})
+    return pivot.withColumn("pct_found", safe_pct(F.col("total_found"), F.col("total"), 2))
 
 
 def session_detail(
-    sessions: DataFrame, club_sessions: DataFrame, clubs: DataFrame, patients: DataFrame, reasons: Mapping[int, str], start, end
+    sessions: DataFrame, club_sessions: DataFrame, clubs: DataFrame, patients: DataFrame, reasons: Mapping[int, str], start, end, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Attendance rows of the period with first and last dates at three levels.
 
     First per person (linked records count as one), last per record, first per
     record and club; all over every recorded session, not only the period.
+    ``keep`` names further columns of the sessions and club sessions.
     """
+    more = [c for c in club_sessions.columns if c in keep and c != "id_club"]
     rows = joins.inner_chain(
         sessions.where("is_present is not null"),
-        (club_sessions.select("id_club_session", "id_club", F.col("date").alias("session_date")), "id_club_session"),
+        (club_sessions.select("id_club_session", "id_club", F.col("date").alias("session_date"), *more), "id_club_session"),
         (patients, "id_patient"),
     ).withColumn("person", joins.canonical_id("linked_to_id_patient", "id_patient"))
     levels = [
@@ -106,4 +109,41 @@ def session_detail(
         "is_present",
         decode("is_present", reasons).alias("reason"),
         "session_id",
+        *keep,
     )
+
+
+#: Services that a session records, with the names the reports use.
+SERVICES = ("clore", "nbre_deparasitaires", "nbre_preservatifs", "nbre_vit_a", "nbre_moustiquaires", "is_patient_tb", "is_patient_on_pf", "adh")
+# The codes of a person's sex.
+SEXES = {1: "male", 2: "female", 3: "unknown"}
+
+
+def session_lines(
+    detail: DataFrame, clubs: DataFrame, hospitals: DataFrame, club_types: DataFrame, topics: DataFrame, mothers: DataFrame, infants: DataFrame
+) -> DataFrame:
+    """Session detail with hospital, club, topic, person and services given.
+
+    ``detail`` comes from ``session_detail`` with id_club, topic and the services
+    kept. A person's record as an infant goes before that as a mother; each
+    lookup may be missing.
+    """
+    person = ("first_name", "last_name", "dob", "is_abandoned", "is_dead")
+    as_infant = infants.select(F.col("id_patient").alias("person"), *[F.col(c).alias(f"infant_{c}") for c in (*person, "gender")])
+    as_mother = mothers.select(F.col("id_patient").alias("person"), *[F.col(c).alias(f"mother_{c}") for c in (*person, "is_graduate", "graduation_date")])
+    places = clubs.select("id_club", "id_hospital", "club_type").join(
+        hospitals.select("id_hospital", F.col("name").alias("hospital"), F.concat_ws("/", "city_code", "hospital_code").alias("site_code")), "id_hospital", "left"
+    )
+    kinds = club_types.select("club_type", F.col("name").alias("type_name"))
+    subjects = topics.select("topic", F.col("name").alias("topic_name"))
+    full = detail.join(places, "id_club", "left").join(kinds, "club_type", "left").join(subjects, "topic", "left")
+    full = full.join(as_mother, "person", "left").join(as_infant, "person", "left")
+    sex = F.coalesce(decode("infant_gender", SEXES), F.col("infant_gender").cast("string"))
+    dates = ("session_date", "first_attendance_date", "last_attendance_date", "first_attendance_date_by_club")
+    return full.select(
+        "person", "hospital", "site_code", "club_name", F.col("type_name").alias("club_type"), "patient_code", F.col("topic_name").alias("topic"), *dates,
+        *[F.coalesce(f"infant_{c}", f"mother_{c}").alias(c) for c in person],
+        F.when(F.col("mother_is_graduate") == 1, "Yes").otherwise("Non").alias("graduation"),
+        F.col("mother_graduation_date").alias("graduation_date"),
+        sex.alias("sex"), *SERVICES, "is_present", "reason", "session_id",
+    )

@@ -11,7 +11,6 @@ from ..functions.bands import safe_pct
 from ..functions.dates import PERIODS, period_bounds
 from ..functions.nulls import as_date
 from ..operators import aggregate, filters, latest
-from ..session import cut_lineage
 
 
 def dashboard_pack(
@@ -21,8 +20,8 @@ def dashboard_pack(
 
     Trend against the period before, daily series without gaps, age shares,
     agents by activity, and rows and agents per office. The detail is read
-    once: grouping sets give the counts of every block, which are written to
-    the shared folder, and the blocks are built from them.
+    once: grouping sets give the counts of every block, and the blocks are
+    built from them; Spark reuses their exchange. Building starts no job.
     """
     lo, hi = as_date(start), as_date(end)
     before = F.date_sub(lo, F.datediff(hi, lo) + 1)
@@ -34,10 +33,9 @@ def dashboard_pack(
     )
     both = both.withColumn("now", F.col("day") >= lo)
     sets = [[F.col(c) for c in cols] for cols in (["now"], ["now", "day"], ["now", "band"], ["now", "office", "agent"])]
-    counted = both.groupingSets(sets, "now", "day", "band", "office", "agent").agg(
+    counts = both.groupingSets(sets, "now", "day", "band", "office", "agent").agg(
         F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n")
     )
-    counts = cut_lineage(counted, "dashboard")
     # one bit per column that a set leaves out, in the order now day band office agent
     overall = counts.where("set = 15")
     days, bands, pairs = (counts.where(f"set = {s} and now") for s in (7, 11, 12))
@@ -74,18 +72,17 @@ def activity_pack(
     as_of,
     indicators: Mapping[str, Column],
     periods: Sequence[str] = PERIODS,
-    start_of_all="2020-01-01",
 ) -> DataFrame:
     """The same indicators for several periods as (period, indicator, n).
 
     The table is read once; each row is repeated for the periods it lies in,
-    which are at most as many as there are periods. Zero rows are left out.
+    which are at most as many as there are periods. "all" has no bounds: it
+    holds every row, also one without a date. Zero rows are left out.
     """
-    bounds = {p: period_bounds(p, as_of) for p in periods}
-    if "all" in bounds:
-        bounds["all"] = (as_date(start_of_all), as_date(as_of))
+    bounds = {p: period_bounds(p, as_of) for p in periods if p != "all"}
     d = as_date(F.col(day))
-    marks = F.array_compact(F.array(*[F.when(d.between(lo, hi), F.lit(p)) for p, (lo, hi) in bounds.items()]))
+    inside = [F.when(d.between(lo, hi), F.lit(p)) for p, (lo, hi) in bounds.items()]
+    marks = F.array_compact(F.array(*inside, *[F.lit(p) for p in periods if p == "all"]))
     dated = rows.where(F.size(marks) > 0).withColumn("period", F.explode(marks))
     wide = dated.groupBy("period").agg(*[c.alias(n) for n, c in indicators.items()])
     return aggregate.indicator_rows(wide, list(indicators), ["period"])

@@ -164,13 +164,12 @@ def current_in_care(line_list: DataFrame, *, offices: Sequence, networks: Sequen
 
 
 def household_coverage(index_children: DataFrame, additions: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Index children with and without a household count, codes in any case."""
+    """Index children with and without a household count, codes in any case; they come out upper."""
     one = latest.latest_per_key(index_children, "patient_code", order)
-    parts = [
-        joins.membership_ignore_case(one, additions, "patient_code", keep).withColumn("has_household", F.lit(label))
-        for keep, label in ((True, "yes"), (False, "no"))
-    ]
-    return latest.union_all(*parts)
+    counted = additions.select(F.lower("patient_code").alias("_code")).where("_code is not null").distinct().withColumn("_found", F.lit(True))
+    marked = one.withColumn("_code", F.lower("patient_code")).join(counted, "_code", "left")
+    marked = marked.withColumn("patient_code", F.upper("patient_code"))
+    return marked.withColumn("has_household", F.when(F.col("_found"), "yes").otherwise("no")).drop("_code", "_found")
 
 
 def sibling_testing_cascade(children: DataFrame, relationship: str = "3") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_per_key
+from ..session import delete_path
 from ..sources.tables import list_paths
 
 
@@ -81,32 +82,51 @@ def stream_alerts(rows: DataFrame, cond: Column, out: str, checkpoint: str) -> N
     )
 
 
-def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Newest version number below a snapshot folder."""
-    paths = list_paths(spark, f"{path}/version=*/*.parquet")
+def _pointer(spark: SparkSession, path: str, before: int | None = None) -> tuple[int, dict[int, int]]:
+    """(number of the newest pointer, version in which each bucket lies); -1 and nothing without a snapshot."""
+    paths = list_paths(spark, f"{path}/pointer=*/*.parquet")
     if paths is None:
-        return None
-    number = F.regexp_extract("path", r"version=(\d+)", 1).cast("long")
-    found = paths.select(number.alias("v"))
+        return -1, {}
+    found = paths.select(F.regexp_extract("path", r"pointer=(\d+)", 1).cast("long").alias("v"))
     if before is not None:
         found = found.where(F.col("v") < before)
-    return found.agg(F.max("v")).first()[0]
+    newest = found.agg(F.max("v")).first()[0]
+    if newest is None:
+        return -1, {}
+    return newest, {r.bucket: r.version for r in spark.read.schema("bucket INT, version BIGINT").parquet(f"{path}/pointer={newest}").collect()}
 
 
-def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], out: str, checkpoint: str) -> None:
-    """Keep the newest row per key as numbered versions of a snapshot.
+def _places(path: str, versions: dict[int, int]) -> list[str]:
+    return [f"{path}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
 
-    A batch is reduced before it meets the snapshot of the batch before it, and
-    a repeated batch rewrites its own version.
+
+def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], out: str, checkpoint: str, buckets: int = 16) -> None:
+    """Keep the newest row per key as a snapshot in buckets by the hash of the key.
+
+    A batch is reduced, meets the buckets its keys lie in, and writes those
+    anew; a pointer names the version of each bucket and is written last. A
+    repeated batch starts from the pointer before it and rewrites its own
+    version. What neither the new nor the previous pointer names is removed.
     """
 
     def save(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        place = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+        last, before = _pointer(spark, out, before=number)
+        touched = {r.bucket for r in batch.select(place).distinct().collect()}
+        if not touched:
+            return
         merged = latest_per_key(batch, key, order)
-        previous = latest_version(spark, out, before=number)
-        if previous is not None:
-            merged = merged.unionByName(spark.read.schema(batch.schema).parquet(f"{out}/version={previous}"))
-        latest_per_key(merged, key, order).write.mode("overwrite").parquet(f"{out}/version={number}")
+        held = _places(out, {b: v for b, v in before.items() if b in touched})
+        if held:
+            merged = merged.unionByName(spark.read.schema(batch.schema).parquet(*held))
+        newest = latest_per_key(merged, key, order)
+        newest.select("*", place).write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/version={number}")
+        after = before | dict.fromkeys(touched, number)
+        spark.createDataFrame(sorted(after.items()), "bucket INT, version BIGINT").coalesce(1).write.mode("overwrite").parquet(f"{out}/pointer={number}")
+        _, oldest = _pointer(spark, out, before=last)
+        for old in set(oldest.values()) - set(before.values()) - set(after.values()):
+            delete_path(spark, f"{out}/version={old}")
 
     _finish(
         rows.writeStream.foreachBatch(save)
@@ -116,5 +136,9 @@ def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], ou
     )
 
 
-def read_latest_version(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={latest_version(spark, path)}")
+def read_latest_version(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The snapshot that the newest pointer names."""
+    places = _places(path, _pointer(spark, path)[1])
+    if not places:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*places)

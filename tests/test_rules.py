@@ -204,9 +204,30 @@ def test_columns_and_names(spark):
         clean.require_columns(df, ["form.c", "x", "y"])
     with pytest.raises(ValueError, match="operator"):
         clean.flag_threshold(df, "form.c", "f", 1, op="~")
-    wide = spark.createDataFrame([(i,) for i in range(5)], "v int")
-    with pytest.raises(ValueError, match="more than 3"):
-        clean.vocabulary(wide, "v", 3)
+
+
+def test_many_values_give_the_long_form(spark, monkeypatch):
+    monkeypatch.setattr(clean, "WIDE", 3)
+    wide = spark.createDataFrame([(i, f"V {i % 5}" if i else None, "a b a aucun" if i else "aucun") for i in range(10)], "id int, v string, t string")
+    assert clean.vocabulary(wide, "v") is None and clean.vocabulary(wide, "t") == ["a b a aucun", "aucun"]
+    long = clean.one_hot(wide, "v", dummy_null=True).collect()
+    assert {(r.id, r.flag) for r in long} == {(i, f"v_v_{i % 5}" if i else "v_null") for i in range(10)}
+    words = spark.createDataFrame([(1, "x1 x2 x2"), (2, "x3 x4"), (3, "aucun"), (4, "aucun x1"), (5, None)], "id int, t string")
+    flags = {(r.id, r.flag) for r in clean.multi_label_flags(words, "t").collect()}
+    assert flags == {(1, "x1"), (1, "x2"), (2, "x3"), (2, "x4"), (3, "aucun"), (4, "x1"), (5, None)}
+
+
+def test_undeclared_values_are_counted_as_other(spark):
+    rows = [("jan", "x", "f", 1), ("jan", "y", "g", 2), ("jan", "z", "f", 3), ("feb", "z", "g", 4), ("feb", None, "f", 5)]
+    df = spark.createDataFrame(rows, "m string, c string, s string, v int")
+    table = {r.m: r for r in aggregate.crosstab(df, F.col("m"), "m", "c", ["x", "y"]).collect()}
+    assert (table["feb"].other, table["feb"].total, table["Total"].total, table["Total"].other) == (1, 1, 4, 2)
+    pivot = {r.m: r for r in aggregate.pivot_margins(df, F.col("m"), "m", [("c", ["x", "y"]), ("s", ["f"])]).collect()}
+    assert (pivot["jan"].x_f, pivot["jan"].other, pivot["feb"].total, pivot["Total"].total) == (1, 2, 1, 4)
+    heat = {r.m: r.other for r in aggregate.heatmap_matrix(df, "m", "c", ["x"], F.col("v")).collect()}
+    assert heat == {"jan": 5, "feb": 9}
+    bands = {r.band: (r.f, r.other) for r in aggregate.age_pyramid(df, F.when(F.col("v") < 3, "low"), "s", ["f"]).collect()}
+    assert bands == {"low": (1, 1), "other": (2, 1)}
 
 
 def test_two_values_of_one_name_are_refused(spark):

@@ -124,7 +124,7 @@ def test_newest_row_per_key_equals_the_batch_result(spark, tmp_path):
         everything += rows
         events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
         jobs.stream_latest_per_key(jobs.read_arriving(spark, folder, EVENT), "k", order, out, mark)
-        got = {r.k: r.id for r in jobs.read_latest_version(spark, out).collect()}
+        got = {r.k: r.id for r in jobs.read_latest_version(spark, out, EVENT).collect()}
         assert got == {r.k: r.id for r in latest.latest_per_key(events(spark, everything), "k", order).collect()}
     assert got == {"a": 5, "b": 2, "c": 6}
 
@@ -138,10 +138,11 @@ def test_alerts_of_every_run_are_kept(spark, tmp_path):
 
 
 def test_activity_pack_counts_a_row_in_every_period_it_lies_in(spark):
-    df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 10, 17, 18)], "d date")
+    far = [(dt.date(2015, 5, 1),), (dt.date(2025, 1, 1),), (None,)]
+    df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 10, 17, 18)] + far, "d date")
     rows = dashboards.activity_pack(df, "d", "2024-01-18", {"n": F.count(F.lit(1)), "none": F.count_if(F.lit(False))}).collect()
     assert {(r.period, r.indicator, r.n) for r in rows} == {
-        ("current_week", "n", 2), ("previous_week", "n", 1), ("current_month", "n", 4), ("all", "n", 4),
+        ("current_week", "n", 2), ("previous_week", "n", 1), ("current_month", "n", 4), ("all", "n", 7),
     }
 
 
