@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +29,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, shared: str | N
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the warehouse, which all executors share
-    too, becomes the setting's place.
+    A local session without that setting uses a folder of its warehouse; a
+    cluster without it is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 _MADE: list[str] = []
@@ -57,6 +63,16 @@ def cut_lineage(df: DataFrame, label: str = "step", compression: str = "snappy")
     return out
 
 
+def _forget() -> None:
+    """At the end of a local session's process its own warehouse scratch goes."""
+    for path in _MADE:
+        if path.startswith("file:") and "/_scratch/" in path:
+            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+
+
+atexit.register(_forget)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
