@@ -42,8 +42,11 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
         assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns
         ids.append({r.doc_id for r in docs.select("doc_id").collect()})
         assert ids[-1] <= ids[-2]
+        if name == "decontamination":
+            assert not any(item in r.text for r in docs.collect() for _, item in items)
     assert set(range(600, 610)) <= ids[-1]
-    assert not set(range(500, 510)) & ids[-1]
+    # the other five lost the passage as a repeated line
+    assert not set(range(500, 505)) & ids[-1]
     pieces = docs.collect()
     assert sum(r.length for r in pieces) == sum({r.doc_id: r.doc_tokens for r in pieces}.values())
 
