@@ -122,6 +122,17 @@ def test_lines_equal_brute_force(spark, extra):
         assert r.n_removed in (r.n_lines - kept, r.n_lines - kept - 1)
 
 
+def test_lines_of_two_unit_characters(spark):
+    base = "".join(chr(0x1F600 + i % 70) for i in range(60))
+    rows = [(1, base, "", "", 1), (2, base[:58] + "ab", "", "", 1), (3, base[::-1], "", "", 1), (4, base[:30] + "x" + base[31:], "", "", 1)]
+    norm, lines, low = _line_groups(rows)
+    found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, rows)).select("row.doc_id", "clean").collect()}
+    first = {}
+    for r in rows:
+        first.setdefault(low[lines[norm(r[1])]], r[0])
+    assert found == {r[0]: r[1] if first[low[lines[norm(r[1])]]] == r[0] else "" for r in rows}
+
+
 def test_repeated_rows_keep_their_lines_once(spark):
     rows = [(1, "the same long line\nand another one", "en", "s", 1)] * 3
     found = line_dedup.keep_first_lines(documents(spark, rows)).select("clean").collect()
