@@ -1,10 +1,10 @@
 """Rounds of candidate pairs and exact verification, as DataFrame operations only.
 
-Members of a region (an LSH bucket) are compared with a bounded number of
+Two rounds compare members of a region (an LSH bucket) with a bounded number of
 others: their neighbours in the region's order and the region's first member.
-What a round links need not be compared again, so a group of thousands of
-copies costs a number of comparisons proportional to its size. Later rounds
-compare neighbours that carry different labels, until nothing new turns up.
+They link most copies, and what is linked need not be compared again. The last
+round compares all members of a region that still carry different labels, so
+every pair of nodes that share a region is compared or already in one component.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from .components import relabel
 
 #: A region with more members is cut by its deeper order, again and again for each factor of this.
 CROWD = 512
+#: Members of one side that a task compares at once in the last round.
+BLOCK = 512
 
 
 def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -55,37 +57,55 @@ def neighbour_pairs(members: DataFrame, reach: int, fits: str) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
+def remaining_pairs(members: DataFrame, fits: str) -> DataFrame:
+    """Pairs (a, b), a < b, of all members of a region with different labels; ``fits`` as above.
+
+    Only members outside a region's largest component meet the others, so a
+    large group of copies is not squared. Both sides are cut in blocks, and each
+    pair of blocks is a key of its own: no region is gathered in one task.
+    """
+    counted = members.groupBy("region", "label").agg(F.count(F.lit(1)).alias("held"))
+    sides = counted.groupBy("region").agg(F.max_by("label", F.struct("held", "label")).alias("main"), F.max("held").alias("most"), F.sum("held").alias("held"))
+    blocks = lambda count: F.ceil(count / BLOCK).cast("int")
+    mixed = sides.where("held > most").select("region", "main", blocks(F.col("held") - F.col("most")).alias("outer"), blocks(F.col("held")).alias("inner"))
+    mixed = cut_lineage(mixed, "mixed")
+    now = members.join(small(mixed), "region")
+    block, each = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int"), lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    out = now.where("label <> main").select("region", block("outer").alias("i"), each("inner").alias("j"), "node", "label", "n")
+    whole = now.select("region", each("outer").alias("i"), block("inner").alias("j"), F.col("node").alias("other"), F.col("label").alias("beside"), F.col("n").alias("m"), (F.col("label") == F.col("main")).alias("inside"))
+    met = out.join(whole, ["region", "i", "j"]).where("label <> beside and (inside or node < other)").where(fits)
+    pairs = cut_lineage(met.selectExpr("least(node, other) a", "greatest(node, other) b").distinct(), "remaining")
+    release(mixed)
+    return pairs
+
+
 def link_rounds(members: DataFrame, verify: Callable[[DataFrame], DataFrame], fits: str, reach: int = 8) -> DataFrame | None:
     """(node, root) of all nodes with a verified link; None without any.
 
     ``members``: region, part, ord, node, n and ``first``, true for the regions
     that the cheap first round uses. ``verify`` keeps the pairs that are links.
     """
-    labels, checked, quick = None, None, True
-    while True:
-        now = members
+    labels, checked = None, []
+    for step in ("quick", "near", "all"):
+        now = members.where("first") if step == "quick" else members
         if labels is None:
             now = now.withColumn("label", F.col("node"))
         else:
             now = now.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        if step == "near" and labels is not None:
             mixed = now.groupBy("region").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed")
             now = now.join(mixed.select("region"), "region")
-        found = neighbour_pairs(now.where("first") if quick else now, 1 if quick else reach, fits)
-        for old in checked or []:
+        met = remaining_pairs(now, fits) if step == "all" else None
+        found = neighbour_pairs(now, 1 if step == "quick" else reach, fits) if met is None else met
+        for old in checked:
             found = found.join(old, ["a", "b"], "left_anti")
         pairs = cut_lineage(found, "pairs")
-        if not quick and pairs.isEmpty():
-            release(pairs)
-            break
+        checked.append(pairs)
         links = cut_lineage(verify(pairs), "verified")
-        checked = [*(checked or []), pairs]
-        linked = not links.isEmpty()
-        if linked:
+        if met is not None:
+            release(met)
+        if not links.isEmpty():
             labels = relabel(labels, links)
         release(links)
-        if not quick and not linked:
-            break
-        quick = False
-    if checked:
-        release(*checked)
+    release(*checked)
     return labels

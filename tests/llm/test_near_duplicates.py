@@ -144,3 +144,35 @@ def test_repeated_rows_keep_their_lines_once(spark):
 def test_line_signatures_run_without_python(spark):
     plan = line_dedup.signatures(line_dedup._lines(line_dedup.numbered_rows(documents(spark)), "text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_all_members_of_a_region_meet(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "BLOCK", 64)
+    monkeypatch.setattr(candidates, "CROWD", 128)
+    rows = spark.range(900).select(F.lit(1).cast("long").alias("region"), F.array(F.col("id"), F.col("id"), F.col("id")).alias("ord"), F.col("id").alias("node"), F.lit(1).alias("n"), F.lit(True).alias("first"))
+    labels = candidates.link_rounds(candidates.crowded_regions(rows), lambda pairs: pairs.where("a % 300 = b % 300 or (b < 200 and a % 300 < 150 and b % 300 < 150)"), "true")
+    want = groups(900, [(i, i % 300) for i in range(300, 900)] + [(i, i + 1) for i in range(149)])
+    assert {r.node: r.root for r in labels.collect()} == dict(enumerate(want))
+
+
+def test_planted_pairs_among_lines_of_one_template(spark):
+    rng = random.Random(11)
+    some = lambda count: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(count))
+    template = some(150)
+    lines = [template + some(30) for _ in range(600)]
+    lines += [line[:-5] + some(5) for line in lines[:80]]
+    rows = [(i, line, "", "", 1) for i, line in enumerate(lines)]
+    _, _, low = _line_groups(rows)
+    found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, rows)).select("row.doc_id", "clean").collect()}
+    assert found == {i: line if low[i] == i else "" for i, line in enumerate(lines)}
+
+
+def test_planted_pairs_among_documents_of_one_template(spark):
+    rng = random.Random(12)
+    template = prose(rng, 100)
+    texts = [f"{template} {prose(rng, 22)}" for _ in range(120)]
+    texts += [text.rsplit(" ", 2)[0] + " " + prose(rng, 2) for text in texts[:30]]
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(texts)]
+    _, low = _brute(rows)
+    found = {r.doc_id: r.component_id for r in lsh_forest.cluster(documents(spark, rows)).select("row.doc_id", "component_id").collect()}
+    assert found == dict(enumerate(low))
