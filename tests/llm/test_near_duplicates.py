@@ -176,3 +176,15 @@ def test_planted_pairs_among_documents_of_one_template(spark):
     _, low = _brute(rows)
     found = {r.doc_id: r.component_id for r in lsh_forest.cluster(documents(spark, rows)).select("row.doc_id", "component_id").collect()}
     assert found == dict(enumerate(low))
+
+
+def test_lines_that_repeat_a_phrase_have_one_signature(spark):
+    texts = ["the same words again " * 100, "the same words again " * 130, "-" * 200, "-" * 260, "ab" * 100, "ab" * 2500]
+    rows = [(i, text.strip(), "", "", 1) for i, text in enumerate(texts)]
+    signed = line_dedup.signatures(line_dedup._lines(line_dedup.numbered_rows(documents(spark, rows)), "text")).collect()
+    bands = {}
+    for r in signed:
+        bands.setdefault(r.node, set()).add((r.half, tuple(r.bands)))
+    assert len(bands) == 6 and len({frozenset(b) for b in bands.values()}) == 3
+    found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, rows)).select("row.doc_id", "clean").collect()}
+    assert found == {i: text if i % 2 == 0 else "" for i, text in enumerate(r[1] for r in rows)}
