@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+from . import chat_format as c
 from . import decontaminate as d
 from . import line_quality as q
+from . import phrases as p
 
 
 def _seed(alias: str, place: str, mask: str) -> str:
@@ -100,3 +104,53 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, payload_digest, CASE WHEN
        CASE WHEN page_id <> page THEN page END AS refers_to
 FROM digests JOIN last USING (html)
 """
+
+_GRAMS = " UNION ALL ".join(f"SELECT lang, {k} AS k, array_to_string(w[i:i + {k - 1}], ' ') AS phrase FROM words_of, range(1, greatest(len(w) - {k - 2}, 1)) AS r(i)" for k in (1, 2, 3))
+
+OP12 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words_of AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+counted AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM ({_GRAMS}) GROUP BY lang, k, phrase),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= {p.LEAST}),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, r.i, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score
+  FROM candidates c, range(1, 3) AS r(i)
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:r.i], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[r.i + 1:c.k], ' ')
+  WHERE r.i < c.k),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+covered AS (
+  SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS longer FROM candidates, range(1, 3) AS t(s) WHERE k = 3 GROUP BY 1, 2),
+left_over AS (
+  SELECT x.* FROM lowest x LEFT JOIN covered v ON x.k = 2 AND v.lang = x.lang AND v.phrase = x.phrase
+  WHERE v.longer IS NULL OR 100 * v.longer < {p.COVERED_PCT} * x.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= {p.TOP}
+"""
+
+_CONTROL = "|".join(f"{re.escape(f)}\\\\*(?:{'|'.join(re.escape(x[1:]) for x in c.CONTROLS if x[0] == f)})" for f in sorted({x[0] for x in c.CONTROLS}))
+
+OP13 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)),
+ordered AS (
+  SELECT *, row_number() OVER w AS place, lag(role) OVER w AS before,
+         length(text) + len(regexp_extract_all(text, '{_CONTROL}')) AS size, length(role) + len(regexp_extract_all(role, '{_CONTROL}')) AS head
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+said AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS spoken,
+         coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS learnt,
+         sum(size + CASE WHEN before = role THEN {len(c.NEXT)} ELSE head + {len(c.OPEN) + len(c.BODY) + len(c.CLOSE)} END) AS chars
+  FROM ordered GROUP BY conv_id)
+SELECT conv_id::BIGINT AS conv_id, n_turns, sha256(spoken) AS turns_sha256, length(learnt)::BIGINT AS loss_chars,
+       sha256(learnt) AS loss_sha256, chars::BIGINT AS formatted_chars FROM said
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from . import brown, common, decontaminate, line_dedup, line_quality, lsh_forest, oracles, packing, private_data, sharding, toxicity, warc
+from ..session import cut_lineage, scratch_path
+from . import brown, chat_format, common, decontaminate, line_dedup, line_quality, lsh_forest, oracles, packing, phrases, private_data, sharding, toxicity, warc, whitening
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -86,6 +86,25 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("row.doc_id doc_id", "n_lines", "n_removed", "length(clean) n_chars", "crc32(cast(clean as binary)) text_crc32")
 
 
+def op11_whitened_components(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings projected on their 16 leading components, with unit variance."""
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return phrases.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+def op13_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat_format.digests(cut_lineage(chat_format.format_parts(turns), "formatted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_index,
         op9_counterfactual,
         op10_fuzzy_lines,
+        op11_whitened_components,
+        op12_phrase_mining,
+        op13_chat_formatting,
     )
 }
 
@@ -107,6 +129,8 @@ ORACLE: dict[str, str] = {
     "op3_line_frequency": oracles.OP3,
     "op5_lsh_forest": oracles.OP5,
     "op8_warc_index": oracles.OP8,
+    "op12_phrase_mining": oracles.OP12,
+    "op13_chat_formatting": oracles.OP13,
 }
 
 
