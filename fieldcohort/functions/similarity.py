@@ -1,96 +1,205 @@
-"""Text similarity for candidate pairs, vectorised over Arrow batches.
+"""Text similarity of pairs, worked out for a whole Arrow batch at once.
 
-The join work stays in Spark; these small scorers only see pairs that passed
-an exact filter.
+A batch of pairs becomes arrays of code points, and every step of the two
+measures is one array operation over all pairs of a slice. Splitting into tokens
+and everything that has a closed form stays in the JVM.
 """
 
 from __future__ import annotations
 
 import sys
-from difflib import SequenceMatcher
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .nulls import as_col
+
 # Executors get these functions with the task and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def sequence_score(a: str, b: str, floor: float = 0.0) -> float:
-    """Matching-block ratio of two texts times 100.
-
-    Below ``floor`` the exact value does not matter: two cheap upper bounds
-    are tried first and -1 is given when either lies under it.
+#: Cells of the table of two texts that are held at once, over all pairs of a slice.
+CELLS = 1 << 21
+#: Second texts from this length on leave out their popular characters when a block is searched.
+POPULAR_FROM = 200
+
+
+class _Texts:
+    """Texts as code points in one array."""
+
+    def __init__(self, texts: Sequence[str]):
+        self.codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.int32)
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def window(self, which: np.ndarray, low: np.ndarray, size: np.ndarray, width: int, fill: int) -> np.ndarray:
+        """Characters low .. low + size of the chosen texts, filled up to ``width``."""
+        at = np.arange(width)
+        place = (self.first[which] + low)[:, None] + at
+        inside = at < size[:, None]
+        if not len(self.codes):
+            return np.full((len(which), width), fill, np.int32)
+        return np.where(inside, self.codes[np.minimum(place, len(self.codes) - 1)], fill)
+
+
+def _slices(wide: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of similar width in slices whose table fits ``CELLS``."""
+    order = np.argsort(wide, kind="stable")
+    start = 0
+    while start < len(order):
+        stop = len(order)
+        while stop - start > 1 and (stop - start) * int(wide[order[stop - 1]]) > CELLS:
+            stop = start + max(1, (stop - start) // 2)
+        yield order[start:stop]
+        start = stop
+
+
+def _popular(b: _Texts) -> np.ndarray:
+    """Marks characters that make up over a hundredth of a long text."""
+    marks = np.zeros(len(b.codes), bool)
+    for i in np.flatnonzero(b.sizes >= POPULAR_FROM):
+        own = slice(b.first[i], b.first[i] + b.sizes[i])
+        _, place, count = np.unique(b.codes[own], return_inverse=True, return_counts=True)
+        marks[own] = (count > b.sizes[i] // 100 + 1)[place]
+    return marks
+
+
+def matched_lengths(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """Characters in the matching blocks of each pair.
+
+    The longest common block comes first (of equal ones that which starts
+    earliest in the left text, then in the right), then the longest ones on
+    either side of it, and so on. All blocks of a step are searched together.
     """
-    m = SequenceMatcher(None, a, b)
-    if floor and (100.0 * m.real_quick_ratio() < floor or 100.0 * m.quick_ratio() < floor):
-        return -1.0
-    return 100.0 * m.ratio()
-
-
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit per character of a."""
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & places.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
-def indel_score(a: str, b: str) -> float:
-    """Insert/delete similarity times 100."""
-    size = len(a) + len(b)
-    return 100.0 if size == 0 else 200.0 * common_length(a, b) / size
-
-
-def token_set_score(a: str, b: str) -> float:
-    """Best similarity between shared tokens and each side's tokens, times 100."""
-    left, right = set(a.split()), set(b.split())
-    if not left or not right:
-        return 0.0
-    both = left & right
-    only_a, only_b = sorted(left - right), sorted(right - left)
-    if both and (not only_a or not only_b):
-        return 100.0
-    core = " ".join(sorted(both))
-    text_a = " ".join(([core] if core else []) + only_a)
-    text_b = " ".join(([core] if core else []) + only_b)
-    best = indel_score(text_a, text_b)
-    if core:
-        best = max(best, indel_score(core, text_a), indel_score(core, text_b))
-    return best
+    a, b = _Texts(left), _Texts(right)
+    marks = _popular(b)
+    whole = _Texts.__new__(_Texts)
+    whole.codes, whole.sizes, whole.first = np.where(marks, -3, b.codes).astype(np.int32), b.sizes, b.first
+    total = np.zeros(len(left), np.int64)
+    pair = np.flatnonzero((a.sizes > 0) & (b.sizes > 0))
+    todo = np.stack([pair, np.zeros_like(pair), a.sizes[pair], np.zeros_like(pair), b.sizes[pair]], axis=1)
+    while len(todo):
+        found = []
+        for rows in _slices(todo[:, 4] - todo[:, 3]):
+            who, alo, ahi, blo, bhi = todo[rows].T
+            size, i, j = _longest(a, whole, who, alo, ahi, blo, bhi)
+            if marks.any():
+                size, i, j = _stretched(a, b, who, alo, ahi, blo, bhi, size, i, j)
+            np.add.at(total, who, size)
+            before = np.stack([who, alo, i, blo, j], axis=1)
+            after = np.stack([who, i + size, ahi, j + size, bhi], axis=1)
+            both = np.concatenate([before[size > 0], after[size > 0]])
+            found.append(both[(both[:, 2] > both[:, 1]) & (both[:, 4] > both[:, 3])])
+        todo = np.concatenate(found)
+    return total
+
+
+def _longest(a: _Texts, b: _Texts, who, alo, ahi, blo, bhi):
+    wa, wb = int((ahi - alo).max()), int((bhi - blo).max())
+    x, y = a.window(who, alo, ahi - alo, wa, -1), b.window(who, blo, bhi - blo, wb, -2)
+    run = np.zeros((len(who), wb + 1), np.int32)
+    size, i, j = np.zeros(len(who), np.int64), alo.copy(), blo.copy()
+    rows = np.arange(len(who))
+    for k in range(wa):
+        run[:, 1:] = np.where(y == x[:, k : k + 1], run[:, :-1] + 1, 0)
+        end = run.argmax(axis=1)
+        here = run[rows, end]
+        better = here > size
+        size = np.where(better, here, size)
+        i, j = np.where(better, alo + k + 1 - here, i), np.where(better, blo + end - here, j)
+    return size, i, j
+
+
+def _stretched(a: _Texts, b: _Texts, who, alo, ahi, blo, bhi, size, i, j):
+    """Blocks grown by equal characters on both ends, popular ones too."""
+    at = lambda t, place: t.codes[np.clip(t.first[who] + place, 0, len(t.codes) - 1)]
+    while (more := (i > alo) & (j > blo) & (at(a, i - 1) == at(b, j - 1))).any():
+        i, j, size = i - more, j - more, size + more
+    while (more := (i + size < ahi) & (j + size < bhi) & (at(a, i + size) == at(b, j + size))).any():
+        size = size + more
+    return size, i, j
+
+
+def common_lengths(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each pair."""
+    a, b = _Texts(left), _Texts(right)
+    out = np.zeros(len(left), np.int64)
+    for rows in _slices(b.sizes):
+        wa, wb = int(a.sizes[rows].max()), int(b.sizes[rows].max())
+        none = np.zeros_like(rows)
+        x, y = a.window(rows, none, a.sizes[rows], wa, -1), b.window(rows, none, b.sizes[rows], wb, -2)
+        best = np.zeros((len(rows), wb + 1), np.int32)
+        for k in range(wa):
+            best[:, 1:] = np.maximum(best[:, 1:], best[:, :-1] + (y == x[:, k : k + 1]))
+            np.maximum.accumulate(best, axis=1, out=best)
+        out[rows] = best[:, -1]
+    return out
+
+
+def _of_pairs(measure, a: pd.Series, b: pd.Series) -> np.ndarray:
+    """``measure`` of the pairs without a null, NaN for the others."""
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    out[known] = measure(a[known].tolist(), b[known].tolist())
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else sequence_score(x, y) for x, y in zip(a, b)], dtype="float64")
+def _matched(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(_of_pairs(matched_lengths, a, b))
 
 
 @F.pandas_udf(T.DoubleType())
-def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")
+def _common(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(_of_pairs(common_lengths, a, b))
+
+
+def _ratio(shared: Column, a: Column, b: Column) -> Column:
+    size = F.length(a) + F.length(b)
+    return F.when(size == 0, 100.0).otherwise(200.0 * shared / size)
+
+
+def sequence_ratio(a: str | Column, b: str | Column) -> Column:
+    """Matching-block ratio of two texts times 100; null if one is missing."""
+    left, right = as_col(a), as_col(b)
+    return F.when(left.isNotNull() & right.isNotNull(), _ratio(_matched(left, right), left, right))
+
+
+def _tokens(c: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(F.split(c, r"(?U)\s+"), lambda x: x != "")))
+
+
+def token_set_ratio(a: str | Column, b: str | Column) -> Column:
+    """Best similarity of the shared tokens and each side's tokens, times 100; null if one text is missing.
+
+    Shared tokens against a whole side have a closed form, as the side begins
+    with them; only the two whole sides are compared character by character.
+    """
+    left, right = as_col(a), as_col(b)
+    x, y = _tokens(left), _tokens(right)
+    both = F.array_intersect(x, y)
+    core = F.array_join(both, " ")
+    text_a, text_b = (F.array_join(F.concat(both, F.array_except(s, both)), " ") for s in (x, y))
+    sides = _ratio(_common(text_a, text_b), text_a, text_b)
+    n = F.length(core)
+    inside = F.when(n > 0, F.greatest(*[200.0 * n / (n + F.length(s)) for s in (text_a, text_b)])).otherwise(0.0)
+    score = F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).when((n > 0) & ((F.size(both) == F.size(x)) | (F.size(both) == F.size(y))), 100.0).otherwise(F.greatest(sides, inside))
+    return F.when(left.isNotNull() & right.isNotNull(), score)
 
 
-def lowest_sequence_ratio(left: Column, right: Column, floor: float) -> Column:
-    """Smallest ratio over the paired texts of two arrays; stops under ``floor``."""
+def lowest_sequence_ratio(left: Column, right: Column) -> Column:
+    """Smallest ratio over the paired texts of two arrays."""
 
     @F.pandas_udf(T.DoubleType())
     def lowest(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for xs, ys in zip(a, b):
-            low = 100.0
-            for x, y in zip(xs, ys):
-                low = min(low, sequence_score(x, y, floor))
-                if low < floor:
-                    break
-            out.append(low)
-        return pd.Series(out, dtype="float64")
+        counts = a.str.len().to_numpy().astype(np.int64)
+        x, y = [t for row in a for t in row], [t for row in b for t in row]
+        size = np.fromiter(map(len, x), np.int64, len(x)) + np.fromiter(map(len, y), np.int64, len(y))
+        each = np.where(size > 0, 200.0 * matched_lengths(x, y) / np.maximum(size, 1), 100.0)
+        return pd.Series(np.minimum.reduceat(each, np.cumsum(counts) - counts) if len(each) else each)
 
     return lowest(left, right)

@@ -2,11 +2,13 @@
 
 Exact copies are collapsed before anything else, so a value that holds a
 third of all rows is one candidate. Fuzzy candidates come from equality joins
-on text segments chosen so that no pair over the threshold can be missed.
+on the rarest grams of each text, so many that no pair over the threshold can be
+missed (``similar``).
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +19,8 @@ from ..functions.text import normalize_text
 from ..session import cut_lineage, release
 from .clean import quoted, require_columns
 from .latest import dedupe_keep, join_group_rows, latest_per_key
+from .similar import ordered_grams, prefix, similar_lengths, similar_places
+from .skew import grid_join
 
 MODES = ("uniques", "duplicates", "all")
 GROUP_ID, GROUP_SIZE = "duplicate_group_id", "duplicate_group_size"
@@ -130,82 +134,6 @@ def remove_known_duplicates(df: DataFrame, known: DataFrame, key: str) -> DataFr
     return df.join(known.select(key).where(quoted(key).isNotNull()), key, "left_anti")
 
 
-# --- segment keys -----------------------------------------------------------
-#
-# Two texts with a similarity of at least t (matched characters times two over
-# both lengths) differ by at most (1 - t) * (la + lb) inserted or deleted
-# characters. Each of them breaks at most one segment of the shorter text. Cut
-# into one segment more than that, the shorter text has a segment that stands
-# unbroken in the longer one, moved by at most the number of edits.
-
-
-def _segments(text: Column, length: Column, t: float) -> Column:
-    """Segment keys of a text in the role of the shorter one: [layout, i, piece]."""
-    edits = F.floor((1 - t) * (length + F.floor(length * ((2 - t) / t) + 1e-9)) + 1e-9)
-    parts = F.least(edits + 1, length).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), parts - 1),
-        lambda i: _piece_key(length, i, F.substr(text, _cut(i, length, parts) + 1, _cut(i + 1, length, parts) - _cut(i, length, parts))),
-    )
-
-
-def _cut(i: Column, length: Column, parts: Column) -> Column:
-    return F.floor(i * length / parts).cast("int")
-
-
-def _piece_key(length: Column, i: Column, piece: Column) -> Column:
-    return F.concat_ws("\x1f", length.cast("string"), i.cast("string"), piece)
-
-
-def _probes(text: Column, length: Column, t: float) -> Column:
-    """All keys under which a text can be found as the longer one."""
-    shortest = F.greatest(F.ceil(length * (t / (2 - t)) - 1e-9), F.lit(1)).cast("int")
-
-    def per_length(la: Column) -> Column:
-        edits = F.floor((1 - t) * (la + F.floor(la * ((2 - t) / t) + 1e-9)) + 1e-9)
-        parts = F.least(edits + 1, la).cast("int")
-        matched = (la + length) * (t / 2)
-        back = F.floor(la - matched + 1e-9).cast("int")
-        ahead = F.floor(length - matched + 1e-9).cast("int")
-
-        def per_part(i: Column) -> Column:
-            start = _cut(i, la, parts)
-            size = _cut(i + 1, la, parts) - start
-            first = F.greatest(start - back, F.lit(0))
-            last = F.least(start + ahead, length - size)
-            return F.when(
-                last >= first,
-                F.transform(F.sequence(first, last), lambda p: _piece_key(la, i, F.substr(text, p + 1, size))),
-            ).otherwise(F.array().cast("array<string>"))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), parts - 1), per_part))
-
-    return F.array_distinct(F.flatten(F.transform(F.sequence(shortest, length), per_length)))
-
-
-PART_ROWS = 20_000
-
-
-def split_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
-    """Inner join on a key of candidates with frequent keys cut in parts.
-
-    A key with more than ``PART_ROWS`` right rows is cut by a hash of
-    ``spread`` and its left rows are sent to every part, so no task meets a
-    whole frequent key.
-    """
-    sizes = right.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.withColumn("_parts", F.ceil(F.col("_size") / PART_ROWS).cast("int"))
-    placed = join_group_rows(right, sizes, key, "_size")
-    placed = placed.withColumn("_part", F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int")).drop("_parts")
-    sent = join_group_rows(left, sizes, key, "_size").where("_parts is not null")
-    sent = sent.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    return sent.join(placed, [key, "_part"]).drop("_part")
-
-
-def similar_lengths(la: Column, lb: Column, t: float) -> Column:
-    return 2 * F.least(la, lb) >= t * (la + lb) - 1e-9
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the smallest node.
 
@@ -260,10 +188,28 @@ def _score_pairs(pairs: DataFrame, values: DataFrame, threshold: float) -> DataF
             )
         ).alias("p"),
     )
-    score = lowest_sequence_ratio(F.col("p.x"), F.col("p.y"), threshold)
+    score = lowest_sequence_ratio(F.col("p.x"), F.col("p.y"))
     return oriented.select("a", "b", score.alias("score")).where(F.col("score") >= threshold).select("a", "b").distinct()
 
 
+def telling_text(texts: Column, block: int, count: int) -> tuple[Column, Column]:
+    """(number, text) of the first column that is not empty, ``block`` before the others.
+
+    Only an empty text is similar to an empty one, so similar values have the same number.
+    """
+    order = [block, *[i for i in range(count) if i != block]]
+    number = F.coalesce(*[F.when(F.get(texts, F.lit(i)) != "", F.lit(i)) for i in order])
+    return number, F.get(texts, number)
+
+
+def fuzzy_keys(values: DataFrame, threshold: float, block: int, count: int) -> DataFrame:
+    """(vid, len, key, p): the keys under which the values of ``texts`` meet, at most one for each character."""
+    number, text = telling_text(F.col("texts"), block, count)
+    filled = values.select(F.col("vid").alias("id"), number.alias("group"), text.alias("text")).where("text is not null")
+    found = prefix(ordered_grams(filled, filled, []), threshold / 100.0)
+    return cut_lineage(found.select(F.col("id").alias("vid"), "len", F.explode("keys").alias("k")).select("vid", "len", "k.*"), "keys")
+
+
 def fuzzy_duplicate_groups(
     df: DataFrame,
     cols: Sequence[str],
@@ -276,19 +222,19 @@ def fuzzy_duplicate_groups(
     ``threshold``; groups are the connected components of those pairs.
 
     Nothing is missed and no group is cut. Meant for names and other short
-    fields: the number of keys of a value grows with its length. ``block_on``
-    is the column that makes candidates, best the most telling one.
+    fields. ``block_on`` is the column that makes candidates, best the most
+    telling one; where it is empty the next one does.
 
     1. Equal values are collapsed.
-    2. Candidates share a segment key. Within a key every value is first
-       scored only against four leaders, a linear number of pairs.
+    2. Candidates share one of their rarest grams. Within a key every value is
+       first scored only against two leaders, a linear number of pairs.
     3. Pairs that are already in one component need no score. Of the rest, a
-       key pairs the values outside its largest component with the others, so
-       a key that most values share is not squared.
+       key pairs the values outside its largest component with the others, if
+       length and place of the gram allow the similarity, so a key that most
+       values share is not squared.
     """
     _check(df, cols, mode)
     t = threshold / 100.0
-    block = list(cols).index(block_on or cols[0])
     texts = F.array(*[compare_text(c) for c in cols])
     rows = df.withColumn("_texts", texts)
     values = cut_lineage(
@@ -297,40 +243,15 @@ def fuzzy_duplicate_groups(
         .withColumnRenamed("_texts", "texts"),
         "values",
     )
-    text = F.get("texts", F.lit(block))
-    filled = values.select("vid", text.alias("s"), F.length(text).alias("len")).where("len > 0")
-    index = cut_lineage(filled.select("vid", F.explode(_segments(F.col("s"), F.col("len"), t)).alias("key")), "index")
-    probe = filled.select("vid", F.explode(_probes(F.col("s"), F.col("len"), t)).alias("key"))
-    probe = cut_lineage(probe.join(index.select("key").distinct(), "key", "left_semi"), "probe")
-
-    ends = [F.min("vid").alias("lo"), F.max("vid").alias("hi")]
-    by_index = index.groupBy("key").agg(*ends)
-    by_probe = probe.groupBy("key").agg(*ends)
-    led = [
-        side.join(heads, "key").select(F.col("vid").alias("x"), F.explode(F.array("lo", "hi")).alias("y"))
-        for side, heads in ((probe, by_index), (index, by_probe))
-    ]
-    pairs = led[0].unionByName(led[1]).where("x <> y").selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
+    keys = fuzzy_keys(values, threshold, list(cols).index(block_on or cols[0]), len(cols))
+
+    heads = keys.groupBy("key").agg(F.min("vid").alias("lo"), F.max("vid").alias("hi"), F.count(F.lit(1)).alias("held")).where("lo < hi")
+    led = join_group_rows(keys.select("key", "vid"), heads, "key", "held").select("vid", F.explode(F.array("lo", "hi")).alias("y")).where("vid <> y")
+    pairs = led.selectExpr("least(vid, y) a", "greatest(vid, y) b").distinct()
     edges = cut_lineage(_score_pairs(pairs, values, threshold), "edges")
     roots = cut_lineage(connected_components(edges).withColumnRenamed("node", "vid"), "roots")
 
-    def labelled(side: DataFrame) -> DataFrame:
-        return side.join(roots, "vid", "left").select("key", "vid", F.coalesce("root", "vid").alias("label"))
-
-    members_i, members_p = labelled(index), labelled(probe)
-    sizes = members_i.unionByName(members_p).groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    major = sizes.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels")
-    )
-    open_keys = major.where("labels > 1").select("key", "major")
-    left = members_i.join(open_keys, "key").select("key", F.col("vid").alias("x"), F.col("label").alias("lx"), (F.col("label") == F.col("major")).alias("mx"))
-    right = members_p.join(open_keys, "key").select("key", F.col("vid").alias("y"), F.col("label").alias("ly"), (F.col("label") == F.col("major")).alias("my"))
-    apart = F.col("lx") != F.col("ly")
-    rest = [
-        split_join(left.where("not mx"), right, "key", "y").where(apart),
-        split_join(right.where("not my"), left.where("mx"), "key", "x").where(apart),
-    ]
-    pairs = rest[0].unionByName(rest[1]).selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
+    pairs = _unlinked_pairs(keys, roots, t)
     more = cut_lineage(_score_pairs(pairs, values, threshold), "edges")
     if not more.isEmpty():
         roots = cut_lineage(connected_components(edges.unionByName(more)).withColumnRenamed("node", "vid"), "roots")
@@ -346,6 +267,25 @@ def fuzzy_duplicate_groups(
     )
 
 
+def _unlinked_pairs(keys: DataFrame, roots: DataFrame, t: float) -> DataFrame:
+    """(a, b) of values with a common key and no common component whose lengths and places allow the similarity."""
+    label = F.coalesce("root", "vid").alias("label")
+    members = cut_lineage(keys.join(roots, "vid", "left").select("key", "vid", "len", "p", label), "members")
+    sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    major = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("held"))
+    placed = join_group_rows(members, major.where("labels > 1").drop("labels"), "key", "held").where("major is not null")
+    placed = cut_lineage(placed.withColumn("main", F.col("label") == F.col("major")).drop("major"), "members")
+    left = placed.where("not main").select("key", *[F.col(c).alias(f"{c}_x") for c in ("vid", "len", "p", "label")])
+    right = placed.select("key", "main", *[F.col(c).alias(f"{c}_y") for c in ("vid", "len", "p", "label")])
+    fits = similar_lengths(F.col("len_x"), F.col("len_y"), t) & similar_places(F.col("len_x"), F.col("len_y"), F.col("p_x"), F.col("p_y"), t)
+    met = grid_join(left, right, "key").where("label_x <> label_y and (main or vid_x < vid_y)").where(fits)
+    return met.selectExpr("least(vid_x, vid_y) a", "greatest(vid_x, vid_y) b").distinct()
+
+
+#: Similarities down to which the best match of a name is searched, one after the other, in per cent.
+ROUNDS = (70, 55, 40, 25, 10, 1)
+
+
 def best_name_match(
     reference: DataFrame,
     target: DataFrame,
@@ -353,13 +293,18 @@ def best_name_match(
     threshold: float = 85,
     direction: str = "reference",
 ) -> DataFrame:
-    """Add the best matching name of the other table, its score, and yes/no.
-
-    Names are compared as token sets without case, accents or extra blanks. A
-    match under the threshold is reported as none, with no score. Equal token
-    sets score 100 and need no search; among equal scores the same token set
-    wins, then the smaller name. Other candidates share a token, or a segment
-    of the sorted tokens, which together miss no pair over the threshold.
+    """Add the best matching name of the other table, the best score, and yes/no.
+
+    Names are compared as token sets without case, accents or extra blanks.
+    Every name has the score of its best match, cut to a whole number; the match
+    itself is named from the threshold up. A name without letters scores 0, as
+    do all names if the other table has none. Equal token sets score 100 and
+    need no search; among equal scores the same token set wins, then the
+    smaller name.
+
+    The search goes down in rounds: candidates are complete down to the
+    round's bound, names whose best score reaches it are done, and only the
+    others go on, with the best score they have as a bound of their own.
     """
     if direction not in ("reference", "target"):
         raise ValueError("direction is 'reference' or 'target'")
@@ -374,46 +319,89 @@ def best_name_match(
 
     left_rows = names(source)
     left = left_rows.select(F.col("_set").alias("s")).where("s <> ''").distinct()
-    right = names(other).where("_set <> ''").groupBy(F.col("_set").alias("o")).agg(F.min(quoted(name)).alias("best_match"))
+    right = cut_lineage(names(other).where("_set <> ''").groupBy(F.col("_set").alias("o")).agg(F.min(quoted(name)).alias("best_match")), "targets")
+
+    same = left.join(right, F.col("s") == F.col("o")).select("s", F.lit(100.0).alias("score"), "best_match")
+    todo = left.join(right.select(F.col("o").alias("s")), "s", "left_anti").select(F.col("s").alias("id"))
+    targets = right.select(F.col("o").alias("id"))
+    index = _name_grams(targets, targets)
+    still = _name_grams(todo, targets).withColumn("best", F.lit(0.0))
+    scores = [same]
+    for bound in [threshold, *[r for r in ROUNDS if r < threshold]]:
+        scored = cut_lineage(_scored_candidates(still, index, bound), "scored")
+        best = scored.groupBy("s").agg(F.max("score").alias("score"))
+        if bound == threshold:
+            named = scored.where(F.col("score") >= threshold).join(right, "o")
+            matches = named.groupBy("s").agg(F.min(F.struct((-F.col("score")).alias("m"), F.col("best_match").alias("b"))).alias("w"))
+            best = best.join(matches.select("s", F.col("w.b").alias("best_match")), "s", "left")
+        else:
+            best = best.withColumn("best_match", F.lit(None).cast("string"))
+        now = still.join(best.withColumnRenamed("s", "id"), "id", "left")
+        now = cut_lineage(now.withColumn("best", F.greatest("best", F.coalesce("score", F.lit(0.0)))).drop("score"), "names")
+        release(scored)
+        ends = F.col("best") >= bound
+        scores.append(now.where(ends).select(F.col("id").alias("s"), F.col("best").alias("score"), "best_match"))
+        still = now.where(~ends).drop("best_match")
+        if still.isEmpty():
+            break
+    found = functools.reduce(DataFrame.unionByName, scores).withColumnRenamed("s", "_set")
+    out = left_rows.join(found, "_set", "left").drop("_set")
+    return out.withColumn("score", F.floor(F.coalesce("score", F.lit(0.0))).cast("int")).withColumn(
+        "correspondance", F.when(F.col("best_match").isNotNull(), "yes").otherwise("no")
+    )
 
-    same = left.join(right, F.col("s") == F.col("o")).select("s", "best_match", F.lit(100.0).alias("score"))
-    open_names = left.join(right.select(F.col("o").alias("s")), "s", "left_anti")
 
-    t = threshold / 100.0
+def _name_grams(names: DataFrame, targets: DataFrame) -> DataFrame:
+    """(id, len, grams, tokens) of names, grams and tokens ordered by how rare they are among the targets."""
+    as_text = lambda df: df.select("id", F.lit(0).alias("group"), F.col("id").alias("text"))
+    each = lambda df: df.select("id", F.explode(F.split("id", " ")).alias("w"))
+    held = each(targets).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counted = join_group_rows(each(names), held.withColumn("held", F.col("n")), "w", "held")
+    tokens = counted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("tokens"))
+    grams = ordered_grams(as_text(names), as_text(targets), [], spaces=False)
+    return cut_lineage(grams.join(tokens, "id"), "names")
 
-    def keyed(df: DataFrame, col: str, segments) -> DataFrame:
-        text, size = F.col(col), F.length(col)
-        keys = F.concat(F.transform(F.split(text, " "), lambda w: F.concat(F.lit("w\x1f"), w)), segments(text, size, t))
-        return df.select(col, F.explode(F.array_distinct(keys)).alias("key"))
-
-    def candidates(short: str, long: str) -> DataFrame:
-        a = keyed(open_names, "s", _segments if short == "s" else _probes)
-        b = keyed(right.select("o"), "o", _segments if short == "o" else _probes)
-        return split_join(a, b, "key", "o").where(_reachable(F.col("s"), F.col("o"), t)).select("s", "o")
-
-    pairs = candidates("s", "o").unionByName(candidates("o", "s")).distinct()
-    scored = pairs.withColumn("score", token_set_ratio("s", "o")).where(F.col("score") >= threshold)
-    found = (
-        scored.join(right, "o")
-        .groupBy("s")
-        .agg(F.min(F.struct((-F.col("score")).alias("m"), F.col("best_match").alias("b"))).alias("w"))
-        .select("s", F.col("w.b").alias("best_match"), (-F.col("w.m")).alias("score"))
-    )
-    best = same.unionByName(found).withColumnRenamed("s", "_set")
-    out = left_rows.join(best, "_set", "left").drop("_set")
-    return out.withColumn("score", F.floor("score").cast("int")).withColumn(
-        "correspondance", F.when(F.col("best_match").isNotNull(), "yes").otherwise("no")
-    )
+
+def _token_keys(t: float | Column) -> tuple[Column, Column]:
+    """(all, first) token keys of a name: with any that may be similar it shares a token.
+
+    If shared tokens make up as much of a side as the similarity asks for, the
+    rarest of them is among that side's first ones: those before the rest is
+    too short to make it up.
+    """
+    word = lambda x: F.concat(F.lit("w\x1f"), x["w"])
+    rest = lambda i: F.aggregate(F.slice("tokens", i + 1, F.size("tokens")), F.lit(-1), lambda size, x: size + F.length(x["w"]) + 1)
+    first = F.filter("tokens", lambda x, i: rest(i) >= t / (2 - t) * F.col("len") - 1e-9)
+    return F.transform("tokens", word), F.transform(first, word)
+
+
+def _scored_candidates(names: DataFrame, index: DataFrame, bound: float) -> DataFrame:
+    """(s, o, score) of all pairs that reach ``bound`` and the name's best score so far, and of some others."""
+    t = bound / 100.0
+    own = F.greatest(F.col("best"), F.lit(float(bound))) / 100.0
+
+    def sides(df: DataFrame, name: str, mine: Column | None = None) -> list[DataFrame]:
+        every, first = _token_keys(F.lit(t) if mine is None else mine)
+        keyed = prefix(df, t, mine).select(F.col("id").alias(name), *([own.alias("own")] if mine is not None else []), every.alias("every"), first.alias("first"), F.transform("keys", lambda k: k["key"]).alias("grams"))
+        keep = [c for c in keyed.columns if c not in ("every", "first", "grams")]
+        return [keyed.select(*keep, F.explode(F.array_distinct(F.concat(*cols))).alias("key")) for cols in (("first", "grams"), ("every",), ("first",), ("every", "grams"))]
+
+    (firsts, every, _, _), (_, _, other_first, others) = sides(names, "s", own), sides(index, "o")
+    pairs = grid_join(firsts, others, "key").select("s", "o", "own").unionByName(grid_join(every, other_first, "key").select("s", "o", "own")).distinct()
+    gap = F.levenshtein("s", "o") / (F.length("s") + F.length("o"))
+    told = cut_lineage(pairs.select("s", "o", _reachable(F.col("s"), F.col("o"), F.col("own")).alias("near"), gap.alias("gap")), "pairs")
+    closest = told.groupBy("s").agg(F.min_by("o", F.struct("gap", "o")).alias("o"))
+    chosen = told.where("near").select("s", "o").unionByName(closest).distinct()
+    return chosen.withColumn("score", token_set_ratio("s", "o"))
 
 
-def _reachable(s: Column, o: Column, t: float) -> Column:
+def _reachable(s: Column, o: Column, t: Column) -> Column:
     """Can the token-set score of two sorted token texts reach the threshold?
 
-    Evaluated inside the join, so only near matches leave it: all tokens of one
-    side are shared, the shared ones make up nearly all of a side, or the two
-    texts with the shared tokens in front are few edits apart. The edit
-    distance counts a replacement once, so it is never above the number of
-    inserted and deleted characters that the score allows.
+    All tokens of one side are shared, the shared ones make up nearly all of a
+    side, or the two texts with the shared tokens in front are few edits apart.
+    The edit distance counts a replacement once, so it is never above the number
+    of inserted and deleted characters that the score allows.
     """
     a, b = F.split(s, " "), F.split(o, " ")
     shared = F.array_intersect(a, b)

@@ -7,8 +7,8 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from fieldcohort.functions.similarity import common_length, indel_score, token_set_score
-from fieldcohort.operators import linkage
+from fieldcohort.functions.similarity import common_lengths, matched_lengths, sequence_ratio, token_set_ratio
+from fieldcohort.operators import linkage, skew
 
 FIRST = ["Marie", "Jean", "Josué", "Mariette", "Anne", "Rose-Marie", "Jeanne", "Wilner", "marie", "Jn"]
 LAST = ["Pierre", "Pierre-Louis", "Joseph", "Josèphe", "Toussaint", "Charles", "Charle", "Paul", "Pol"]
@@ -118,18 +118,52 @@ def slow_lcs(a, b):
     return table[-1][-1]
 
 
-def test_common_length_equals_dynamic_programming():
-    rng = random.Random(7)
-    for _ in range(300):
-        a, b = ("".join(rng.choice("abcd") for _ in range(rng.randrange(30))) for _ in range(2))
-        assert common_length(a, b) == slow_lcs(a, b)
+def indel_score(a, b):
+    return 200.0 * slow_lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
-def test_token_set_score_rules():
-    assert token_set_score("marie joseph", "joseph marie") == 100
-    assert token_set_score("marie", "marie joseph") == 100
-    assert token_set_score("", "marie") == 0
-    assert token_set_score("abc", "abd") == pytest.approx(indel_score("abc", "abd"))
+def token_set_score(a, b):
+    """The best of the three comparisons of shared and left-over tokens, by the plain rule."""
+    left, right = set(a.split()), set(b.split())
+    if not left or not right:
+        return 0.0
+    both, only_a, only_b = sorted(left & right), sorted(left - right), sorted(right - left)
+    if both and (not only_a or not only_b):
+        return 100.0
+    core, text_a, text_b = " ".join(both), " ".join(both + only_a), " ".join(both + only_b)
+    return max(indel_score(text_a, text_b), *([indel_score(core, text_a), indel_score(core, text_b)] if both else [0.0]))
+
+
+def some_pairs(count, seed):
+    rng = random.Random(seed)
+    word = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    pairs = [tuple(word(rng.randrange(25), rng.choice(["ab", "abcd", "abcdefghij ", "é🙂xy "])) for _ in "xy") for _ in range(count)]
+    long = "aaaaabbbcde fghijklmnopqrstuvwxyz"
+    pairs += [(word(rng.randrange(300), long), word(rng.randrange(190, 420), long)) for _ in range(20)]
+    return pairs + [("a" * 80, "a" * 240), ("ab" * 150, "ab" * 150), ("", ""), ("", "a"), ("x" * 30, "y" * 30)]
+
+
+def test_common_lengths_equal_dynamic_programming():
+    pairs = some_pairs(600, 7)
+    assert list(common_lengths(*zip(*pairs))) == [slow_lcs(a, b) for a, b in pairs]
+    assert list(common_lengths([], [])) == []
+
+
+def test_matched_lengths_equal_the_block_by_block_search():
+    pairs = some_pairs(3000, 8)
+    want = [sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks()) for a, b in pairs]
+    assert list(matched_lengths(*zip(*pairs))) == want
+
+
+def test_ratios_equal_plain_rules_and_keep_nulls(spark):
+    pairs = some_pairs(200, 9) + [("marie joseph", "joseph  marie"), ("marie", "marie joseph"), ("", "marie"), ("a b c", "a b d"), (None, "a"), ("a", None), (None, None)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "id long, a string, b string")
+    for r in df.select("a", "b", sequence_ratio("a", "b").alias("seq"), token_set_ratio("a", "b").alias("tok")).collect():
+        if r.a is None or r.b is None:
+            assert r.seq is None and r.tok is None
+        else:
+            assert r.seq == pytest.approx(100 * SequenceMatcher(None, r.a, r.b).ratio(), abs=1e-9)
+            assert r.tok == pytest.approx(token_set_score(r.a, r.b), abs=1e-9)
 
 
 @pytest.mark.parametrize("threshold", [70, 85, 95])
@@ -146,19 +180,19 @@ def test_best_match_equals_brute_force(spark, threshold):
         match, score, flag = got[key]
         if bare[name] and best >= threshold:
             assert (score, flag) == (int(best), "yes")
-            assert token_set_score(bare[name], bare[match]) == best
+            assert token_set_score(bare[name], bare[match]) == pytest.approx(best)
         else:
-            assert (match, score, flag) == (None, None, "no")
+            assert (match, score, flag) == (None, int(best) if bare[name] else 0, "no")
 
 
 def test_frequent_candidate_keys_in_many_parts(spark, monkeypatch):
-    monkeypatch.setattr(linkage, "PART_ROWS", 3)
+    monkeypatch.setattr(skew, "PART_ROWS", 3)
     rows = people(80, 5)
     df = spark.createDataFrame(rows, "id long, first string, last string, dob string")
     assert spark_groups(linkage.fuzzy_duplicate_groups(df, ["first", "last"], "id", 85)) == brute_groups(rows, [1, 2], 85)
 
     left = spark.createDataFrame([(i,) for i in range(200)], "x int").selectExpr("x", "x % 3 key")
     right = spark.createDataFrame([(i,) for i in range(50)], "y int").selectExpr("y", "if(y < 20, 0, y) key")
-    got = linkage.split_join(left, right, "key", "y").select("key", "x", "y").collect()
+    got = skew.grid_join(left, right, "key").select("key", "x", "y").collect()
     want = left.join(right, "key").select("key", "x", "y").collect()
     assert sorted(got) == sorted(want) and len(got) == 67 * 20
