@@ -7,6 +7,10 @@ the other's where it is put in. So the texts share a known number of grams, and
 when the grams of a text are ordered by how rare they are, two such texts have
 one in common among the first few of each: all but as many as they must share.
 A text is found under those alone, at most one key for each of its characters.
+Where even the rarest gram that two texts share is frequent, the next one is
+too, and with one place more of each both are among the first. So frequent grams
+are no keys, but each two of them are: no key of one gram has many texts, and
+pairs grow with the number of texts and not with its square.
 
 The length of the grams follows from la + lb, which both sides agree on: the
 longest for which at least two must be shared. Texts that may have partners on
@@ -25,6 +29,8 @@ from .latest import join_group_rows
 
 #: Longest grams first, with the least share of both texts that shared grams must make up.
 LENGTHS = ((3, 0.2), (2, 0.1), (1, 0.0))
+#: A gram of more texts is frequent.
+CROWD = 64
 EPS = 1e-9
 
 
@@ -98,13 +104,23 @@ def prefix(ordered: DataFrame, t: float, own: Column | None = None) -> DataFrame
     la, usable = F.col("len"), _usable(t)
     low, high = la + shortest_partner(la, threshold), la + longest_partner(la, threshold)
 
-    def take(q: int, both: Column) -> Column:
-        mine = _of_length(q)
-        size = F.greatest(F.floor(la - _share(q, threshold) * both + 1 + EPS), F.lit(1)).cast("int")
+    def upto(mine: Column, size: Column) -> Column:
         last = F.get(mine, size - 1)
         near = F.filter(mine, lambda x: (x["n"] < last["n"]) | (x["n"] == last["n"]) & (x["g"] <= last["g"]))
         return F.when(last.isNull(), mine).otherwise(near)
 
+    def place(*grams: Column) -> Column:
+        key = F.concat_ws("\x1f", F.col("group").cast("string"), grams[0]["q"].cast("string"), *[x["g"] for x in grams])
+        return F.struct(key.alias("key"), grams[0]["p"].alias("p"))
+
+    def take(q: int, both: Column) -> Column:
+        mine = _of_length(q)
+        size = F.greatest(F.floor(la - _share(q, threshold) * both + 1 + EPS), F.lit(1)).cast("int")
+        single = F.filter(upto(mine, size), lambda x: (x["n"] <= CROWD) | (F.size(mine) - size + 1 < 2))
+        crowded = F.filter(upto(mine, size + 1), lambda x: x["n"] > CROWD)
+        two = F.flatten(F.transform(crowded, lambda x, i: F.transform(F.slice(crowded, i + 2, F.size(crowded)), lambda y: place(x, y))))
+        return F.concat(F.transform(single, lambda x: place(x)), two)
+
     found = []
     for i, (q, least) in enumerate(usable):
         first = F.greatest(low, F.lit(least))
@@ -113,7 +129,5 @@ def prefix(ordered: DataFrame, t: float, own: Column | None = None) -> DataFrame
         if q > 1:  # too few grams to be sure of a shared one: single characters as well
             few = F.size(_of_length(q)) < la - _share(q, threshold) * first + 1 - EPS
             found.append(F.when(active & few, take(1, first)))
-    empty = F.array().cast("array<struct<q:int,n:bigint,g:string,p:int>>")
-    every = F.array_distinct(F.concat(*[F.coalesce(f, empty) for f in found]))
-    key = lambda x: F.struct(F.concat_ws("\x1f", F.col("group").cast("string"), x["q"].cast("string"), x["g"]).alias("key"), x["p"].alias("p"))
-    return ordered.withColumn("keys", F.transform(every, key))
+    empty = F.array().cast("array<struct<key:string,p:int>>")
+    return ordered.withColumn("keys", F.array_distinct(F.concat(*[F.coalesce(f, empty) for f in found])))

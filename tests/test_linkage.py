@@ -8,7 +8,7 @@ from difflib import SequenceMatcher
 import pytest
 
 from fieldcohort.functions.similarity import common_lengths, matched_lengths, sequence_ratio, token_set_ratio
-from fieldcohort.operators import linkage, skew
+from fieldcohort.operators import linkage, similar, skew
 
 FIRST = ["Marie", "Jean", "Josué", "Mariette", "Anne", "Rose-Marie", "Jeanne", "Wilner", "marie", "Jn"]
 LAST = ["Pierre", "Pierre-Louis", "Joseph", "Josèphe", "Toussaint", "Charles", "Charle", "Paul", "Pol"]
@@ -196,3 +196,60 @@ def test_frequent_candidate_keys_in_many_parts(spark, monkeypatch):
     got = skew.grid_join(left, right, "key").select("key", "x", "y").collect()
     want = left.join(right, "key").select("key", "x", "y").collect()
     assert sorted(got) == sorted(want) and len(got) == 67 * 20
+
+
+def test_keys_are_linear_in_the_length_and_rare_ones(spark):
+    rng = random.Random(3)
+    rows = [(i, ["pierre " + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))]) for i, n in enumerate([5, 10, 20, 40] * 50)]
+    keys = linkage.fuzzy_keys(spark.createDataFrame(rows, "vid long, texts array<string>"), 90, 0, 1)
+    held = {}
+    for r in keys.collect():
+        held.setdefault(r.vid, set()).add(r.key)
+    for vid, (text,) in rows:
+        assert 1 <= len(held[vid]) <= 0.7 * len(text)
+        assert not any(k.endswith("\x1fpie") or k.endswith("\x1frre") for k in held[vid])
+
+
+def test_a_token_in_every_name_makes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(similar, "CROWD", 4)
+    rng = random.Random(4)
+    names = ["pierre " + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(4000)]
+    values = spark.createDataFrame([(i, [s]) for i, s in enumerate(names)], "vid long, texts array<string>")
+    keys = linkage.fuzzy_keys(values, 90, 0, 1)
+    held = keys.groupBy("key").agg({"vid": "count"}).toDF("key", "n").collect()
+    assert max(r.n for r in held) <= 4 and sum(r.n for r in held) < 4000 * 19
+    met = linkage._unlinked_pairs(keys, spark.createDataFrame([], "vid long, root long"), 0.9).count()
+    print("pairs of 4000 names:", met)
+    assert met < 4000 * 6
+
+
+@pytest.mark.parametrize(("threshold", "crowd"), [(70, 64), (88, 2)])
+def test_fuzzy_groups_find_every_pair_of_random_edits(spark, monkeypatch, threshold, crowd):
+    monkeypatch.setattr(similar, "CROWD", crowd)
+    rng = random.Random(threshold)
+    base = ["".join(rng.choice("abcdefghij ") for _ in range(rng.randrange(1, 30))) for _ in range(30)]
+    rows = []
+    for i in range(240):
+        text = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(text) + 1)
+            text[k : k + rng.randrange(2)] = rng.choice(["", "x", "ab"])
+        rows.append((i, "".join(text) if rng.random() < 0.95 else "", rng.choice(["same", "sane"])))
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    out = linkage.fuzzy_duplicate_groups(df, ["a", "b"], "id", threshold)
+    assert spark_groups(out) == brute_groups(rows, [1, 2], threshold)
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_every_name_has_the_best_score_whatever_it_is(spark, monkeypatch, crowd):
+    monkeypatch.setattr(similar, "CROWD", crowd)
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 9)))
+    left = [(i, " ".join(word("abcxyz") for _ in range(rng.randrange(1, 4)))) for i in range(60)] + [(900, "###"), (901, None)]
+    right = [(i, " ".join(word("abcdefghijklm") for _ in range(rng.randrange(1, 4)))) for i in range(60)]
+    cols = "id long, name string"
+    out = linkage.best_name_match(spark.createDataFrame(left, cols), spark.createDataFrame(right, cols), threshold=85)
+    got = {r.id: r.score for r in out.collect()}
+    assert got == {i: int(max((token_set_score(n or "", o) for _, o in right), default=0) + 1e-9) for i, n in left}
+    none = linkage.best_name_match(spark.createDataFrame(left, cols), spark.createDataFrame([], cols))
+    assert {(r.best_match, r.score, r.correspondance) for r in none.collect()} == {(None, 0, "no")}
