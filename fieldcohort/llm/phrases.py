@@ -39,9 +39,9 @@ TOP = 2000
 WORDS = 3
 
 #: Bytes of text whose equal suffixes are collapsed before they are sent.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Suffixes that a bucket holds on average.
-BUCKET = 1 << 20
+BUCKET = 1 << 19
 #: Slots of leading words whose load is measured, and the multiple of the mean from which one is split.
 SLOTS, CROWDED = 1 << 14, 8
 
