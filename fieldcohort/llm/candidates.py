@@ -3,25 +3,30 @@
 Two rounds compare members of a region (an LSH bucket) with a bounded number of
 others: their neighbours in the region's order and the region's first member.
 They link most copies, and what is linked need not be compared again. The last
-round compares all members of a region that still carry different labels, so
-every pair of nodes that share a region is compared or already in one component.
+round descends a region that is still mixed, value by value of its order, until
+few members of a part lie outside the part's largest component, and compares
+those with all others of the part. So its pairs grow with the members and not
+with their square, and each region is as deep as it needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, release
 from .common import small
 from .components import relabel
 
-#: A region with more members is cut by its deeper order, again and again for each factor of this.
+#: A test of two members, given their columns by name.
+Fits = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+#: A region with more members is cut by its deeper order, once more for each doubling of this.
 CROWD = 512
-#: Members of one side that a task compares at once in the last round.
-BLOCK = 512
+#: Members outside the largest component that a part may hold when all are compared with them.
+LEAF = 24
 
 
 def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -35,12 +40,17 @@ def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] |
     held = cut_lineage(rows.groupBy("region").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "held")
     kept = rows.join(small(held), "region")
     kept = deepen(kept) if deepen else kept
-    depth = F.ceil(F.log(F.col("held") / CROWD) / F.log(F.lit(8.0)))
+    depth = F.ceil(F.log2(F.col("held") / CROWD))
     depth = F.greatest(F.least(depth, F.size("ord")), F.lit(1)).cast("int")
     deeper = F.when(F.col("held") > CROWD, F.xxhash64("region", F.slice("ord", F.lit(1), depth)))
-    part = F.coalesce(deeper, F.lit(0).cast("long")).alias("part")
-    found = cut_lineage(kept.select("region", part, "ord", "node", "n", "first"), "regions")
-    release(held)
+    placed = cut_lineage(kept.select("region", F.coalesce(deeper, F.lit(0).cast("long")).alias("part"), "ord", "node", "n", "first"), "regions")
+    # parts that their order does not divide: the first member still meets all
+    full = placed.where("part <> 0").groupBy("region", "part").agg(F.count(F.lit(1)).alias("full")).where(F.col("full") > 2 * CROWD)
+    full = cut_lineage(full, "full")
+    share = F.pmod(F.xxhash64("node"), F.ceil(F.col("full") / CROWD))
+    spread = placed.join(small(full), ["region", "part"], "left").withColumn("part", F.when(F.col("full").isNull(), F.col("part")).otherwise(F.xxhash64("part", share)))
+    found = cut_lineage(spread.drop("full"), "regions")
+    release(held, placed, full)
     return found
 
 
@@ -57,31 +67,51 @@ def neighbour_pairs(members: DataFrame, reach: int, fits: str) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def remaining_pairs(members: DataFrame, fits: str) -> DataFrame:
-    """Pairs (a, b), a < b, of all members of a region with different labels; ``fits`` as above.
+def leaf_pairs(members: DataFrame, fits: Fits, told: DataFrame | None = None, leaf: int | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of members of a leaf with different labels that ``fits`` lets pass.
 
-    Only members outside a region's largest component meet the others, so a
-    large group of copies is not squared. Both sides are cut in blocks, and each
-    pair of blocks is a key of its own: no region is gathered in one task.
+    Every member stands in the parts of its region of all depths. A leaf is the
+    largest part with at most ``LEAF`` members outside its main component; they
+    meet each other and the main component's; ``leaf`` may set another number. A part that no depth divides, so
+    that even the whole order is equal, has its outside members meet the first
+    member of the main component and the first outside of it. ``told`` (node, ...)
+    adds columns for ``fits``.
     """
-    counted = members.groupBy("region", "label").agg(F.count(F.lit(1)).alias("held"))
-    sides = counted.groupBy("region").agg(F.max_by("label", F.struct("held", "label")).alias("main"), F.max("held").alias("most"), F.sum("held").alias("held"))
-    blocks = lambda count: F.ceil(count / BLOCK).cast("int")
-    mixed = sides.where("held > most").select("region", "main", blocks(F.col("held") - F.col("most")).alias("outer"), blocks(F.col("held")).alias("inner"))
-    mixed = cut_lineage(mixed, "mixed")
-    now = members.join(small(mixed), "region")
-    block, each = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int"), lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    out = now.where("label <> main").select("region", block("outer").alias("i"), each("inner").alias("j"), "node", "label", "n")
-    whole = now.select("region", each("outer").alias("i"), block("inner").alias("j"), F.col("node").alias("other"), F.col("label").alias("beside"), F.col("n").alias("m"), (F.col("label") == F.col("main")).alias("inside"))
-    met = out.join(whole, ["region", "i", "j"]).where("label <> beside and (inside or node < other)").where(fits)
-    pairs = cut_lineage(met.selectExpr("least(node, other) a", "greatest(node, other) b").distinct(), "remaining")
-    release(mixed)
+    leaf = leaf or LEAF
+    mixed = members.groupBy("region").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("region")
+    keys = F.transform(F.sequence(F.lit(0), F.size("ord")), lambda depth: F.xxhash64("region", depth, F.slice("ord", F.lit(1), depth)))
+    rows = members.join(mixed, "region").select("node", "label", "n", keys.alias("keys"), F.size("ord").alias("last"))
+    rows = rows.select("node", "label", "n", "last", F.posexplode("keys").alias("depth", "key"), "keys").withColumn("above", F.get("keys", F.col("depth") - 1)).drop("keys")
+    rows = cut_lineage(rows, "parts")
+    labels = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.min("node").alias("head"), F.first("above").alias("above"), F.first(F.col("depth") == F.col("last")).alias("ends"))
+    sides = labels.groupBy("key").agg(F.max_by(F.struct("label", "head"), F.struct("held", "label")).alias("main"), (F.sum("held") - F.max("held")).alias("outer"), F.first("above").alias("above"), F.first("ends").alias("ends"))
+    sides = cut_lineage(sides.where("outer > 0").selectExpr("key", "main.label main", "main.head head", "outer", "above", "ends"), "sides")
+    crowded = sides.where(F.col("outer") > leaf).select("key")
+    open_parts = sides.where(F.col("above").isNull()).unionByName(sides.join(crowded.select(F.col("key").alias("above")), "above", "left_semi"))
+    leaves = cut_lineage(open_parts.where((F.col("outer") <= leaf) | F.col("ends")).select("key", "main", "head", (F.col("outer") <= leaf).alias("small")), "leaves")
+
+    extra = [c for c in told.columns if c != "node"] if told is not None else []
+    now = rows.join(small(leaves), "key")
+    now = now.join(told, "node") if told is not None else now
+    own = ["node", "label", "n", *extra]
+    outside = now.where("label <> main")
+    out = outside.where("small").select("key", *[F.col(c).alias(f"a_{c}") for c in own])
+    whole = now.where("small").select("key", (F.col("label") == F.col("main")).alias("inside"), *[F.col(c).alias(f"b_{c}") for c in own])
+    agree = fits(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
+    met = out.join(whole, "key").where((F.col("a_label") != F.col("b_label")) & (F.col("inside") | (F.col("a_node") < F.col("b_node"))) & agree).selectExpr("a_node x", "b_node y")
+    first = outside.where("not small").groupBy("key").agg(F.min("node").alias("second"))
+    led = outside.where("not small").join(first, "key").select(F.col("node").alias("x"), F.explode(F.array("head", "second")).alias("y")).where("x <> y")
+    pairs = cut_lineage(met.unionByName(led).selectExpr("least(x, y) a", "greatest(x, y) b").distinct(), "remaining")
+    release(rows, sides, leaves)
     return pairs
 
 
-def link_rounds(members: DataFrame, verify: Callable[[DataFrame], DataFrame], fits: str, reach: int = 8) -> DataFrame | None:
+def link_rounds(members: DataFrame, verify: Callable[[DataFrame], DataFrame], fits: str, agree: Fits, reach: int = 8, told: DataFrame | None = None, leaf: int | None = None) -> DataFrame | None:
     """(node, root) of all nodes with a verified link; None without any.
 
+    ``fits`` is SQL over the sizes n and m of a pair, ``agree`` the same test and
+    more over the columns of ``told``, for the last round.
+
     ``members``: region, part, ord, node, n and ``first``, true for the regions
     that the cheap first round uses. ``verify`` keeps the pairs that are links.
     """
@@ -95,7 +125,7 @@ def link_rounds(members: DataFrame, verify: Callable[[DataFrame], DataFrame], fi
         if step == "near" and labels is not None:
             mixed = now.groupBy("region").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed")
             now = now.join(mixed.select("region"), "region")
-        met = remaining_pairs(now, fits) if step == "all" else None
+        met = leaf_pairs(now, agree, told, leaf) if step == "all" else None
         found = neighbour_pairs(now, 1 if step == "quick" else reach, fits) if met is None else met
         for old in checked:
             found = found.join(old, ["a", "b"], "left_anti")

@@ -31,6 +31,8 @@ cloudpickle.register_pickle_by_value(tokens)
 SHINGLE = 5
 TREES, TOP = 32, 4
 VALUES = TREES * TOP
+#: Values after the first ones by which a crowded region is divided.
+LEVELS = 16
 SIMILARITY_PCT = 75
 #: Trees of the first, cheap round.
 QUICK_TREES = 4
@@ -85,12 +87,12 @@ def forest(signed: DataFrame) -> DataFrame:
 
 
 def deeper_levels(signed: DataFrame):
-    """Adds the order inside a region: the six values that follow the first four, in three levels."""
+    """Adds the order inside a region: the last bytes of the values that follow the first four in the rotation."""
     twice = signed.select(F.col("uid").alias("node"), F.concat("signature", "signature").alias("twice"))
-    level = lambda skip: F.xxhash64(F.substring("twice", F.col("tree") * (4 * TOP) + 4 * (TOP + skip) + 1, F.lit(8)))
+    value = lambda i: F.substring("twice", F.col("tree") * (4 * TOP) + 4 * (TOP + i) + 4, F.lit(1))
 
     def add(rows: DataFrame) -> DataFrame:
-        return rows.join(twice, "node").withColumn("ord", F.array(level(0), level(2), level(4))).drop("twice")
+        return rows.join(twice, "node").withColumn("ord", F.array(*[value(i) for i in range(LEVELS)])).drop("twice")
 
     return add
 
@@ -124,7 +126,8 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         full = pairs.join(texts.selectExpr("uid a", "text ta"), "a").join(texts.selectExpr("uid b", "text tb"), "b")
         return full.select("a", "b", "ta", "tb").mapInArrow(_compare, "a long, b long")
 
-    labels = link_rounds(members, verify, f"100 * least(n, m) >= {SIMILARITY_PCT} * greatest(n, m)")
+    near_sizes = lambda a, b: 100 * F.least(a("n"), b("n")) >= SIMILARITY_PCT * F.greatest(a("n"), b("n"))
+    labels = link_rounds(members, verify, f"100 * least(n, m) >= {SIMILARITY_PCT} * greatest(n, m)", agree=near_sizes)
     release(members, wanted, texts)
     if labels is not None:
         classes_rooted = classes.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("root", "node").alias("root"))

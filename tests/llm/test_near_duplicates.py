@@ -146,15 +146,93 @@ def test_line_signatures_run_without_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_all_members_of_a_region_meet(spark, monkeypatch):
-    monkeypatch.setattr(candidates, "BLOCK", 64)
+def _region(spark, count, order):
+    rows = spark.range(count).select(F.lit(1).cast("long").alias("region"), order.alias("ord"), F.col("id").alias("node"), F.lit(1).alias("n"), F.lit(True).alias("first"))
+    return candidates.crowded_regions(rows)
+
+
+def test_all_members_of_a_leaf_meet(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "LEAF", 900)
     monkeypatch.setattr(candidates, "CROWD", 128)
-    rows = spark.range(900).select(F.lit(1).cast("long").alias("region"), F.array(F.col("id"), F.col("id"), F.col("id")).alias("ord"), F.col("id").alias("node"), F.lit(1).alias("n"), F.lit(True).alias("first"))
-    labels = candidates.link_rounds(candidates.crowded_regions(rows), lambda pairs: pairs.where("a % 300 = b % 300 or (b < 200 and a % 300 < 150 and b % 300 < 150)"), "true")
+    members = _region(spark, 900, F.array(F.col("id"), F.col("id"), F.col("id")))
+    labels = candidates.link_rounds(members, lambda pairs: pairs.where("a % 300 = b % 300 or (b < 200 and a % 300 < 150 and b % 300 < 150)"), "true", lambda a, b: F.lit(True))
     want = groups(900, [(i, i % 300) for i in range(300, 900)] + [(i, i + 1) for i in range(149)])
     assert {r.node: r.root for r in labels.collect()} == dict(enumerate(want))
 
 
+def test_pairs_of_a_mixed_region_grow_with_its_members(spark):
+    met = {}
+    for count in (1000, 2000, 4000):
+        order = F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(3)) for k in range(12)])
+        members = _region(spark, count, order).withColumn("label", F.col("node"))
+        met[count] = candidates.leaf_pairs(members, lambda a, b: F.lit(True)).count()
+    print("pairs by members of one region:", met)
+    assert met[4000] < 2.6 * met[2000] < 2.6 * 2.6 * met[1000] and met[4000] <= 4000 * candidates.LEAF
+
+
+def test_members_of_equal_order_meet_a_leader(spark):
+    members = _region(spark, 3000, F.array(F.lit(1), F.lit(2))).withColumn("label", F.col("node"))
+    pairs = candidates.leaf_pairs(members, lambda a, b: F.lit(True))
+    assert pairs.count() < 2 * 3000 and pairs.selectExpr("explode(array(a, b)) n").distinct().count() == 3000
+
+
+def _recall(found, links):
+    """The share of the links whose ends came out in one component."""
+    return sum(found[a] == found[b] for a, b in links) / len(links)
+
+
+def test_recall_on_hard_families(spark):
+    """Templates, stars, chains and one large group of near copies; links by brute force."""
+    rng = random.Random(21)
+    rows = []
+    template = prose(rng, 90)
+    rows += [f"{template} {prose(rng, 35)}" for _ in range(500)]
+    rows += [t.rsplit(" ", 3)[0] + " " + prose(rng, 3) for t in rows[:80]]
+    for _ in range(12):
+        hub = prose(rng, 100)
+        rows += [hub, *[spoiled(rng, hub, 0.02) for _ in range(8)]]
+    for _ in range(8):
+        words = prose(rng, 120).split(" ")
+        for _ in range(8):
+            rows.append(" ".join(words))
+            words = words[12:] + prose(rng, 12).split(" ")
+    base = prose(rng, 100)
+    rows += [spoiled(rng, base, 0.015) for _ in range(400)]
+    docs = [(i, t, "en", "s", 1) for i, t in enumerate(rows)]
+    sets = list(_sets(docs))
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    found = {r.doc_id: r.component_id for r in lsh_forest.cluster(documents(spark, docs)).select("row.doc_id", "component_id").collect()}
+    low = groups(len(rows), links)
+    assert not any(found[a] == found[b] and low[a] != low[b] for a in range(len(rows)) for b in range(a))
+    print("recall of", len(links), "links between documents:", _recall(found, links))
+    assert _recall(found, links) >= 0.95
+
+    some = lambda count: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(count))
+    change = lambda line, k: line[: (p := rng.randrange(len(line) - 4))] + some(k) + line[p + k :]
+    lines, head = [], some(130)
+    lines += [head + some(30) for _ in range(700)]
+    lines += [line[:-4] + some(4) for line in lines[:120]]
+    hub = [some(120) for _ in range(15)]
+    lines += [change(h, 2) for h in hub for _ in range(8)] + hub
+    for h in hub[:8]:
+        for _ in range(8):
+            h = change(h, 3)
+            lines.append(h)
+    lines += [change(hub[0][:100], 2) for _ in range(400)]
+    docs = [(i, line, "", "", 1) for i, line in enumerate(lines)]
+    norm, unique, low = _line_groups(docs)
+    found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, docs)).select("row.doc_id", "clean").collect()}
+    firsts = {}
+    for i, line in enumerate(lines):
+        if len(norm(line)) >= 8:
+            firsts.setdefault(low[unique[norm(line)]], i)
+    gone = [i for i, line in enumerate(lines) if len(norm(line)) >= 8 and firsts[low[unique[norm(line)]]] != i]
+    assert all(found[i] == lines[i] for i in firsts.values())
+    caught = sum(found[i] == "" for i in gone) / len(gone)
+    print("repeated lines removed:", caught, "of", len(gone))
+    assert caught >= 0.95
+
+
 def test_planted_pairs_among_lines_of_one_template(spark):
     rng = random.Random(11)
     some = lambda count: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(count))
