@@ -35,6 +35,35 @@ def m01_batch(t: Tables):
     return aggregate.time_bucket_counts(t.events, "ts", "week").select(F.col("bucket").alias("week_start"), "n")
 
 
+@query(
+    "m01_stream_open_weeks",
+    "SELECT CAST(date_trunc('week', ts) AS DATE)::VARCHAR AS bucket_start, COUNT(*) AS n FROM events GROUP BY 1",
+)
+def m01_open(t: Tables):
+    folder = scratch_path(t.spark, "arriving")
+    t.events.repartition(3, "event_id").write.parquet(folder)
+    out, mark = scratch_path(t.spark, "weeks"), scratch_path(t.spark, "mark")
+    jobs.stream_bucket_counts(_arriving(t, folder, files_per_batch=1), "ts", "week", out, mark)
+    return jobs.read_bucket_counts(t.spark, out)
+
+
+@query(
+    "m02_stream_forms_once",
+    "SELECT event_id, user_id, event_type, value FROM events",
+)
+def m02_once(t: Tables):
+    folder = scratch_path(t.spark, "arriving")
+    # two batches, and then every form once more, a year later
+    t.events.repartition(2, "event_id").write.parquet(folder)
+    out, mark = scratch_path(t.spark, "forms"), scratch_path(t.spark, "mark")
+    order = [F.col("ts")]
+    jobs.stream_forms_once(_arriving(t, folder, files_per_batch=1), "event_id", order, out, mark, buckets=32)
+    late = t.events.withColumn("ts", F.col("ts") + F.expr("interval 1 year"))
+    late.coalesce(1).write.mode("append").parquet(folder)
+    jobs.stream_forms_once(_arriving(t, folder), "event_id", order, out, mark, buckets=32)
+    return jobs.read_forms_once(t.spark, out, SCHEMA).select("event_id", "user_id", "event_type", "value")
+
+
 @query("m02_stream_dedupe_forms", "SELECT event_id, user_id, event_type, value FROM events")
 def m02(t: Tables):
     folder = scratch_path(t.spark, "arriving")

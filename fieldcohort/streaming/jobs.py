@@ -1,4 +1,4 @@
-"""Incremental forms of four batch steps over arriving files.
+"""Incremental forms of batch steps over arriving files.
 
 Every job reads new files of a folder, keeps its progress in a checkpoint
 folder and ends when all files that are there have been read.
@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.aggregate import time_bucket_counts
 from ..operators.latest import latest_per_key
-from ..session import delete_path
-from ..sources.tables import list_paths
+from .buckets import first_of_each_key, read_first_rows, read_state, upsert
 
 
 def read_arriving(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -82,63 +82,47 @@ def stream_alerts(rows: DataFrame, cond: Column, out: str, checkpoint: str) -> N
     )
 
 
-def _pointer(spark: SparkSession, path: str, before: int | None = None) -> tuple[int, dict[int, int]]:
-    """(number of the newest pointer, version in which each bucket lies); -1 and nothing without a snapshot."""
-    paths = list_paths(spark, f"{path}/pointer=*/*.parquet")
-    if paths is None:
-        return -1, {}
-    found = paths.select(F.regexp_extract("path", r"pointer=(\d+)", 1).cast("long").alias("v"))
-    if before is not None:
-        found = found.where(F.col("v") < before)
-    newest = found.agg(F.max("v")).first()[0]
-    if newest is None:
-        return -1, {}
-    return newest, {r.bucket: r.version for r in spark.read.schema("bucket INT, version BIGINT").parquet(f"{path}/pointer={newest}").collect()}
+def _per_batch(rows: DataFrame, checkpoint: str, save) -> None:
+    _finish(rows.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def _places(path: str, versions: dict[int, int]) -> list[str]:
-    return [f"{path}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], out: str, checkpoint: str, buckets: int = 16) -> None:
+    """Keep the newest row per key as a state in buckets by the hash of the key.
 
+    A repeated batch starts from the pointer before it and changes nothing twice.
+    """
+    _per_batch(rows, checkpoint, lambda batch, number: upsert(batch, number, out, key, lambda df: latest_per_key(df, key, order), buckets))
 
-def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], out: str, checkpoint: str, buckets: int = 16) -> None:
-    """Keep the newest row per key as a snapshot in buckets by the hash of the key.
 
-    A batch is reduced, meets the buckets its keys lie in, and writes those
-    anew; a pointer names the version of each bucket and is written last. A
-    repeated batch starts from the pointer before it and rewrites its own
-    version. What neither the new nor the previous pointer names is removed.
+def read_latest_version(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest row of each key after the last batch."""
+    return read_state(spark, path, schema)
+
+
+def stream_bucket_counts(rows: DataFrame, ts: str, unit: str, out: str, checkpoint: str) -> None:
+    """Counts per time bucket, the open ones too, as up to date as the last batch.
+
+    Each batch adds its counts to the buckets of the state it touches, so the
+    result equals the batch form after every run, whatever comes late.
     """
 
+    def add(df: DataFrame) -> DataFrame:
+        return df.groupBy("bucket_start").agg(F.sum("n").alias("n"))
+
     def save(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        place = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
-        last, before = _pointer(spark, out, before=number)
-        touched = {r.bucket for r in batch.select(place).distinct().collect()}
-        if not touched:
-            return
-        merged = latest_per_key(batch, key, order)
-        held = _places(out, {b: v for b, v in before.items() if b in touched})
-        if held:
-            merged = merged.unionByName(spark.read.schema(batch.schema).parquet(*held))
-        newest = latest_per_key(merged, key, order)
-        newest.select("*", place).write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/version={number}")
-        after = before | dict.fromkeys(touched, number)
-        spark.createDataFrame(sorted(after.items()), "bucket INT, version BIGINT").coalesce(1).write.mode("overwrite").parquet(f"{out}/pointer={number}")
-        _, oldest = _pointer(spark, out, before=last)
-        for old in set(oldest.values()) - set(before.values()) - set(after.values()):
-            delete_path(spark, f"{out}/version={old}")
+        upsert(time_bucket_counts(batch, ts, unit).withColumnRenamed("bucket", "bucket_start"), number, out, "bucket_start", add, buckets=4)
 
-    _finish(
-        rows.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    _per_batch(rows, checkpoint, save)
 
 
-def read_latest_version(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The snapshot that the newest pointer names."""
-    places = _places(path, _pointer(spark, path)[1])
-    if not places:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*places)
+def read_bucket_counts(spark: SparkSession, path: str) -> DataFrame:
+    return read_state(spark, path, "bucket_start DATE, n BIGINT")
+
+
+def stream_forms_once(rows: DataFrame, key: str, order: Sequence[Column], out: str, checkpoint: str, buckets: int = 256) -> None:
+    """Each form once, however late it is sent again; the first in ``order`` of a batch stays."""
+    _per_batch(rows, checkpoint, lambda batch, number: first_of_each_key(batch, number, out, key, order, buckets))
+
+
+def read_forms_once(spark: SparkSession, path: str, schema) -> DataFrame:
+    return read_first_rows(spark, path, schema)

@@ -2,16 +2,17 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldcohort import session
-from fieldcohort.operators import latest
+from fieldcohort.operators import aggregate, latest
 from fieldcohort.plans import dashboards
 from fieldcohort.sources import tables
-from fieldcohort.streaming import jobs
+from fieldcohort.streaming import buckets, jobs
 
 EVENT = "id BIGINT, ts TIMESTAMP, k STRING, v INT"
 
@@ -39,6 +40,66 @@ def test_feed_pages_are_read_whole_and_once(spark, tmp_path):
     assert sorted((r.id, r.name) for r in rows) == [(1, "a"), (2, "b"), (3, None)]
 
 
+FEED = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+
+
+def land(folder, link, ids, then=None, delta=None):
+    page = {"link": link, "value": [{"id": i, "name": f"n{i}"} for i in ids], "@odata.nextLink": then, "@odata.deltaLink": delta}
+    (folder / f"page {link}.json").write_text(json.dumps({k: v for k, v in page.items() if v is not None}, indent=1))
+
+
+def test_new_pages_are_read_once_and_missing_ones_named(spark, tmp_path):
+    folder, ledger = tmp_path / "feed", f"{tmp_path}/ledger"
+    folder.mkdir()
+
+    def run():
+        return sorted(r.id for r in tables.read_new_pages(spark, str(folder), FEED, "id", ["name"], "a", ledger).collect())
+
+    land(folder, "a", [1, 2], then="b")
+    land(folder, "c", [4], delta="d")
+    with pytest.raises(ValueError, match="missing: b"):
+        run()
+    assert tables.page_ledger(spark, ledger).count() == 0
+    land(folder, "b", [2, 3], then="c")
+    assert run() == [1, 2, 3, 4]
+    assert run() == []
+    for page in folder.iterdir():  # old pages are not opened again
+        page.write_text("no json")
+    land(folder, "e", [7], delta="f")
+    with pytest.raises(ValueError, match="no link leads to these pages: e"):
+        run()
+    land(folder, "d", [5, 6], then="e")
+    assert run() == [5, 6, 7]
+    assert {(r.link, r.records) for r in tables.page_ledger(spark, ledger).collect()} == {("a", 2), ("b", 2), ("c", 1), ("d", 2), ("e", 1)}
+
+
+def test_only_committed_snapshots_are_read(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/snap"
+    frame = lambda n: spark.createDataFrame([(i,) for i in range(n)], "n int")
+    assert tables.snapshot_write(frame(3), path, "2024-01-01")
+    # a writer that dies before its commit leaves files that nobody reads
+    real = tables.commits.write
+    monkeypatch.setattr(tables.commits, "write", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.snapshot_write(frame(9), path, "2024-01-09")
+    monkeypatch.setattr(tables.commits, "write", real)
+    assert tables.snapshot_read_latest(spark, path).count() == 3
+    # another writer of the day commits while this one writes
+    def late(*args, **options):
+        monkeypatch.setattr(tables.commits, "write", real)
+        assert tables.snapshot_write(frame(5), path, "2024-01-09")
+        return real(*args, **options)
+
+    monkeypatch.setattr(tables.commits, "write", late)
+    assert not tables.snapshot_write(frame(4), path, "2024-01-09")
+    assert tables.snapshot_read_latest(spark, path).count() == 5
+    assert tables.snapshot_read_all(spark, path).groupBy("snapshot_date").count().count() == 2
+    # a day in between takes its place
+    assert tables.snapshot_write(frame(7), path, "2024-01-05", min_days=1)
+    assert [tables.snapshot_read_latest(spark, path, d).count() for d in ("2024-01-08", "2024-01-04", "2024-02-01")] == [7, 3, 5]
+    assert tables.snapshot_read_all(spark, path).count() == 15
+
+
 def test_snapshots_wait_for_their_interval(spark, tmp_path):
     path = f"{tmp_path}/snap"
     df = spark.createDataFrame([(1,)], "n int")
@@ -129,6 +190,67 @@ def test_newest_row_per_key_equals_the_batch_result(spark, tmp_path):
     assert got == {"a": 5, "b": 2, "c": 6}
 
 
+def test_open_weeks_equal_the_batch_counts_after_every_run(spark, tmp_path):
+    folder, out, mark = (f"{tmp_path}/{n}" for n in ("in", "out", "mark"))
+    everything = []
+    for rows in ([(1, "2024-01-07 23:59:00", "a", 1), (2, "2024-01-08 00:01:00", "a", 1)], [(3, "2024-01-09 12:00:00", "a", 1), (4, "2023-01-02 00:00:00", "a", 1)], [(5, "2024-01-01 00:00:00", "a", 1)]):
+        everything += rows
+        events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        jobs.stream_bucket_counts(jobs.read_arriving(spark, folder, EVENT), "ts", "week", out, mark)
+        want = aggregate.time_bucket_counts(events(spark, everything), "ts", "week").select("bucket", "n").collect()
+        assert sorted(jobs.read_bucket_counts(spark, out).collect()) == sorted(want)
+
+
+def test_repeated_batches_and_old_versions_leave_no_trace(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    add = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+    batch = lambda *rows: spark.createDataFrame(rows, "k string, n long")
+    state = lambda: {r.k: r.n for r in buckets.read_state(spark, out, "k string, n long").collect()}
+    buckets.upsert(batch(("a", 1), ("b", 1)), 0, out, "k", add)
+    for _ in range(2):
+        buckets.upsert(batch(("a", 5)), 1, out, "k", add)
+        assert state() == {"a": 6, "b": 1}
+    for n in range(2, 9):
+        buckets.upsert(batch(("a", 1), ("b", 1)), n, out, "k", add)
+    assert state() == {"a": 13, "b": 8}
+    assert len([n for n in os.listdir(f"{out}/pointers") if n[0] != "."]) == 2
+    assert len([n for n in os.listdir(out) if n.startswith("version=")]) <= 3
+
+
+def test_forms_come_once_however_late(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    order = [F.col("ts"), F.col("v")]
+    rows = lambda *r: events(spark, r)
+    state = lambda: sorted((r.id is None, r.id, r.v) for r in buckets.read_first_rows(spark, out, EVENT).collect())
+    first = [(i, "2023-01-01 00:00:00", "a", i) for i in range(40)]
+    buckets.first_of_each_key(rows(*first, (1, "2023-01-01 00:00:00", "a", 99), (None, "2023-01-01 00:00:00", "a", 7)), 0, out, "id", order, buckets=8)
+    assert state() == [(False, i, i) for i in range(40)] + [(True, None, 7)]
+    again = [(3, "2024-06-01 00:00:00", "a", 0), (100, "2024-06-01 00:00:00", "a", 100)]
+    for _ in range(2):
+        buckets.first_of_each_key(rows(*again), 1, out, "id", order, buckets=8)
+        assert state() == sorted([(False, i, i) for i in (*range(40), 100)] + [(True, None, 7)])
+    for n in range(2, 14):
+        buckets.first_of_each_key(rows((100 + n, "2024-06-02 00:00:00", "a", 0), (n, "2024-06-02 00:00:00", "a", 0)), n, out, "id", order, buckets=8)
+    assert [x[1] for x in state() if x[1] is not None] == [*range(40), 100, *range(102, 114)]
+
+
+def test_only_buckets_that_may_hold_a_key_are_opened(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    rows = lambda ids: events(spark, [(i, "2023-01-01 00:00:00", "a", 1) for i in ids])
+    buckets.first_of_each_key(rows(range(30)), 0, out, "id", [F.col("v")], buckets=64)
+    keyed = rows([4, 5000, 5001]).select("id", buckets.bucket_of("id", 64))
+    filters = spark.read.parquet(f"{out}/filters/version=0")
+    own = {r.bucket for r in keyed.where("id = 4").collect()}
+    assert buckets.possible_buckets(keyed, "id", filters) == own
+    for name in os.listdir(f"{out}/keys/version=0"):
+        if name.startswith("bucket=") and int(name[7:]) not in own:
+            for part in os.listdir(f"{out}/keys/version=0/{name}"):
+                with open(f"{out}/keys/version=0/{name}/{part}", "w") as f:
+                    f.write("not parquet")
+    buckets.first_of_each_key(rows([4, 5000, 5001]), 1, out, "id", [F.col("v")], buckets=64)
+    assert buckets.read_first_rows(spark, out, EVENT).count() == 32
+
+
 def test_alerts_of_every_run_are_kept(spark, tmp_path):
     folder, out, mark = (f"{tmp_path}/{n}" for n in ("in", "out", "mark"))
     for i in (1, 2):
