@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import band
 from ..operators import aggregate as op
+from ..operators import partials
+from ..session import scratch_path
 from .registry import AS_OF, Tables, query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -420,6 +422,18 @@ def e29(t: Tables):
     return op.active_units(t.events, "user_id", "ts", "2024-01-08", "2024-01-14", F.col("event_type") == "view")
 
 
+@query(
+    "e29_active_units_from_partials",
+    """SELECT COUNT(DISTINCT user_id) AS active_units, COUNT(DISTINCT CAST(ts AS DATE)) AS active_days FROM events
+       WHERE ts >= DATE '2024-01-08' AND ts < DATE '2024-01-15' AND event_type = 'view'""",
+)
+def e29_partials(t: Tables):
+    path = scratch_path(t.spark, "daily")
+    seen = {"seen": (F.col("user_id"), F.col("event_type") == "view")}
+    partials.write_partials(partials.daily_partials(t.events, "ts", {}, seen), path)
+    return partials.active_days(partials.read_partials(t.spark, path), "seen", "2024-01-08", "2024-01-14")
+
+
 @query(
     "e30_density_fill_buckets",
     """WITH r AS (SELECT CAST(l_shipdate AS DATE) + 3 * (CAST(l_shipdate AS DATE) - DATE '1990-01-01')::INT AS d FROM lineitem)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import band
 from ..operators import latest as lt
+from ..operators import partials
 from ..plans import contacts, dashboards, groups, maternal, nutrition, viral_load
+from ..session import cut_lineage, scratch_path
 from .aggregates import pct
 from .joins import QUARTERS, presence_sql, service_sources
 from .registry import AS_OF, Tables, query
@@ -781,8 +783,7 @@ _DASH = """d AS (SELECT o_orderdate, o_custkey, n_name, p.lines FROM orders JOIN
     WHERE o_orderdate >= DATE '2000-04-01' AND o_orderdate < DATE '2000-07-01')"""
 
 
-@query(
-    "k23_dashboard_pack",
+_DASHBOARD = (
     f"""WITH {_DASH}, tr AS (SELECT COUNT(*) FILTER (o_orderdate >= DATE '2000-04-01' AND o_orderdate < DATE '2000-07-01') AS c,
           COUNT(*) FILTER (o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2000-04-01') AS p FROM d),
         ag AS (SELECT band, COUNT(*) AS n FROM i WHERE band IS NOT NULL GROUP BY 1)
@@ -791,9 +792,11 @@ _DASH = """d AS (SELECT o_orderdate, o_custkey, n_name, p.lines FROM orders JOIN
           LEFT JOIN i ON CAST(o_orderdate AS DATE) = CAST(g AS DATE) GROUP BY 2
         UNION ALL SELECT 'ages', band, n, {pct('n', '(SELECT SUM(n) FROM ag)')} FROM ag
         UNION ALL (SELECT 'agents', o_custkey::VARCHAR, COUNT(*) AS n, NULL FROM i GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 10)
-        UNION ALL SELECT 'offices', n_name, COUNT(*), COUNT(DISTINCT o_custkey)::DOUBLE FROM i GROUP BY n_name""",
+        UNION ALL SELECT 'offices', n_name, COUNT(*), COUNT(DISTINCT o_custkey)::DOUBLE FROM i GROUP BY n_name"""
 )
-def k23(t: Tables):
+
+
+def _activity(t: Tables):
     from ..operators.filters import dashboard_filter
 
     lines = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
@@ -803,15 +806,21 @@ def k23(t: Tables):
         .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     )
-    return dashboards.dashboard_pack(
-        rows,
-        day="o_orderdate",
-        office="n_name",
-        agent="o_custkey",
-        age_band=band("lines", [(3, "<3"), (6, "3-5")], "6+"),
-        start="2000-04-01",
-        end="2000-06-30",
-    )
+    return rows, {"day": "o_orderdate", "office": "n_name", "agent": "o_custkey", "age_band": band("lines", [(3, "<3"), (6, "3-5")], "6+")}
+
+
+@query("k23_dashboard_pack", _DASHBOARD)
+def k23(t: Tables):
+    rows, columns = _activity(t)
+    return dashboards.dashboard_pack(rows, **columns, start="2000-04-01", end="2000-06-30")
+
+
+@query("k23_dashboard_from_summary", _DASHBOARD)
+def k23_summary(t: Tables):
+    # the summary holds all days; the dashboard of a quarter reads nothing else
+    rows, columns = _activity(t)
+    daily = cut_lineage(dashboards.daily_activity(rows, **columns), "daily")
+    return dashboards.dashboard_pack(daily, day="day", office="office", agent="agent", age_band=F.col("band"), start="2000-04-01", end="2000-06-30", weight="n")
 
 
 _PERIOD_SQL = {
@@ -832,21 +841,35 @@ _IND = {
 }
 
 
-@query(
-    "k24_weekly_activity_pack",
+_ACTIVITY = (
     "SELECT * FROM ("
     + " UNION ALL ".join(
         f"SELECT '{p}' AS period, '{n}' AS indicator, {e} AS n FROM {_SPREAD} WHERE {where}"
         for p, where in [*((p, f"CAST(ts AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'") for p, (lo, hi) in _PERIOD_SQL.items()), ("all", "TRUE")]
         for n, e in _IND.items()
     )
-    + ") WHERE n > 0",
+    + ") WHERE n > 0"
 )
-def k24(t: Tables):
+
+
+def _spread_events(t: Tables):
     group, ts = F.col("user_id") % 7, F.col("ts")
     moved = F.when(group == 0, None).when(group == 1, ts - F.expr("interval 9 year")).when(group == 2, ts + F.expr("interval 3 year")).otherwise(ts)
+    return t.events.withColumn("ts", moved)
+
+
+@query("k24_activity_from_partials", _ACTIVITY)
+def k24_partials(t: Tables):
+    path = scratch_path(t.spark, "daily")
+    counts = {"forms": F.lit(True), "errors": F.col("event_type") == "error", "large": F.col("value") > 300}
+    partials.write_partials(partials.daily_partials(_spread_events(t), "ts", counts, {"users": (F.col("user_id"), None)}), path)
+    return dashboards.activity_from_partials(partials.read_partials(t.spark, path), "2024-01-18", ["forms", "errors", "users", "large"])
+
+
+@query("k24_weekly_activity_pack", _ACTIVITY)
+def k24(t: Tables):
     return dashboards.activity_pack(
-        t.events.withColumn("ts", moved),
+        _spread_events(t),
         "ts",
         "2024-01-18",
         {

@@ -143,6 +143,33 @@ def d09(t: Tables):
     return out.select("c_custkey", "s_suppkey")
 
 
+@query(
+    "d09_pairs_by_code",
+    """SELECT c_nationkey AS code, COUNT(*) AS pairs FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON c_nationkey = s_nationkey GROUP BY 1""",
+)
+def d09_counts(t: Tables):
+    # all deliveries of a nation's suppliers against all its customers, counted without making the pairs
+    sent = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return op.pair_counts(sent, t.customer, F.col("s_nationkey"), F.col("c_nationkey"), "code", "pairs")
+
+
+@query(
+    "d08_hot_person",
+    """SELECT o_orderkey, COUNT(l_partkey) AS n, COALESCE(SUM(l_quantity), 0) AS quantity FROM
+         (SELECT *, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS person FROM orders) o LEFT JOIN
+         (SELECT *, CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey END AS person FROM lineitem) l ON o.person = l.person
+         AND CAST(l_shipdate AS DATE) BETWEEN CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) + 1 GROUP BY 1""",
+)
+def d08_hot(t: Tables):
+    # a third of all episodes and events belong to one person
+    person = lambda c: F.when(F.col(c) % 3 == 0, 0).otherwise(F.col(c)).alias("person")
+    episodes = t.orders.select("o_orderkey", person("o_custkey"), F.to_date("o_orderdate").alias("ddr"))
+    events = t.lineitem.select(person("l_partkey"), "l_shipdate", "l_quantity")
+    window = (F.col("ddr"), F.date_add("ddr", 1))
+    out = op.interval_join(episodes, events, "person", "l_shipdate", windows=[window])
+    return out.groupBy("o_orderkey").agg(F.count("l_quantity").alias("n"), F.coalesce(F.sum("l_quantity"), F.lit(0)).alias("quantity"))
+
+
 _NEWEST = """(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
              FROM orders WHERE {}) WHERE rn = 1)"""
 

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import due_date, episode_start
 from ..functions.nulls import as_date, yes_no
 from ..functions.text import decode
+from ..session import cut_lineage
 from .clean import quoted, select_existing
 from .latest import latest_per_key
+from .skew import frequent_keys, grid_join
 
 MATCH = {"both": "yes", "left_only": "no"}
 
@@ -111,22 +113,71 @@ def interval_join(
 
     By default a date counts when it lies within nine months and a week after
     the start, or before the due date. The person is an equality key, so the
-    window is only a residual test.
+    window is only a residual test. People with very many events are joined by
+    person and date bin instead (``binned_join``).
     """
-    day = as_date(events[event_date])
+    if how not in ("left", "inner"):
+        raise ValueError("how is 'left' or 'inner'")
+    day = as_date(quoted(event_date))
     if windows is None:
         windows = [(as_date(start), due_date(start)), (episode_start(due), as_date(due))]
-    inside = reduce(or_, [day.between(lo, hi) for lo, hi in windows])
-    return episodes.join(events, (episodes[key] == events[key]) & inside, how).drop(events[key])
+    names = [f"_{side}{i}" for i in range(len(windows)) for side in ("lo", "hi")]
+    bounded = episodes.withColumns(dict(zip(names, [c for pair in windows for c in pair])))
+    spans = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(windows))]
+    inside = reduce(or_, [F.col("_day").between(lo, hi) for lo, hi in spans])
+    dated = events.withColumn("_day", day)
+    often = frequent_keys(events, [key], "_often")
+    if often.isEmpty():
+        met = bounded.join(dated, (bounded[key] == dated[key]) & inside, how).drop(dated[key])
+        return met.drop(*names, "_day")
+    mark = F.broadcast(often.withColumn("_often", F.lit(True)))
+    sides = [df.join(mark, key, "left") for df in (bounded, dated)]
+    usual, frequent = ([df.where(F.col("_often").isNull() == rare).drop("_often") for df in sides] for rare in (True, False))
+    met = usual[0].join(usual[1], (usual[0][key] == usual[1][key]) & inside, how).drop(usual[1][key])
+    return met.unionByName(binned_join(*frequent, key, spans, inside, how)).drop(*names, "_day")
+
+
+#: Days of a date bin.
+BIN_DAYS = 32
+
+
+def binned_join(
+    episodes: DataFrame, events: DataFrame, key: str, spans: Sequence[tuple[Column, Column]], inside: Column, how: str
+) -> DataFrame:
+    """Join by key and date bin: an event lies in the bin of ``_day``, an episode in every bin its spans touch.
+
+    The bins of an episode are distinct and an event has one, so a pair meets
+    once. Bins with many rows are cut in a grid of tasks.
+    """
+    place = lambda c: F.floor(F.unix_date(c) / BIN_DAYS)
+    of_span = lambda lo, hi: F.when(lo <= hi, F.sequence(place(lo), place(hi))).otherwise(F.array().cast("array<bigint>"))
+    bins = F.array_distinct(F.concat(*[F.coalesce(of_span(lo, hi), F.array().cast("array<bigint>")) for lo, hi in spans]))
+    numbered = cut_lineage(episodes.withColumn("_episode", F.monotonically_increasing_id()), "episodes")
+    sent = numbered.withColumn("_bin", F.explode(bins))
+    held = events.where("_day is not null").withColumn("_bin", place(F.col("_day")))
+    met = grid_join(sent, held, [key, "_bin"]).where(inside).drop("_bin")
+    if how == "left":
+        alone = numbered.join(met.select("_episode").distinct(), "_episode", "left_anti")
+        met = met.unionByName(alone, allowMissingColumns=True)
+    return met.drop("_episode")
 
 
 def expr_key_join(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, how: str = "left") -> DataFrame:
-    """Equality join on keys built by expressions."""
+    """Equality join on keys built by expressions; an inner one cuts keys that are frequent on both sides in a grid."""
     a = left.withColumn("_join_key", left_key)
     b = right.withColumn("_join_key", right_key)
+    if how == "inner":
+        return grid_join(a, b, "_join_key").drop("_join_key")
     return a.join(b, "_join_key", how).drop("_join_key")
 
 
+def pair_counts(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, key: str, out: str) -> DataFrame:
+    """How many pairs each key would make: both sides are counted first, and only the counts meet."""
+    a = left.groupBy(left_key.alias(key)).agg(F.count(F.lit(1)).alias("_a"))
+    b = right.groupBy(right_key.alias(key)).agg(F.count(F.lit(1)).alias("_b"))
+    return a.join(b, key).select(key, (F.col("_a") * F.col("_b")).alias(out))
+
+
 def groupwise_latest_join(
     df: DataFrame, events: DataFrame, key: str, order: Sequence[Column], how: str = "left"
 ) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.bands import safe_pct
 from ..functions.dates import PERIODS, period_bounds
 from ..functions.nulls import as_date
-from ..operators import aggregate, filters, latest
+from ..operators import aggregate, filters, latest, partials
 
 
 def dashboard_pack(
-    rows: DataFrame, *, day: str, office: str, agent: str, age_band: Column, start, end, top: int = 10
+    rows: DataFrame, *, day: str, office: str, agent: str, age_band: Column, start, end, top: int = 10, weight: str | None = None
 ) -> DataFrame:
     """The dashboard as one long table (block, label, n, measure).
 
@@ -22,6 +22,7 @@ def dashboard_pack(
     agents by activity, and rows and agents per office. The detail is read
     once: grouping sets give the counts of every block, and the blocks are
     built from them; Spark reuses their exchange. Building starts no job.
+    ``rows`` may be ``daily_activity``, whose column ``weight`` counts the rows.
     """
     lo, hi = as_date(start), as_date(end)
     before = F.date_sub(lo, F.datediff(hi, lo) + 1)
@@ -30,11 +31,12 @@ def dashboard_pack(
         F.col(office).cast("string").alias("office"),
         F.col(agent).alias("agent"),
         age_band.alias("band"),
+        (F.lit(1) if weight is None else F.col(weight)).alias("rows"),
     )
     both = both.withColumn("now", F.col("day") >= lo)
     sets = [[F.col(c) for c in cols] for cols in (["now"], ["now", "day"], ["now", "band"], ["now", "office", "agent"])]
     counts = both.groupingSets(sets, "now", "day", "band", "office", "agent").agg(
-        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n")
+        F.grouping_id().alias("set"), F.sum("rows").alias("n")
     )
     # one bit per column that a set leaves out, in the order now day band office agent
     overall = counts.where("set = 15")
@@ -66,6 +68,19 @@ def dashboard_pack(
     )
 
 
+def daily_activity(rows: DataFrame, *, day: str, office: str, agent: str, age_band: Column) -> DataFrame:
+    """(day, office, agent, band, n): what the dashboard of any period needs of the detail."""
+    keys = [as_date(F.col(day)).alias("day"), F.col(office).alias("office"), F.col(agent).alias("agent"), age_band.alias("band")]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def activity_from_partials(daily: DataFrame, as_of, indicators: Sequence[str], periods: Sequence[str] = PERIODS) -> DataFrame:
+    """``activity_pack`` from daily partials alone; their bitmaps give distinct people of any period."""
+    spans = {p: None if p == "all" else period_bounds(p, as_of) for p in periods}
+    found = partials.period_measures(daily, spans)
+    return found.where(F.col("measure").isin(*indicators) & (F.col("n") > 0)).select("period", F.col("measure").alias("indicator"), "n")
+
+
 def activity_pack(
     rows: DataFrame,
     day: str,

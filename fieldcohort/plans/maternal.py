@@ -17,7 +17,7 @@ from ..functions.dates import (
     pregnant_status,
 )
 from ..functions.nulls import as_date, differs, yes_no
-from ..operators import aggregate, filters, joins, latest
+from ..operators import aggregate, filters, joins, latest, skew
 
 
 def quarter_service_presence(
@@ -175,14 +175,17 @@ def pcr_analysis(specimens: DataFrame, patients: DataFrame, start, end) -> DataF
 
 
 def mother_child_pcr(specimens: DataFrame, children: DataFrame, pregnancies: DataFrame, start, end) -> DataFrame:
-    """Newest specimen per child with the mother and her deliveries in the window."""
+    """Newest specimen per child with the mother and her deliveries in the window.
+
+    Mothers with many children and deliveries are cut in a grid of tasks.
+    """
     order = [F.col("date_blood_taken").desc(), F.col("id").desc()]
     newest = latest.latest_per_key(specimens.where(F.col("date_blood_taken") > as_date(start)), "id_patient", order)
     delivered = pregnancies.where(
         (F.col("actual_delivery_date") > as_date(start)) & (F.col("actual_delivery_date") < as_date(end))
     ).select(F.col("id_patient").alias("id_patient_mother"), "actual_delivery_date")
     rows = newest.join(children.where("id_patient_mother is not null"), "id_patient")
-    return rows.join(delivered.distinct(), "id_patient_mother")
+    return skew.grid_join(rows, delivered.distinct(), "id_patient_mother")
 
 
 def mother_club_sessions(
