@@ -48,8 +48,7 @@ def _slow_encoder(path: str):
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return found, tuple(str(token) for token in found.get_added_tokens_decoder().values())
 
 
 @functools.lru_cache(maxsize=2)
@@ -63,11 +62,12 @@ def _fast_encoder(path: str):
 
 
 def encode(text: str, files: tuple[str, str]) -> np.ndarray:
-    """The ids of the text; both encoders give the same."""
+    """The ids that the JSON file's encoder gives; a text without any of its added tokens may take the faster one."""
     raw = text.encode()
+    slow, added = _slow_encoder(files[0])
     longest = max(map(len, raw.split()), default=0)
-    if longest > LONG_RUN or len(raw) > LONG_RUN and _long_space(raw):
-        return np.array(_slow_encoder(files[0]).encode(text, add_special_tokens=False).ids, np.uint32)
+    if longest > LONG_RUN or len(raw) > LONG_RUN and _long_space(raw) or any(token in text for token in added):
+        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
     return np.array(_fast_encoder(files[1]).encode_ordinary(text), np.uint32)
 
 

@@ -149,6 +149,10 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     return cut_lineage(index.select("*", kind), "index")
 
 
+#: Bytes of archives that a task reads back.
+TASK_BYTES = 16 << 20
+
+
 def read_plan(selected: DataFrame) -> DataFrame:
     """(archive, start, end, records): one row per read, its records in order.
 
@@ -193,7 +197,11 @@ def _reader(folder: str, keep_payload: bool):
 def read_records(selected: DataFrame, folder: str, keep_payload: bool = True) -> DataFrame:
     """The selected index rows' records as the archives have them.
 
+    The reads are dealt out by their bytes, however small their plan is.
     Digests of responses are checked against their payloads. For a revisit
     digest and length are those of the full payload, and ``payload`` is empty.
     """
-    return read_plan(selected).mapInArrow(_reader(folder, keep_payload), READ)
+    plan = cut_lineage(read_plan(selected), "reads")
+    held = plan.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    tasks = plan.repartition(max(1, -(-held // TASK_BYTES)), "archive", "start")
+    return tasks.mapInArrow(_reader(folder, keep_payload), READ)
