@@ -68,7 +68,7 @@ INPUTS = {
           FROM {{orders}} WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) o ON o_custkey = c_custkey""",
     "positives": "SELECT c_custkey AS id_patient FROM {customer} WHERE c_acctbal < 0",
     "regimes": f"""SELECT o_custkey AS id_patient, CASE WHEN o_orderpriority < '3' THEN 'regime_infant_treatment' ELSE 'other' END AS category,
-          o_orderpriority AS regime, {ORDER_DAY} AS start_date FROM {{orders}} WHERE o_orderstatus = 'F' AND o_totalprice > 400000""",
+          o_orderpriority AS regime, {ORDER_DAY} AS start_date FROM {{orders}} WHERE o_orderstatus = 'F'""",
     "club_members": "SELECT c_custkey AS id_patient, c_nationkey % 7 AS club_type FROM {customer} WHERE c_mktsegment = 'BUILDING'",
     "infants": """SELECT c_custkey AS id_patient, c_nationkey % 4 AS gender, c_nationkey AS id_hospital,
           DATE '1982-03-31' + CAST(c_custkey % 6000 AS INT) AS dob FROM {customer}""",
@@ -91,7 +91,7 @@ INPUTS = {
           CASE WHEN o_orderpriority < '3' THEN {ORDER_DAY} + 280 END AS dpa,
           CASE WHEN o_totalprice < 150000 THEN {ORDER_DAY} + 270 END AS actual_delivery_date, o_totalprice > 450000 AS terminated,
           {ORDER_DAY} + 30 AS created_at FROM {{orders}}""",
-    "mother_infants": f"SELECT o_custkey AS id_patient, o_orderkey AS infant_id, {ORDER_DAY} + 265 AS infant_dob FROM {{orders}} WHERE o_totalprice < 60000",
+    "mother_infants": f"SELECT o_custkey AS id_patient, o_orderkey AS infant_id, {ORDER_DAY} + 265 AS infant_dob FROM {{orders}}",
     "club_sessions": f"""SELECT o_custkey AS id_patient, {SHIP_DAY} AS session_date, CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS is_present
         FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey""",
     "places": """SELECT c_custkey AS id_patient, n_name AS commune, r_name AS departement FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
@@ -124,9 +124,9 @@ INPUTS = {
     "session_club_types": "SELECT r_regionkey AS club_type, r_name AS name FROM {region} WHERE r_regionkey > 0",
     "session_topics": "SELECT r_regionkey AS topic, r_name AS name FROM {region}",
     "mother_info": """SELECT c_custkey AS id_patient, c_name AS first_name, c_mktsegment AS last_name, 'M' || CAST(c_nationkey AS STRING) AS dob, c_custkey % 2 AS is_abandoned,
-          CASE WHEN c_acctbal < 0 THEN 1 END AS is_dead, c_custkey % 3 AS is_graduate, CAST(c_nationkey AS STRING) AS graduation_date FROM {customer} WHERE c_custkey % 2 = 0""",
+          CASE WHEN c_acctbal < 0 THEN 1 END AS is_dead, c_custkey % 3 AS is_graduate, CAST(c_nationkey AS STRING) AS graduation_date FROM {customer} WHERE c_nationkey < 15""",
     "infant_info": """SELECT c_custkey AS id_patient, c_name || ' jr' AS first_name, CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS last_name, 'I' || CAST(c_nationkey AS STRING) AS dob,
-          CASE WHEN c_acctbal > 0 THEN 1 END AS is_abandoned, c_custkey % 5 AS is_dead, c_custkey % 4 + 1 AS gender FROM {customer} WHERE c_custkey % 3 = 0""",
+          CASE WHEN c_acctbal > 0 THEN 1 END AS is_abandoned, c_custkey % 5 AS is_dead, c_custkey % 4 + 1 AS gender FROM {customer} WHERE c_mktsegment <> 'BUILDING'""",
     "linked": "SELECT c_custkey AS id_patient, c_name AS patient_code, CASE WHEN c_acctbal < 2000 THEN c_nationkey ELSE 0 END AS linked_to_id_patient FROM {customer}",
     "calls": """SELECT event_id AS formid, user_id AS health_id, CASE WHEN event_id % 50 = 0 THEN '---' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS date_appel,
           CASE WHEN value > 80 THEN '---' WHEN value > 20 THEN '1' ELSE '0' END AS is_available, CAST(user_id % 8 AS STRING) || 'agent' AS username
@@ -144,7 +144,7 @@ INPUTS = {
     "officers": "SELECT c_custkey AS caseid_group, 'officer ' || CAST(c_nationkey AS STRING) AS officer_name FROM {customer} WHERE c_nationkey < 20",
     "known_duplicates": "SELECT o_orderkey AS caseid FROM {orders} WHERE o_totalprice > 490000",
     "questionnaires": f"""SELECT l_orderkey AS caseid, l_returnflag AS type_ppi, {SHIP_DAY} AS date_ppi,
-          l_partkey * 10 + l_linenumber AS form FROM {{lineitem}} WHERE l_quantity > 40""",
+          l_partkey * 10 + l_linenumber AS form FROM {{lineitem}}""",
     "gardens": f"""SELECT l_orderkey AS caseid, l_linenumber AS line, l_partkey AS plot, 'agent' || CAST(l_suppkey % 20 AS STRING) AS username,
           ' S' || CAST(l_suppkey AS STRING) || ' - site' AS site_label, l_shipdate AS last_modified_date, l_linestatus = 'F' AS closed,
           CASE WHEN l_tax < 0.05 THEN '---' ELSE '2000-01-01' END AS cycle_4_start_date,
@@ -248,14 +248,14 @@ def k01(t: Tables):
     "k02_waiting_and_unfollowed",
     ctes("screening", "cases")
     + """, c AS (SELECT * FROM cases WHERE caseid IN (SELECT caseid FROM screening WHERE eligible = 'yes')
-          AND caseid NOT IN (SELECT CAST(l_orderkey AS STRING) FROM lineitem WHERE l_quantity > 25)),
+          AND caseid NOT IN (SELECT CAST(l_orderkey AS STRING) FROM lineitem WHERE l_returnflag = 'N')),
         d AS (SELECT caseid, closed_date = '---' AND date_enrollement IS NULL AND club_id = '---' AND enrrolled_where = 'community'
           AND is_approve_by_manager = '---' AS w FROM c)
         SELECT caseid, CASE WHEN w THEN 'waiting' ELSE 'no_follow_up' END AS list FROM d
         WHERE w OR caseid NOT IN (SELECT CAST(o_orderkey AS STRING) FROM orders WHERE o_orderpriority = '1-URGENT')""",
 )
 def k02(t: Tables):
-    visits = t.lineitem.where("l_quantity > 25").select(F.col("l_orderkey").cast("string").alias("caseid"))
+    visits = t.lineitem.where("l_returnflag = 'N'").select(F.col("l_orderkey").cast("string").alias("caseid"))
     enrolled = t.orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("caseid"))
     out = nutrition.waiting_and_unfollowed(made(t, "screening"), visits, made(t, "cases"), enrolled)
     return out.select("caseid", "list")

@@ -227,9 +227,7 @@ def c14(t: Tables):
         day.alias("added_at"),
         F.when(F.col("o_orderpriority") < "3", F.add_months(day, -20)).alias("delivery_date"),
     )
-    kept, old = joins.disjoint_by_key(rows, "o_custkey", "2000-10-01", "2001-09-30")
-    both = kept.withColumn("part", F.lit("kept")).unionByName(old.withColumn("part", F.lit("old")))
-    return both.select("part", "o_custkey", "o_orderkey")
+    return joins.disjoint_by_key(rows, "o_custkey", "2000-10-01", "2001-09-30").select("part", "o_custkey", "o_orderkey")
 
 
 @query(

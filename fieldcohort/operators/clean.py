@@ -185,14 +185,16 @@ def make_code(df: DataFrame, col: str, out: str, prefix: str) -> DataFrame:
     return df.withColumn(out, F.upper(code))
 
 
-#: From so many values on, flags come as rows and not as columns.
+#: Most values that may be found and made columns; more have to be declared, or come as rows.
 WIDE = 1000
 
 
-def vocabulary(df: DataFrame, col: str) -> list | None:
-    """Distinct non-null values of a category column, sorted; None if too many to be columns."""
+def vocabulary(df: DataFrame, col: str) -> list:
+    """Distinct non-null values of a category column, sorted; an error if too many to be columns."""
     rows = df.select(quoted(col).alias("v")).where("v is not null").distinct().limit(WIDE + 1).collect()
-    return None if len(rows) > WIDE else sorted(r.v for r in rows)
+    if len(rows) > WIDE:
+        raise ValueError(f"{col} has more than {WIDE} values: declare them, or ask for rows")
+    return sorted(r.v for r in rows)
 
 
 def long_flags(df: DataFrame, labels: Column) -> DataFrame:
@@ -206,17 +208,16 @@ def _flag_name(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix), F.btrim(plain, F.lit("_")))
 
 
-def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null: bool = False) -> DataFrame:
-    """0/1 column per category, named ``col_value``.
+def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null: bool = False, as_rows: bool = False) -> DataFrame:
+    """0/1 column per category, named ``col_value``, for the declared ``values`` or all that are found.
 
-    Without ``values`` all are taken; more than ``WIDE`` of them give the long
-    form of ``long_flags`` instead, with the same names.
+    ``as_rows`` gives the form of ``long_flags`` instead, with the same names,
+    for any number of values.
     """
-    found = vocabulary(df, col) if values is None else values
-    if found is None:
+    if as_rows:
         missing = F.lit(f"{col}_null") if dummy_null else F.lit(None)
         return long_flags(df, F.array(F.coalesce(_flag_name(f"{col}_", quoted(col)), missing)))
-    names = value_names(found, f"{col}_")
+    names = value_names(vocabulary(df, col) if values is None else values, f"{col}_")
     new = {n: F.when(quoted(col) == F.lit(v), 1).otherwise(0) for v, n in names.items()}
     if dummy_null:
         new[f"{col}_null"] = quoted(col).isNull().cast("int")
@@ -224,19 +225,19 @@ def one_hot(df: DataFrame, col: str, values: Sequence | None = None, dummy_null:
 
 
 def multi_label_flags(
-    df: DataFrame, col: str, values: Sequence[str] | None = None, alone: str | None = "aucun", prefix: str = ""
+    df: DataFrame, col: str, values: Sequence[str] | None = None, alone: str | None = "aucun", prefix: str = "", as_rows: bool = False
 ) -> DataFrame:
     """0/1 column per blank-separated token; ``alone`` counts only by itself.
 
-    Without ``values`` all are taken; more than ``WIDE`` of them give the long
-    form of ``long_flags`` instead.
+    Without ``values`` all that are found are taken; ``as_rows`` gives the form
+    of ``long_flags`` instead, for any number of tokens.
     """
     tokens = F.filter(F.split(F.coalesce(F.lower(F.trim(quoted(col))), F.lit("")), r"\s+"), lambda x: x != "")
-    if values is None:
-        values = vocabulary(df.select(F.explode(tokens).alias("token")), "token")
-    if values is None:
+    if as_rows:
         counted = F.filter(F.array_distinct(tokens), lambda x: (x != F.lit(alone or "")) | (F.size(tokens) == 1))
         return long_flags(df, F.transform(counted, lambda x: _flag_name(prefix, x)))
+    if values is None:
+        values = vocabulary(df.select(F.explode(tokens).alias("token")), "token")
     new = {}
     for v, name in value_names(values, prefix).items():
         hit = F.array_contains(tokens, v)

@@ -266,24 +266,21 @@ def canonical_id(linked: str, own: str) -> Column:
     return F.when(F.col(linked) > 0, F.col(linked)).otherwise(F.col(own))
 
 
-def disjoint_by_key(df: DataFrame, key: str, start, end) -> tuple[DataFrame, DataFrame]:
-    """Yearly cohort without the people whose only deliveries are too old.
+def disjoint_by_key(df: DataFrame, key: str, start, end, out: str = "part") -> DataFrame:
+    """Yearly cohort, told apart from the people whose only deliveries are too old.
 
     Columns: dpa, ddr, delivery_date, added_at. Selected rows have a due date
     from ``start`` on, or none and were added in the period. People are taken
     out when every selected row has a delivery over two years before
     ``start``; of the others, a delivery over three months before it needs an
-    episode date. Returns (kept rows, rows of the people taken out).
+    episode date. ``out`` is "kept", or "old" for the rows of the people taken out.
     """
     lo, hi = as_date(start), as_date(end)
     chosen = df.where((F.col("dpa") >= lo) | (F.col("dpa").isNull() & F.col("added_at").between(lo, hi)))
     recent = F.col("delivery_date").isNull() | (F.col("delivery_date") >= F.add_months(lo, -24))
     flags = chosen.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(recent).alias("_recent"))
-    flagged = chosen.join(flags, key, "left").withColumn("_out", ~F.coalesce("_recent", F.lit(False))).drop("_recent")
-    old = flagged.where(F.col("_out") & F.col("delivery_date").isNotNull()).drop("_out")
-    kept = flagged.where(~F.col("_out") | F.col(key).isNull()).drop("_out").where(
-        F.coalesce(F.col("delivery_date") > F.add_months(lo, -3), F.lit(False))
-        | F.col("dpa").isNotNull()
-        | F.col("ddr").isNotNull()
-    )
-    return kept, old
+    flagged = chosen.join(flags, key, "left").withColumn("_out", ~F.coalesce("_recent", F.lit(False)))
+    valid = F.coalesce(F.col("delivery_date") > F.add_months(lo, -3), F.lit(False)) | F.col("dpa").isNotNull() | F.col("ddr").isNotNull()
+    old = F.col("_out") & F.col("delivery_date").isNotNull()
+    kept = (~F.col("_out") | F.col(key).isNull()) & valid
+    return flagged.withColumn(out, F.when(kept, "kept").when(old, "old")).where(F.col(out).isNotNull()).drop("_recent", "_out")

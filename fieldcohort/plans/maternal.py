@@ -263,7 +263,7 @@ def annual_pregnancy_cohort(
     )
     rows = filters.exclude_values(rows, "office", without_offices)
     rows = rows.where(differs("is_abandoned", 1) & differs("is_dead", 1))
-    kept, _ = joins.disjoint_by_key(rows, "patient_code", start, end)
+    kept = joins.disjoint_by_key(rows, "patient_code", start, end, "_part").where("_part = 'kept'")
     added = F.when(F.col("ddr") >= lo, F.add_months("ddr", -1)).otherwise(F.col("added_at"))
     label = F.when(F.col("delivery_date").isNull(), "pregnant").otherwise("breastfeeding")
     return (

@@ -206,14 +206,16 @@ def test_columns_and_names(spark):
         clean.flag_threshold(df, "form.c", "f", 1, op="~")
 
 
-def test_many_values_give_the_long_form(spark, monkeypatch):
+def test_rows_are_the_form_for_many_values(spark, monkeypatch):
     monkeypatch.setattr(clean, "WIDE", 3)
     wide = spark.createDataFrame([(i, f"V {i % 5}" if i else None, "a b a aucun" if i else "aucun") for i in range(10)], "id int, v string, t string")
-    assert clean.vocabulary(wide, "v") is None and clean.vocabulary(wide, "t") == ["a b a aucun", "aucun"]
-    long = clean.one_hot(wide, "v", dummy_null=True).collect()
+    with pytest.raises(ValueError, match="more than 3 values"):
+        clean.one_hot(wide, "v")
+    assert clean.vocabulary(wide, "t") == ["a b a aucun", "aucun"]
+    long = clean.one_hot(wide, "v", dummy_null=True, as_rows=True).collect()
     assert {(r.id, r.flag) for r in long} == {(i, f"v_v_{i % 5}" if i else "v_null") for i in range(10)}
     words = spark.createDataFrame([(1, "x1 x2 x2"), (2, "x3 x4"), (3, "aucun"), (4, "aucun x1"), (5, None)], "id int, t string")
-    flags = {(r.id, r.flag) for r in clean.multi_label_flags(words, "t").collect()}
+    flags = {(r.id, r.flag) for r in clean.multi_label_flags(words, "t", as_rows=True).collect()}
     assert flags == {(1, "x1"), (1, "x2"), (2, "x3"), (2, "x4"), (3, "aucun"), (4, "x1"), (5, None)}
 
 
