@@ -159,17 +159,77 @@ def term_features() -> list[np.ndarray]:
     return [hashes[row == i] for i in range(len(TERMS))]
 
 
-def swaps(present: list[list[int]]) -> dict[tuple[int, int], float]:
-    """How often each term is swapped for which other: in every text once for each other term of its kind, shared out; and once without any text."""
-    out: dict[tuple[int, int], float] = {}
-    start = 0
+def _counts(row: np.ndarray, values: np.ndarray, wanted: np.ndarray, rows: int) -> np.ndarray:
+    """How often each of the sorted ``wanted`` hashes occurs in each text."""
+    at = np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)
+    hit = wanted[at] == values
+    return np.bincount(row[hit] * len(wanted) + at[hit], minlength=rows * len(wanted)).reshape(rows, len(wanted))
+
+
+def swap_changes(hashes: np.ndarray):
+    """For each text, the sentence with an identity term swapped for another of its kind, for every such pair.
+
+    Given as what changes: how many others the kind has, then the places among
+    ``hashes`` of the features that come (place + 1) or go (-place - 1), of all
+    levels. A pair that changes no known feature is left out.
+    """
+    row, own = feature_hashes(pa.array(TERMS, pa.large_string()))
+    terms = [own[row == i] for i in range(len(TERMS))]
+    wanted = np.unique(own)
+    spots = [np.searchsorted(wanted, t) for t in terms]
+    place = {}
+    for number, (level, mark) in enumerate(zip(LEVELS, _LEVEL)):
+        at = np.minimum(np.searchsorted(hashes, wanted ^ mark), max(len(hashes) - 1, 0))
+        for k in np.flatnonzero(hashes[at] == (wanted ^ mark)) if len(hashes) else ():
+            place[int(k), number] = int(at[k])
+    kinds, start = {}, 0
+    for group in IDENTITIES:
+        kinds |= {t: [o for o in range(start, start + len(group)) if o != t] for t in range(start, start + len(group))}
+        start += len(group)
+
+    def changes(held: np.ndarray) -> list[list[int]]:
+        out = []
+        for t, others in kinds.items():
+            times = held[spots[t][0]]
+            if not times:
+                continue
+            for other in others:
+                after = held.copy()
+                np.subtract.at(after, spots[t], times)
+                np.add.at(after, spots[other], times)
+                moved = [len(others)]
+                for k in np.flatnonzero(after != held).tolist():
+                    for number, level in enumerate(LEVELS):
+                        if (k, number) in place and (held[k] >= level) != (after[k] >= level):
+                            moved.append((place[k, number] + 1) * (1 if after[k] >= level else -1))
+                if len(moved) > 1:
+                    out.append([moved[0], *sorted(moved[1:])])
+        return out
+
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.LongType())))
+    def swapped(texts: pa.Array) -> pa.Array:
+        found = []
+        for _, _, part in text_slices(texts):
+            held = _counts(*feature_hashes(part), wanted, len(part))
+            found += [changes(h) for h in held]
+        return pa.array(found, pa.list_(pa.list_(pa.int64())))
+
+    return swapped
+
+
+def bare_swaps(hashes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Each term alone swapped for each other of its kind, once for each kind's term."""
+    terms = [np.searchsorted(hashes, t) for t in term_features()]
+    out, start = [], 0
     for group in IDENTITIES:
-        members = range(start, start + len(group))
-        for t in members:
-            held = 1 + sum(t in p for p in present)
-            for other in members:
-                if other != t:
-                    out[t, other] = held / (len(group) - 1)
+        for t in range(start, start + len(group)):
+            for other in range(start, start + len(group)):
+                change = np.zeros(len(hashes))
+                change[terms[t]] -= 1
+                change[terms[other]] += 1
+                columns = np.flatnonzero(change)
+                if len(columns):
+                    out.append((columns, change[columns], 1 / (len(group) - 1)))
         start += len(group)
     return out
 
@@ -183,9 +243,12 @@ def train(row: np.ndarray, column: np.ndarray, label: np.ndarray, width: int, di
     held = np.bincount(row, minlength=len(label))
     base = float(np.clip(label.mean() if len(label) else 0.5, 1e-3, 1 - 1e-3))
     point = np.concatenate([np.zeros(width), [np.log(base / (1 - base))]])
-    extra = np.zeros(width)
-    for columns, _, times in differences:
-        extra[columns] += penalty * times * len(columns)
+    many = np.array([len(columns) for columns, _, _ in differences], int)
+    pair = np.repeat(np.arange(len(differences)), many)
+    moved = np.concatenate([columns for columns, _, _ in differences]) if len(many) else np.zeros(0, int)
+    sign = np.concatenate([signs for _, signs, _ in differences]) if len(many) else np.zeros(0)
+    cost = penalty * np.array([times for _, _, times in differences])
+    extra = np.bincount(moved, weights=(cost * many)[pair], minlength=width)
     # a diagonal bound of the curvature: each row spreads a quarter over its columns
     spread = np.bincount(column, weights=0.25 * (held[row] + 1.0), minlength=width)
     step_sizes = 1 / np.concatenate([spread + RIDGE + extra, [max(1.0, 0.25 * float((held + 1).sum()))]])
@@ -194,8 +257,8 @@ def train(row: np.ndarray, column: np.ndarray, label: np.ndarray, width: int, di
         logit = ahead[width] + np.bincount(row, weights=ahead[column], minlength=len(label))
         off = 1 / (1 + np.exp(-np.clip(logit, -500, 500))) - label
         gradient = np.concatenate([np.bincount(column, weights=off[row], minlength=width) + RIDGE * ahead[:width], [off.sum()]])
-        for columns, signs, times in differences:
-            gradient[columns] += penalty * times * float(ahead[columns] @ signs) * signs
+        change = np.bincount(pair, weights=ahead[moved] * sign, minlength=len(many))
+        gradient[:width] += np.bincount(moved, weights=(cost * change)[pair] * sign, minlength=width)
         after = ahead - step_sizes * gradient
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = after + (pace - 1) / faster * (after - now)
@@ -244,16 +307,11 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     if not 0 < positive < rows:
         return hashes, np.zeros(len(hashes)), 0.0 if not rows else float(np.log((positive + 1) / (rows - positive + 1)))
 
-    places = [np.searchsorted(hashes, t) for t in terms]
-    whole = {int(p[0]): t for t, p in enumerate(places)}
-    present = [[whole[int(c)] for c in f if int(c) in whole] for f in found["features"]]
-    differences = []
-    for (one, two), times in swaps(present).items():
-        change = np.zeros(len(hashes))
-        change[places[one]] -= 1
-        change[places[two]] += 1
-        columns = np.flatnonzero(change)
-        differences.append((columns, change[columns], times))
+    pairs = texts.select(F.explode(swap_changes(hashes)(F.col("text"))).alias("change"))
+    differences = bare_swaps(hashes)
+    for r in pairs.groupBy("change").agg(F.count(F.lit(1)).alias("times")).collect():
+        moved = np.array(r.change[1:])
+        differences.append((np.abs(moved) - 1, np.sign(moved).astype(float), r.times / r.change[0]))
     weights, bias = train(row, column, target, len(hashes), differences, penalty)
     return hashes, weights, bias
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,51 @@ def test_nothing_to_learn_from(spark):
         scores = {r.score for r in toxicity.score(docs, model).collect()}
         assert len(scores) == 1 and 0 <= scores.pop() <= 0.5
     assert toxicity.score(empty(spark), model).count() == 0
+
+
+def test_swapped_sentences_change_the_features_they_would(spark):
+    """Against features of texts in which the term is really replaced, at all levels."""
+    texts = ["a muslim and a muslim, muslims too", "Women women women women men", "white-washed whites white", "no term", "", "old old young gay\u00e9 gay", "black " * 5 + "native nat nation"]
+    hashes = np.unique(np.concatenate([np.unique(toxicity._levels(*toxicity.feature_hashes(pa.array([t + " " + " ".join(toxicity.TERMS) * k for t in texts], pa.large_string())))[1]) for k in (1, 2, 4)]))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    found = {r.i: sorted(tuple(c) for c in r.c) for r in df.select("i", toxicity.swap_changes(hashes)("text").alias("c")).collect()}
+
+    def features(text):
+        return set(toxicity._levels(*toxicity.feature_hashes(pa.array([text], pa.large_string())))[1].tolist())
+
+    for i, text in enumerate(texts):
+        want = []
+        for group in toxicity.IDENTITIES:
+            for term in group:
+                whole = re.compile(rf"(?<![0-9a-z\u0080-\uffff]){term}(?![0-9a-z\u0080-\uffff])", re.I)
+                for other in group:
+                    if other != term and whole.search(text):
+                        before, after = features(text), features(whole.sub(other, text))
+                        spot = lambda h: int(np.searchsorted(hashes, h))
+                        known = set(hashes.tolist())
+                        want.append((len(group) - 1, *sorted([-spot(h) - 1 for h in (before - after) & known] + [spot(h) + 1 for h in (after - before) & known])))
+        assert found[i] == sorted(w for w in want if len(w) > 1)
+    assert any(len(c) > 12 for c in found[0])
+
+
+def test_training_finds_the_least_of_its_objective():
+    rng = np.random.default_rng(3)
+    texts, width = 60, 9
+    dense = rng.random((texts, width)) < 0.4
+    label = (dense[:, 0] | (rng.random(texts) < 0.2)).astype(float)
+    row, column = np.nonzero(dense)
+    differences = [(np.array([0, 1]), np.array([-1.0, 1.0]), 2.0), (np.array([2, 3, 4]), np.array([1.0, -1.0, 1.0]), 0.5)]
+
+    def objective(w, b):
+        logit = b + dense @ w
+        loss = np.logaddexp(0, logit).sum() - label @ logit + toxicity.RIDGE * w @ w / 2
+        return loss + sum(5.0 * times * float(w[c] @ s) ** 2 / 2 for c, s, times in differences)
+
+    w, b = toxicity.train(row, column, label, width, differences, 5.0)
+    best = objective(w, b)
+    for k in range(width):
+        for step in (-0.02, 0.02):
+            assert objective(w + step * np.eye(width)[k], b) > best - 1e-6
+    assert objective(w, b + 0.02) > best - 1e-6 and objective(w, b - 0.02) > best - 1e-6
+    free, _ = toxicity.train(row, column, label, width, [], 5.0)
+    assert abs(w[0] - w[1]) < abs(free[0] - free[1])
