@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -108,11 +110,23 @@ def _more_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         value = m.group()
         if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
             out.append((m.start(), 4, m.end()))
-    taken, kept = sorted((a, b) for a, _, b in base), []
+    return free_spans(base, out)
+
+
+def free_spans(base: list[tuple[int, int, int]], out: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The candidates, by start, that overlap neither a base span nor one kept before.
+
+    Base spans are found by start, with the farthest end up to each, so many
+    spans in one text cost a logarithm each.
+    """
+    taken = sorted((a, b) for a, _, b in base)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    kept, last = [], 0
     for start, kind, end in sorted(out):
-        if all(b <= start or a >= end for a, b in taken):
+        before = bisect_left(starts, end)
+        if start >= last and not (before and reach[before - 1] > start):
             kept.append((start, kind, end))
-            taken.append((start, end))
+            last = end
     return kept
 
 

@@ -206,3 +206,18 @@ def test_training_finds_the_least_of_its_objective():
     assert objective(w, b + 0.02) > best - 1e-6 and objective(w, b - 0.02) > best - 1e-6
     free, _ = toxicity.train(row, column, label, width, [], 5.0)
     assert abs(w[0] - w[1]) < abs(free[0] - free[1])
+
+
+def test_free_spans_equal_the_comparison_of_all():
+    rng = random.Random(5)
+    for _ in range(300):
+        some = lambda n: [(a := rng.randrange(60), rng.randrange(5), a + rng.randrange(1, 9)) for _ in range(rng.randrange(n))]
+        base, out = some(8), some(20)
+        taken, kept = [(a, b) for a, _, b in base], []
+        for start, kind, end in sorted(out):
+            if all(b <= start or a >= end for a, b in taken):
+                kept.append((start, kind, end))
+                taken.append((start, end))
+        assert private_data.free_spans(base, out) == kept
+    many = [(20 * i, 3, 20 * i + 10) for i in range(200_000)]
+    assert private_data.free_spans(many, [(20 * i + 10, 4, 20 * i + 15) for i in range(200_000)]) == [(20 * i + 10, 4, 20 * i + 15) for i in range(200_000)]
