@@ -61,3 +61,12 @@ def test_stage_bears_no_rows(spark, tmp_path, name):
     _folder(spark, tmp_path)
     stage = dict(corpus_pipeline.STAGES)[name]
     assert stage(spark, documents(spark).limit(0), str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stage_keeps_extra_columns_of_any_name(spark, tmp_path, name):
+    _folder(spark, tmp_path)
+    docs = documents(spark, extra=True)
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    assert all(r.uid == r.lang and r.region == r.lang and r.held == r.lang for r in found.collect())
