@@ -256,8 +256,9 @@ def whiten(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", com
     """(id, component, n, deviation, whitened, explained, identity_error) for every usable row and component.
 
     - Rows whose vector is null or holds null, NaN or infinite entries give
-      nothing. All other vectors must have the same length: of several lengths
-      an error names them. Vectors without entries and an empty table give no rows.
+      nothing, nor do vectors of another length than most rows have (of equally
+      frequent lengths the longest). Vectors without entries and an empty table
+      give no rows.
     - The model is fitted on each distinct vector once, so copies and repeated
       rows change nothing; each row is projected. A null id stays null.
     - There are ``components`` of them, or as many as the vectors have entries
@@ -267,9 +268,8 @@ def whiten(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", com
     - deviation is exact, as decimal(38, 0).
     """
     rows = df.select(F.col(f"`{vec_id}`").alias("id"), whole_numbers(F.col(f"`{vector}`")).alias("x")).where("x is not null and size(x) > 0")
-    lengths = sorted(r[0] for r in rows.select(F.size("x")).distinct().collect())
-    if len(lengths) > 1:
-        raise ValueError(f"vectors of different lengths: {lengths[:10]}")
+    length = rows.groupBy(F.size("x").alias("size")).agg(F.count(F.lit(1)).alias("held")).orderBy(F.desc("held"), F.desc("size")).first()
+    rows = rows.where(F.size("x") == (length.size if length else 0))
     id_type = df.schema[vec_id].dataType.simpleString()
     out = f"id {id_type}, component int, n long, deviation decimal(38,0), whitened double, explained double, identity_error double"
     model = fit(rows, components)
