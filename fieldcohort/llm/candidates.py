@@ -25,8 +25,8 @@ Fits = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 #: A region with more members is cut by its deeper order, once more for each doubling of this.
 CROWD = 512
-#: Members outside the largest component that a part may hold when all are compared with them.
-LEAF = 24
+#: A part is compared when its members outside the largest component, times all its members, are at most the square of this.
+LEAF = 64
 
 
 def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -71,11 +71,12 @@ def leaf_pairs(members: DataFrame, fits: Fits, told: DataFrame | None = None, le
     """Pairs (a, b), a < b, of members of a leaf with different labels that ``fits`` lets pass.
 
     Every member stands in the parts of its region of all depths. A leaf is the
-    largest part with at most ``LEAF`` members outside its main component; they
-    meet each other and the main component's; ``leaf`` may set another number. A part that no depth divides, so
-    that even the whole order is equal, has its outside members meet the first
-    member of the main component and the first outside of it. ``told`` (node, ...)
-    adds columns for ``fits``.
+    largest part whose members outside its main component make few pairs with
+    each other and the main component's: at most the square of ``leaf``. So no
+    member is compared with more than ``leaf`` others on average. A part that
+    no depth divides, so that even the whole order is equal, has its outside
+    members meet the first member of the main component and the first outside of
+    it. ``told`` (node, ...) adds columns for ``fits``.
     """
     leaf = leaf or LEAF
     mixed = members.groupBy("region").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("region")
@@ -84,11 +85,12 @@ def leaf_pairs(members: DataFrame, fits: Fits, told: DataFrame | None = None, le
     rows = rows.select("node", "label", "n", "last", F.posexplode("keys").alias("depth", "key"), "keys").withColumn("above", F.get("keys", F.col("depth") - 1)).drop("keys")
     rows = cut_lineage(rows, "parts")
     labels = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.min("node").alias("head"), F.first("above").alias("above"), F.first(F.col("depth") == F.col("last")).alias("ends"))
-    sides = labels.groupBy("key").agg(F.max_by(F.struct("label", "head"), F.struct("held", "label")).alias("main"), (F.sum("held") - F.max("held")).alias("outer"), F.first("above").alias("above"), F.first("ends").alias("ends"))
-    sides = cut_lineage(sides.where("outer > 0").selectExpr("key", "main.label main", "main.head head", "outer", "above", "ends"), "sides")
-    crowded = sides.where(F.col("outer") > leaf).select("key")
+    sides = labels.groupBy("key").agg(F.max_by(F.struct("label", "head"), F.struct("held", "label")).alias("main"), (F.sum("held") - F.max("held")).alias("outer"), F.sum("held").alias("all"), F.first("above").alias("above"), F.first("ends").alias("ends"))
+    few = (F.col("outer") * F.col("all") <= leaf * leaf).alias("small")
+    sides = cut_lineage(sides.where("outer > 0").select("key", F.col("main.label").alias("main"), F.col("main.head").alias("head"), "above", "ends", few), "sides")
+    crowded = sides.where(~F.col("small")).select("key")
     open_parts = sides.where(F.col("above").isNull()).unionByName(sides.join(crowded.select(F.col("key").alias("above")), "above", "left_semi"))
-    leaves = cut_lineage(open_parts.where((F.col("outer") <= leaf) | F.col("ends")).select("key", "main", "head", (F.col("outer") <= leaf).alias("small")), "leaves")
+    leaves = cut_lineage(open_parts.where(F.col("small") | F.col("ends")).select("key", "main", "head", "small"), "leaves")
 
     extra = [c for c in told.columns if c != "node"] if told is not None else []
     now = rows.join(small(leaves), "key")
