@@ -26,7 +26,7 @@ Fits = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 #: A region with more members is cut by its deeper order, once more for each doubling of this.
 CROWD = 512
 #: A part is compared when its members outside the largest component, times all its members, are at most the square of this.
-LEAF = 64
+LEAF = 32
 
 
 def crowded_regions(rows: DataFrame, deepen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
