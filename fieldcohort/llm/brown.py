@@ -7,10 +7,13 @@ contexts over the whole training text. A text's probability is the product of cl
 transitions and word emissions, both smoothed.
 
 The corpus is encoded once, as chunks of texts with a lexicon of their own, so
-a task never needs more counts than its chunk has words. Only the words that
-hold a millionth of the training tokens take part in the exchange: there are a
-million of them at most whatever the corpus, so their classes can be sent to
-every task. All other words share a class and keep their own counts in it.
+a task never needs more counts than its chunk has words. Every word that occurs
+twice or more in the training texts gets a class. Words that hold two millionths
+of the training tokens are the core: there are 500,000 of them at most whatever
+the corpus, so their classes can be sent to every task, and they join in bands
+and are exchanged. All others are the last band: they join the classes of the
+core by the same gain, in buckets, and their classes stay a table. Words that
+occur once share a class, which also holds the unseen ones.
 """
 
 from __future__ import annotations
@@ -34,15 +37,17 @@ for _module in (sys.modules[__name__], common, tokens):
     cloudpickle.register_pickle_by_value(_module)
 
 CLASSES = 16
-#: A word takes part in the exchange from this share of the training tokens; at most 1 / MIN_SHARE words do.
+#: A word is of the core from this share of the training tokens; at most 1 / MIN_SHARE words are.
 MIN_SHARE = 2e-6
+#: A word has a class of its own choice from this many occurrences.
+MIN_COUNT = 2
 #: Each band of words that join is so many times as large as all before it.
 BAND = 4
 #: Rounds of exchange after the last band; every second word may move in one, the others in the next.
 ROUNDS = 2
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK = 16 << 20
-#: Fixed classes after the exchanged ones: all other words, and the end of a text, which also stands before its start.
+#: Fixed classes after the exchanged ones: words that occur once or never, and the end of a text, which also stands before its start.
 OTHER, END, ALL = CLASSES, CLASSES + 1, CLASSES + 2
 #: Words that one task moves one after another, starting from the counts of the round.
 BUCKET = 4096
@@ -64,7 +69,7 @@ def _chunks():
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         columns = [
             pa.array([number], pa.int64()), one(ids), one(pa.array(held)), one(pa.array(first.astype(np.int64))),
-            pa.array([places.astype("<i4").tobytes()], pa.binary()), one(pa.array(lexicon)), one(pa.array(counts.astype(np.int64))),
+            pa.array([pa.compress(places.astype("<i4").tobytes(), "zstd", asbytes=True)], pa.binary()), one(pa.array(lexicon)), one(pa.array(counts.astype(np.int64))),
         ]
         return pa.RecordBatch.from_arrays(columns, names)
 
@@ -105,12 +110,14 @@ def _each(batch: pa.RecordBatch):
         found = {}
         for name in batch.schema.names:
             value = batch.column(name)[i]
-            if name == "tokens":
-                found[name] = np.frombuffer(value.as_py(), "<i4")
+            if name in ("tokens", "kinds"):
+                found[name] = value.as_py()
             elif name in ("chunk", "ids"):
                 found[name] = value
             else:
                 found[name] = value.values.to_numpy(zero_copy_only=False)
+        size = 4 * int(found["first"][-1])
+        found["tokens"] = np.frombuffer(pa.decompress(found["tokens"], size, "zstd", asbytes=True) if size else b"", "<i4")
         yield found
 
 
@@ -255,29 +262,95 @@ def exchange(chunks: DataFrame, words: np.ndarray, rank: np.ndarray, rounds: int
     return classes, bigrams
 
 
+def _tail_contexts(words: np.ndarray, classes: np.ndarray):
+    """Rows (word, context, n) of the training texts for the words outside the core, one chunk at a time."""
+
+    def count(batches):
+        for batch in batches:
+            for c in _each(batch):
+                at, cls = _classes_of(c["lexicon"], words, classes)
+                first, tokens = c["first"], c["tokens"]
+                line = _sequence(cls[tokens], first, END)
+                place = _sequence(np.where(at < 0, np.arange(len(at)), -1)[tokens], first, -1)
+                use = np.repeat(~c["held"], np.diff(first) + 1) & (place >= 0)
+                before = np.concatenate([[END], line[:-1]])[use]
+                after = np.concatenate([line[1:], [END]])[use]
+                spot = place[use] * (2 * ALL)
+                full, n = np.unique(np.concatenate([spot + before, spot + ALL + after]), return_counts=True)
+                for start in range(0, len(full), 1 << 18):
+                    part = full[start : start + (1 << 18)]
+                    columns = [pa.array(c["lexicon"][part // (2 * ALL)]), pa.array((part % (2 * ALL)).astype(np.int32)), pa.array(n[start : start + (1 << 18)])]
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "context", "n"])
+
+    return count
+
+
+def _joiners(bigrams: np.ndarray):
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        words, at = np.unique(rows["word"].to_numpy(), return_inverse=True)
+        counts = np.zeros((len(words), 2 * ALL))
+        counts[at, rows["context"].to_numpy()] = rows["n"].to_numpy()
+        often = counts[:, :ALL].sum(axis=1) >= MIN_COUNT
+        words, counts = words[often], counts[often]
+        joined = best_classes(counts[:, :ALL], counts[:, ALL:], np.full(len(words), OTHER), bigrams)
+        return pd.DataFrame({"word": words, "class": joined})
+
+    return decide
+
+
+def tail_classes(chunks: DataFrame, words: np.ndarray, classes: np.ndarray, bigrams: np.ndarray, kinds: int) -> DataFrame:
+    """(word, class) of the words outside the core that occur ``MIN_COUNT`` times or more.
+
+    Rows are dealt by bucket once; a bucket holds about ``BUCKET`` of the
+    ``kinds`` words, and a word at most two counts per class, so its size is bounded.
+    """
+    rows = chunks.select("first", "held", "tokens", "lexicon").mapInArrow(_tail_contexts(words, classes), "word long, context int, n long")
+    buckets = max(1, kinds // BUCKET)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets))).repartition("bucket")
+    rows = rows.groupBy("bucket", "word", "context").agg(F.sum("n").alias("n"))
+    return cut_lineage(rows.groupBy("bucket").applyInPandas(_joiners(bigrams), "word long, class int"), "tail")
+
+
+def _bigrams(batches):
+    """Rows (context, n): class bigrams of the training texts, by the pair of classes."""
+    pairs = np.zeros(ALL * ALL, np.int64)
+    for batch in batches:
+        for c in _each(batch):
+            line = _sequence(_spread(c, "class", OTHER)[c["tokens"]], c["first"], END)
+            train = np.repeat(~c["held"], np.diff(c["first"]) + 1)
+            pairs += np.bincount((np.concatenate([[END], line[:-1]]) * ALL + line)[train], minlength=len(pairs))
+    full = np.flatnonzero(pairs)
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(pairs[full])], ["context", "n"])
+
+
+def _spread(chunk: dict, name: str, missing: int) -> np.ndarray:
+    """The values ``name``, given at ``places`` only, for the whole lexicon of a chunk."""
+    values = np.full(chunk["kinds"], missing, np.int64)
+    values[chunk["places"]] = chunk[name]
+    return values
+
+
 SCORES = ("n_tokens", "n_known", "base_score", "score")
 
 
-def _scorer(words, classes, emission, transition, other_log, end_log, base_log):
-    """Scores of every text of a chunk; ``known`` holds the training counts of its lexicon at ``places``."""
+def _scorer(sizes, transition, other_log, end_log, base_log):
+    """Scores of every text of a chunk; ``known`` and ``class`` are those of its lexicon at ``places``."""
 
     def score(batches):
         for batch in batches:
             for c in _each(batch):
-                first, sizes = c["first"], np.diff(c["first"])
-                known = np.zeros(len(c["lexicon"]), np.int64)
-                known[c["places"]] = c["known"]
-                at, cls = _classes_of(c["lexicon"], words, classes)
-                emit = np.where(at >= 0, emission[at] if len(emission) else 0.0, np.log10(known + 1.0) - other_log)
-                tokens = c["tokens"]
+                first, lengths, tokens = c["first"], np.diff(c["first"]), c["tokens"]
+                known, cls = _spread(c, "known", 0), _spread(c, "class", OTHER)
+                emit = np.log10(np.maximum(known, 1)) - np.log10(sizes)[np.minimum(cls, CLASSES - 1)]
+                emit = np.where(cls < CLASSES, emit, np.log10(known + 1.0) - other_log)
                 line = _sequence(cls[tokens], first, END)
                 before = np.concatenate([[END], line[:-1]])
                 logs = transition[before, line] + _sequence(emit[tokens], first, 0.0)
                 base = _sequence((np.log10(known + 1.0) - base_log)[tokens], first, end_log)
                 seen = _sequence((known > 0)[tokens], first, end_log > -base_log)
-                starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+                starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
                 columns = [
-                    c["ids"].values, pa.array(c["held"]), pa.array(sizes + 1), pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
+                    c["ids"].values, pa.array(c["held"]), pa.array(lengths + 1), pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
                     pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", *SCORES])
@@ -285,6 +358,28 @@ def _scorer(words, classes, emission, transition, other_log, end_log, base_log):
     return score
 
 
+def learn(chunks: DataFrame, lexicon: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int]:
+    """((word, n, class) of every training word, training texts).
+
+    ``word`` is the word's hash; ``class`` is ``OTHER`` for words that occur
+    once. Words of equal frequency are taken in the order of their hashes.
+    """
+    vocabulary = cut_lineage(lexicon.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    training = chunks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
+    running = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    core = F.col("n") >= max(MIN_COUNT, MIN_SHARE * (running + training))
+    frequent = vocabulary.where(core).toPandas()
+    frequent = frequent.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
+    frequent["rank"] = np.arange(len(frequent))
+    frequent = frequent.sort_values("word", ignore_index=True)
+    words = frequent["word"].to_numpy(np.int64)
+    classes, bigrams = exchange(chunks, words, frequent["rank"].to_numpy(np.int64), rounds)
+    tail = tail_classes(chunks, words, classes, bigrams, vocabulary.where(~core & (F.col("n") >= MIN_COUNT)).count())
+    chosen = chunks.sparkSession.createDataFrame(pa.table({"word": words, "class": classes.astype(np.int32)})).unionByName(tail)
+    known = vocabulary.join(chosen, "word", "left").select("word", "n", F.coalesce("class", F.lit(OTHER)).alias("class"))
+    return cut_lineage(known, "classes"), training
+
+
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -298,30 +393,26 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     chunks = encode(docs, doc_id, text, held_out)
     lexicon = chunks.select("chunk", F.posexplode(F.arrays_zip("lexicon", "counts")).alias("at", "w"))
     lexicon = lexicon.select("chunk", "at", F.col("w.lexicon").alias("word"), F.col("w.counts").alias("n"))
-    vocabulary = cut_lineage(lexicon.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    training = chunks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
-    running, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    total, kinds = running + training, distinct + (training > 0)
-
-    frequent = vocabulary.where(F.col("n") >= max(2, MIN_SHARE * total)).toPandas()
-    frequent = frequent.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
-    frequent["rank"] = np.arange(len(frequent))
-    frequent = frequent.sort_values("word", ignore_index=True)
-    words, counts = frequent["word"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
-    classes, bigrams = exchange(chunks, words, frequent["rank"].to_numpy(np.int64), rounds)
+    known, training = learn(chunks, lexicon, rounds)
+    found = {r["class"]: (r["n"], r["kinds"]) for r in known.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
+    total = sum(n for n, _ in found.values()) + training
+    kinds = sum(k for _, k in found.values()) + (training > 0)
+
+    matched = lexicon.select("chunk", "at", "word").join(known, "word").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "n", "class"))).alias("found"))
+    full = chunks.select("chunk", "ids", "held", "first", "tokens", F.size("lexicon").alias("kinds")).join(matched, "chunk", "left")
+    part = lambda name, kind: F.coalesce(F.col(f"found.{name}"), F.array().cast(f"array<{kind}>"))
+    full = cut_lineage(full.select("ids", "held", "first", "tokens", "kinds", part("at", "int").alias("places"), part("n", "long").alias("known"), part("class", "int").alias("class")), "classed", "zstd")
+    bigrams = np.zeros(ALL * ALL)
+    for r in full.drop("ids", "known").mapInArrow(_bigrams, "context int, n long").groupBy("context").agg(F.sum("n").alias("n")).collect():
+        bigrams[r.context] = r.n
+    bigrams = bigrams.reshape(ALL, ALL)
 
-    before = bigrams.sum(axis=1, keepdims=True)
-    transition = np.log10((bigrams + 1.0) / (before + ALL))
-    sizes = np.bincount(classes, weights=counts, minlength=CLASSES) if len(words) else np.zeros(CLASSES)
-    emission = np.log10(counts / sizes[classes]) if len(words) else np.zeros(0)
-    others, other_kinds = running - int(counts.sum()), distinct - len(words)
+    transition = np.log10((bigrams + 1.0) / (bigrams.sum(axis=1, keepdims=True) + ALL))
+    sizes = np.array([max(1, found.get(k, (0, 0))[0]) for k in range(CLASSES)], float)
+    others, other_kinds = found.get(OTHER, (0, 0))
     other_log, base_log = float(np.log10(others + other_kinds + 1.0)), float(np.log10(total + kinds + 1.0))
     end_log = float(np.log10(training + 1.0)) - base_log
-
-    matched = lexicon.select("chunk", "at", "word").join(vocabulary, "word").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("found"))
-    full = chunks.drop("counts").join(matched, "chunk", "left")
-    full = full.select("chunk", "ids", "held", "first", "tokens", "lexicon", F.coalesce(F.col("found.at"), F.array().cast("array<int>")).alias("places"), F.coalesce(F.col("found.n"), F.array().cast("array<long>")).alias("known"))
     id_type = chunks.schema["ids"].dataType.elementType
     out = T.StructType([T.StructField("id", id_type), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    scored = full.mapInArrow(_scorer(words, classes, emission, transition, other_log, end_log, base_log), out)
+    scored = full.mapInArrow(_scorer(sizes, transition, other_log, end_log, base_log), out)
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))

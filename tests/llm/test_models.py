@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldcohort.llm import brown, common, private_data, toxicity
+from fieldcohort.llm import brown, common, private_data, tokens, toxicity
 
 from .cases import corpus, documents, empty, lower_words, prose
 
@@ -46,6 +46,56 @@ def test_class_model_is_a_distribution_and_beats_the_base(spark):
     assert all(s < 0 for s in scored.values())
 
 
+@pytest.mark.parametrize("share", [brown.MIN_SHARE, 0.01])
+def test_scores_equal_a_plain_class_model(spark, monkeypatch, share):
+    monkeypatch.setattr(brown, "MIN_SHARE", share)
+    rng = random.Random(11)
+    rows = [(i, prose(rng, rng.randrange(0, 80)), "en", "s", 1) for i in range(150)] + corpus()
+    docs, held = documents(spark, rows), common.fold("doc_id", 7) == 2
+    chunks = brown.encode(docs, "doc_id", "text", held)
+    lexicon = chunks.select("chunk", F.explode(F.arrays_zip("lexicon", "counts")).alias("w")).select("chunk", F.col("w.lexicon").alias("word"), F.col("w.counts").alias("n"))
+    known, training = brown.learn(chunks, lexicon)
+    train = [r for r in rows if _crc(r[0], 7) != 2]
+    counts = Counter(w for r in train for w in lower_words(r[1]))
+    hashes = dict(zip(counts, tokens.word_hashes(pa.array(list(counts), pa.large_string()))[0].view(np.int64).tolist()))
+    table = {r.word: (r.n, r["class"]) for r in known.collect()}
+    assert training == len(train) and {hashes[w]: n for w, n in counts.items()} == {w: n for w, (n, _) in table.items()}
+    # every word that occurs twice has a class of its choice, of the core or not, and no other word has
+    assert all((c < brown.CLASSES) == (n >= 2) for n, c in table.values())
+    core = sum(n >= max(2, share * (sum(counts.values()) + training)) for n in counts.values())
+    assert (core < sum(n >= 2 for n in counts.values())) == (share == 0.01)
+
+    cls = {w: table[hashes[w]][1] for w in counts}
+    lines = [["", *lower_words(r[1]), ""] for r in train]
+    of = lambda w: brown.END if w == "" else cls.get(w, brown.OTHER)
+    bigrams = Counter((of(a), of(b)) for line in lines for a, b in zip(line, line[1:]))
+    starts = Counter()
+    for (a, _), n in bigrams.items():
+        starts[a] += n
+    sizes = Counter()
+    for w, n in counts.items():
+        sizes[cls[w]] += n
+    once = [w for w in counts if cls[w] == brown.OTHER]
+
+    def emission(w):
+        if w == "":
+            return 1.0
+        if of(w) != brown.OTHER:
+            return counts[w] / sizes[of(w)]
+        return (counts.get(w, 0) + 1) / (2 * len(once) + 1)
+
+    assert abs(sum(emission(w) for w in counts) + emission("never seen") - len(set(cls.values()) | {brown.OTHER})) < 1e-9
+    for a in range(brown.ALL):
+        assert abs(sum((bigrams[a, b] + 1) / (starts[a] + brown.ALL) for b in range(brown.ALL)) - 1) < 1e-9
+
+    def plain(text):
+        line = ["", *lower_words(text), ""]
+        return sum(math.log10((bigrams[of(a), of(b)] + 1) / (starts[of(a)] + brown.ALL) * emission(b)) for a, b in zip(line, line[1:]))
+
+    found = sorted(((str(r.id), round(r.score, 6)) for r in brown.score(docs, held).collect()))
+    assert found == sorted((str(r[0]), round(plain(r[1]), 6)) for r in rows)
+
+
 def test_exchange_finds_the_two_sides():
     rng = np.random.default_rng(0)
     now = rng.integers(0, 2, 40)
