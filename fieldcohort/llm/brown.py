@@ -49,6 +49,8 @@ ROUNDS = 2
 CHUNK = 16 << 20
 #: Fixed classes after the exchanged ones: words that occur once or never, and the end of a text, which also stands before its start.
 OTHER, END, ALL = CLASSES, CLASSES + 1, CLASSES + 2
+#: A place of a lexicon and its class in one number: bits of the class, and their mask.
+PLACE, MASK = 8, 255
 #: Words that one task moves one after another, starting from the counts of the round.
 BUCKET = 4096
 
@@ -316,17 +318,17 @@ def _bigrams(batches):
     pairs = np.zeros(ALL * ALL, np.int64)
     for batch in batches:
         for c in _each(batch):
-            line = _sequence(_spread(c, "class", OTHER)[c["tokens"]], c["first"], END)
+            line = _sequence(_spread(c, c["spots"] & MASK, OTHER)[c["tokens"]], c["first"], END)
             train = np.repeat(~c["held"], np.diff(c["first"]) + 1)
             pairs += np.bincount((np.concatenate([[END], line[:-1]]) * ALL + line)[train], minlength=len(pairs))
     full = np.flatnonzero(pairs)
     yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(pairs[full])], ["context", "n"])
 
 
-def _spread(chunk: dict, name: str, missing: int) -> np.ndarray:
-    """The values ``name``, given at ``places`` only, for the whole lexicon of a chunk."""
+def _spread(chunk: dict, given: np.ndarray, missing: int) -> np.ndarray:
+    """Values given for the places of ``spots``, for the whole lexicon of a chunk."""
     values = np.full(chunk["kinds"], missing, np.int64)
-    values[chunk["places"]] = chunk[name]
+    values[chunk["spots"] >> PLACE] = given
     return values
 
 
@@ -334,13 +336,13 @@ SCORES = ("n_tokens", "n_known", "base_score", "score")
 
 
 def _scorer(sizes, transition, other_log, end_log, base_log):
-    """Scores of every text of a chunk; ``known`` and ``class`` are those of its lexicon at ``places``."""
+    """Scores of every text of a chunk; ``spots`` hold places of its lexicon with their classes, ``known`` their counts."""
 
     def score(batches):
         for batch in batches:
             for c in _each(batch):
                 first, lengths, tokens = c["first"], np.diff(c["first"]), c["tokens"]
-                known, cls = _spread(c, "known", 0), _spread(c, "class", OTHER)
+                known, cls = _spread(c, c["known"], 0), _spread(c, c["spots"] & MASK, OTHER)
                 emit = np.log10(np.maximum(known, 1)) - np.log10(sizes)[np.minimum(cls, CLASSES - 1)]
                 emit = np.where(cls < CLASSES, emit, np.log10(known + 1.0) - other_log)
                 line = _sequence(cls[tokens], first, END)
@@ -398,10 +400,12 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     total = sum(n for n, _ in found.values()) + training
     kinds = sum(k for _, k in found.values()) + (training > 0)
 
-    matched = lexicon.select("chunk", "at", "word").join(known, "word").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "n", "class"))).alias("found"))
+    matched = lexicon.select("chunk", "at", "word").join(known, "word")
+    # one aggregate gathers both lists row by row, so their places agree
+    matched = matched.groupBy("chunk").agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), PLACE) + F.col("class")).alias("spots"), F.collect_list("n").alias("known"))
     full = chunks.select("chunk", "ids", "held", "first", "tokens", F.size("lexicon").alias("kinds")).join(matched, "chunk", "left")
-    part = lambda name, kind: F.coalesce(F.col(f"found.{name}"), F.array().cast(f"array<{kind}>"))
-    full = cut_lineage(full.select("ids", "held", "first", "tokens", "kinds", part("at", "int").alias("places"), part("n", "long").alias("known"), part("class", "int").alias("class")), "classed", "zstd")
+    part = lambda name: F.coalesce(name, F.array().cast("array<long>")).alias(name)
+    full = cut_lineage(full.select("ids", "held", "first", "tokens", "kinds", part("spots"), part("known")), "classed", "zstd")
     bigrams = np.zeros(ALL * ALL)
     for r in full.drop("ids", "known").mapInArrow(_bigrams, "context int, n long").groupBy("context").agg(F.sum("n").alias("n")).collect():
         bigrams[r.context] = r.n
