@@ -53,6 +53,8 @@ OTHER, END, ALL = CLASSES, CLASSES + 1, CLASSES + 2
 PLACE, MASK = 8, 255
 #: Words that one task moves one after another, starting from the counts of the round.
 BUCKET = 4096
+#: Words outside the core that join between two updates of the counts.
+SLICE = 64
 
 
 def _chunks():
@@ -287,6 +289,28 @@ def _tail_contexts(words: np.ndarray, classes: np.ndarray):
     return count
 
 
+def join_classes(left: np.ndarray, right: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """The class of largest likelihood for words of none yet, the most frequent first.
+
+    As ``best_classes``, but the counts follow after every ``SLICE`` words.
+    """
+    counts, out = bigrams.astype(float), np.empty(len(left), np.int64)
+    own = left.sum(axis=1)
+    order = np.argsort(-own, kind="stable")
+    for start in range(0, len(order), SLICE):
+        w = order[start : start + SLICE]
+        before, after, n = left[w], right[w], own[w, None]
+        counts[:, OTHER] = np.maximum(counts[:, OTHER] - before.sum(axis=0), 0)
+        counts[OTHER, :] = np.maximum(counts[OTHER, :] - after.sum(axis=0), 0)
+        sizes, columns, lines = counts.sum(axis=0)[:CLASSES], counts[:, :CLASSES].T, counts[:CLASSES, :]
+        gain = (_xlogx(columns + before[:, None]) - _xlogx(columns)).sum(axis=2) + (_xlogx(lines + after[:, None]) - _xlogx(lines)).sum(axis=2)
+        gain -= 2 * (_xlogx(sizes + n) - _xlogx(sizes))
+        out[w] = gain.argmax(axis=1)
+        np.add.at(counts.T, out[w], before)
+        np.add.at(counts, out[w], after)
+    return out
+
+
 def _joiners(bigrams: np.ndarray):
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
         words, at = np.unique(rows["word"].to_numpy(), return_inverse=True)
@@ -294,8 +318,7 @@ def _joiners(bigrams: np.ndarray):
         counts[at, rows["context"].to_numpy()] = rows["n"].to_numpy()
         often = counts[:, :ALL].sum(axis=1) >= MIN_COUNT
         words, counts = words[often], counts[often]
-        joined = best_classes(counts[:, :ALL], counts[:, ALL:], np.full(len(words), OTHER), bigrams)
-        return pd.DataFrame({"word": words, "class": joined})
+        return pd.DataFrame({"word": words, "class": join_classes(counts[:, :ALL], counts[:, ALL:], bigrams)})
 
     return decide
 

@@ -115,6 +115,20 @@ def test_exchange_finds_the_two_sides():
     assert len({c for t, c in pairs if t == 0} & {c for t, c in pairs if t == 1}) == 0
 
 
+def test_words_of_no_class_join_the_best(monkeypatch):
+    rng = np.random.default_rng(4)
+    bigrams = rng.integers(0, 50, (brown.ALL, brown.ALL)) + np.eye(brown.ALL, k=1, dtype=int) * 500
+    left, right = rng.integers(0, 3, (90, brown.ALL)), rng.integers(0, 3, (90, brown.ALL))
+    bigrams[:, brown.OTHER] += left.sum(axis=0)
+    bigrams[brown.OTHER, :] += right.sum(axis=0)
+    monkeypatch.setattr(brown, "SLICE", 1)
+    one_by_one = brown.best_classes(left, right, np.full(90, brown.OTHER), bigrams)
+    assert (brown.join_classes(left, right, bigrams) == one_by_one).all()
+    monkeypatch.undo()
+    assert np.mean(brown.join_classes(left, right, bigrams) == one_by_one) > 0.8
+    assert len(brown.join_classes(left[:0], right[:0], bigrams)) == 0
+
+
 def test_scores_without_training_or_rows(spark):
     assert brown.score(empty(spark), F.lit(False)).count() == 0
     found = brown.score(documents(spark, corpus()[:3]), F.lit(True)).collect()
