@@ -287,6 +287,11 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     return scanned.select("row", plain(base).alias("base"), plain(spans).alias("spans"))
 
 
+def count_of(spans: str, kind: int) -> Column:
+    """How many spans are of a kind. The test takes the span alone: a second parameter would be its place."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def spelled(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldcohort.llm import brown, common, private_data, tokens, toxicity
+from fieldcohort.llm import brown, common, private_data, queries, tokens, toxicity
 
 from .cases import corpus, documents, empty, lower_words, prose
 
@@ -156,6 +156,20 @@ def test_base_spans_equal_the_plain_patterns():
     assert private_data.base_spans("a" * 200_000 + "1" * 200_000) == []
 
 
+def test_personal_data_counts_of_the_query(spark, tmp_path):
+    rows = [(1, "10.2.3.4 and 10.2.3.5 and 10.2.3.6"), (2, "a@b.co"), (3, "4111 1111 1111 1111, x@y.org, +1 (017) 555-7713"), (4, None), (5, ""), (6, "+1 (017) 555-7713 or +1 (017) 555-7714"), (6, "1.2.3.4"), (None, "c@d.org e@f.org")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op6_weak_supervision(spark, str(tmp_path)).collect()
+
+    def expected(doc_id, text):
+        spans = _base_spans(text or "")
+        names = ",".join(f"{private_data.KINDS[kind]}:{a}:{b}" for a, kind, b in spans)
+        return (doc_id, *[sum(s[1] == k for s in spans) for k in range(4)], hashlib.sha256(names.encode()).hexdigest())
+
+    got = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in found]
+    assert sorted(got, key=str) == sorted((expected(*r) for r in rows), key=str)
+
+
 def test_personal_data_of_all_rows(spark):
     rng = random.Random(2)
     secret = hashlib.sha1(b"k").hexdigest()
