@@ -107,6 +107,33 @@ def test_interval_join_of_hot_people_equals_the_plain_join(hot, how):
     assert rows(found) == rows(plain) and found.count() > 1000
 
 
+def test_daily_totals_meet_as_the_events_do(hot):
+    episodes, events = hot
+    window = (F.col("start"), F.date_add("start", 1))
+    events = events.withColumn("value", F.when(F.col("event") % 5 > 0, F.col("event") * 1.0)).withColumn("day", F.when(F.col("event") % 9 > 0, F.date_add(F.lit("2024-01-03"), F.col("event").cast("int") % 2)))
+    measures = [F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("total"), F.lit(0.0)).alias("total")]
+    single = joins.interval_join(episodes, events, "person", "day", windows=[window])
+    plain = single.groupBy("id").agg(F.count("value").alias("n"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
+    daily = joins.daily_totals(events, "person", "day", n=F.count("value"), total=F.sum("value"))
+    met = joins.interval_join(episodes, daily, "person", "day", windows=[window])
+    assert sorted(map(tuple, met.groupBy("id").agg(*measures).collect())) == sorted(map(tuple, plain.collect()))
+    assert met.count() <= 2 * episodes.count() and single.count() > 3 * met.count() / 2
+
+
+def test_a_person_of_many_episodes_is_joined_by_bins(hot, monkeypatch):
+    episodes, events = hot
+    few = events.where("event < 24")
+    assert skew.frequent_keys(few, ["person"], "parts").isEmpty()
+    met = []
+    binned = joins.binned_join
+    monkeypatch.setattr(joins, "binned_join", lambda *a: met.append(a) or binned(*a))
+    window = (F.col("start"), F.date_add("start", 40))
+    found = joins.interval_join(episodes, few, "person", "day", windows=[window])
+    plain = episodes.join(few, (episodes.person == few.person) & F.col("day").between(*window), "left").drop(few.person)
+    rows = lambda df: sorted(map(str, df.select("id", "person", "start", "event", "day").collect()))
+    assert met and rows(found) == rows(plain)
+
+
 def test_grid_join_leaves_no_large_cell(hot):
     episodes, events = hot
     met = skew.grid_join(episodes.drop("start"), events.drop("day"), "person")
