@@ -63,6 +63,17 @@ def _tidy(spark: SparkSession, path: str, *kept: dict[int, list[int]]) -> None:
                 delete_path(spark, f"{path}/{name}")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The rows dealt to tasks by key and origin before they are sorted.
+
+    A task that reads a file may get millions of narrow rows. What it sends on
+    it need not hold, whereas a ranking holds and sorts all rows of its task,
+    and tasks behind a shuffle are kept to a fixed size. Copies of one key from several tasks
+    stay apart, so none gets all of them.
+    """
+    return rows.repartition(F.col(key), F.spark_partition_id())
+
+
 def upsert(batch: DataFrame, number: int, path: str, key: str, merge: Callable[[DataFrame], DataFrame], buckets: int = 16) -> None:
     """Merge a batch into the state: ``merge`` reduces old and new rows together to one row per key.
 
@@ -128,7 +139,7 @@ def first_of_each_key(batch: DataFrame, number: int, path: str, key: str, order:
     last, content = pointer(spark, path, before=number)
     before = _versions(content)
     old = spark.read.schema("bucket INT, bits BINARY").parquet(f"{path}/filters/version={last}") if content.get("filters") else None
-    keyed = latest_per_key(batch.where(F.col(key).isNotNull()), key, order)
+    keyed = latest_per_key(spread(batch.where(F.col(key).isNotNull()), key), key, order)
     keyed = cut_lineage(keyed.select("*", bucket_of(key, buckets)), "batch")
     opened = possible_buckets(keyed, key, old) if old is not None else set()
     fresh = keyed

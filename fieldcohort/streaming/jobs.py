@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.aggregate import time_bucket_counts
 from ..operators.latest import latest_per_key
-from .buckets import first_of_each_key, read_first_rows, read_state, upsert
+from .buckets import first_of_each_key, read_first_rows, read_state, spread, upsert
 
 
 def read_arriving(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -91,7 +91,7 @@ def stream_latest_per_key(rows: DataFrame, key: str, order: Sequence[Column], ou
 
     A repeated batch starts from the pointer before it and changes nothing twice.
     """
-    _per_batch(rows, checkpoint, lambda batch, number: upsert(batch, number, out, key, lambda df: latest_per_key(df, key, order), buckets))
+    _per_batch(rows, checkpoint, lambda batch, number: upsert(batch, number, out, key, lambda df: latest_per_key(spread(df, key), key, order), buckets))
 
 
 def read_latest_version(spark: SparkSession, path: str, schema) -> DataFrame:

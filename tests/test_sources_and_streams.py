@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,6 +235,18 @@ def test_forms_come_once_however_late(spark, tmp_path):
     assert [x[1] for x in state() if x[1] is not None] == [*range(40), 100, *range(102, 114)]
 
 
+def test_rows_are_ranked_behind_a_shuffle(spark, tmp_path):
+    # as one task reads a file of any number of rows, none may be sorted before they are dealt out
+    batch = events(spark, [(i % 50, "2023-01-01 00:00:00", "a", i) for i in range(200)])
+    batch.coalesce(1).write.parquet(f"{tmp_path}/in")
+    ranked = latest.latest_per_key(buckets.spread(spark.read.schema(EVENT).parquet(f"{tmp_path}/in"), "id"), "id", [F.col("v")])
+    lines = [x.strip(" :+-*()0123456789") for x in ranked._jdf.queryExecution().sparkPlan().toString().split("\n")]
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x)
+    below = [x for x in lines[:scan] if "Exchange" in x or "Sort" in x or "Limit" in x or "Repartition" in x]
+    assert re.match("Exchange|Repartition", below[-1]) and any("WindowGroupLimit" in x for x in below)
+    assert sorted((r.id, r.v) for r in ranked.collect()) == [(i, i) for i in range(50)]
+
+
 def test_only_buckets_that_may_hold_a_key_are_opened(spark, tmp_path):
     out = f"{tmp_path}/out"
     rows = lambda ids: events(spark, [(i, "2023-01-01 00:00:00", "a", 1) for i in ids])
