@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -191,6 +192,92 @@ def token_set_ratio(a: str | Column, b: str | Column) -> Column:
     return F.when(left.isNotNull() & right.isNotNull(), score)
 
 
+#: Characters of a text that fit the bits of one number.
+BITS = 64
+
+
+def common_table(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """Length of the longest common subsequence of every left text, of at most ``BITS`` characters, with every right one.
+
+    A left text is a row of bits. Each character of the right texts is one step
+    for all pairs, in which the lowest set bit of every run between matches
+    moves to the match; cleared bits are common characters.
+    """
+    a, b = _Texts(left), _Texts(right)
+    rows, columns = np.arange(len(left)), np.arange(len(right))
+    x = a.window(rows, np.zeros_like(rows), a.sizes, int(a.sizes.max(initial=0)), -1)
+    y = b.window(columns, np.zeros_like(columns), b.sizes, int(b.sizes.max(initial=0)), -2)
+    letters, y = np.unique(y, return_inverse=True)
+    y = y.reshape(len(right), -1)
+    masks = np.zeros((len(left), len(letters)), np.uint64)
+    for k in range(x.shape[1]):
+        place = np.minimum(np.searchsorted(letters, x[:, k]), len(letters) - 1)
+        masks[rows, place] |= np.where(letters[place] == x[:, k], np.uint64(1) << np.uint64(k), np.uint64(0))
+    masks[:, letters == -2] = 0
+    bits = np.full((len(left), len(right)), ~np.uint64(0))
+    for k in range(y.shape[1]):
+        hit = bits & masks[:, y[:, k]]
+        bits = (bits + hit) | (bits - hit)
+    return np.bitwise_count(~bits).astype(np.int64)
+
+
+def best_token_sets(names: Sequence[str], others: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(score, place) of the best of the other token sets for every name, the first of equal ones.
+
+    Both are texts of distinct sorted tokens; scores are those of ``token_set_ratio``.
+    """
+    size_a, size_b = (np.fromiter(map(len, texts), np.int64, len(texts)) for texts in (names, others))
+    total = size_a[:, None] + size_b[None, :]
+    score = np.zeros((len(names), len(others)))
+    short = np.flatnonzero(size_a <= BITS)
+    if len(short):
+        score[short] = 200.0 * common_table([names[i] for i in short], others) / total[short]
+    for i in np.flatnonzero(size_a > BITS):
+        score[i] = 200.0 * common_lengths([names[i]] * len(others), others) / total[i]
+    tokens = [o.split(" ") for o in others]
+    holders: dict[str, list[int]] = {}
+    for j, held in enumerate(tokens):
+        for w in held:
+            holders.setdefault(w, []).append(j)
+    where, texts_a, texts_b, core = [], [], [], []
+    for i, name in enumerate(names):
+        mine = name.split(" ")
+        for j in {j for w in mine for j in holders.get(w, ())}:
+            theirs = set(tokens[j])
+            both = [w for w in mine if w in theirs]
+            if len(both) in (len(mine), len(theirs)):
+                score[i, j] = 100.0
+                continue
+            known = set(both)
+            where.append((i, j))
+            texts_a.append(" ".join([w for w in mine if w not in known]))
+            texts_b.append(" ".join([w for w in tokens[j] if w not in known]))
+            core.append(sum(map(len, both)) + len(both) - 1)
+    if where:
+        # both texts begin with the shared tokens and a blank
+        n, at = np.array(core), tuple(np.array(where).T)
+        common = common_lengths(texts_a, texts_b) + n + 1
+        inside = np.maximum(200.0 * n / (n + size_a[at[0]]), 200.0 * n / (n + size_b[at[1]]))
+        score[at] = np.maximum(200.0 * common / total[at], inside)
+    place = score.argmax(axis=1)
+    return score[np.arange(len(names)), place], place
+
+
+BEST = T.ArrayType(T.StructType([T.StructField("s", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("best_match", T.StringType())]))
+
+
+@F.arrow_udf(BEST)
+def best_of_blocks(names: pa.Array, others: pa.Array) -> pa.Array:
+    """For each row the best of ``others`` (best_match, o) for every one of ``names``, with the score."""
+    kind = pa.list_(pa.struct([("s", pa.string()), ("score", pa.float64()), ("best_match", pa.string())]))
+    out = []
+    for mine, theirs in zip(names, others):
+        block, rows = mine.as_py(), theirs.as_py()
+        score, place = best_token_sets(block, [r["o"] for r in rows])
+        out.append([{"s": s, "score": float(v), "best_match": rows[j]["best_match"]} for s, v, j in zip(block, score, place)])
+    return pa.array(out, kind)
+
+
 def lowest_sequence_ratio(left: Column, right: Column) -> Column:
     """Smallest ratio over the paired texts of two arrays."""
 

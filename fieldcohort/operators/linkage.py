@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import lowest_sequence_ratio, token_set_ratio
+from ..functions.similarity import best_of_blocks, lowest_sequence_ratio, token_set_ratio
 from ..functions.text import normalize_text
 from ..session import cut_lineage, release
 from .clean import quoted, require_columns
@@ -302,7 +302,8 @@ def best_name_match(
     need no search; among equal scores the same token set wins, then the
     smaller name.
 
-    The search goes down in rounds: candidates are complete down to the
+    Of up to ``ALL_TARGETS`` different names of the other table all are compared.
+    Of more the search goes down in rounds: candidates are complete down to the
     round's bound, names whose best score reaches it are done, and only the
     others go on, with the best score they have as a bound of their own.
     """
@@ -323,10 +324,49 @@ def best_name_match(
 
     same = left.join(right, F.col("s") == F.col("o")).select("s", F.lit(100.0).alias("score"), "best_match")
     todo = left.join(right.select(F.col("o").alias("s")), "s", "left_anti").select(F.col("s").alias("id"))
+    scores = [same]
+    if right.count() <= ALL_TARGETS:
+        scores.append(_best_of_all(todo, right, threshold))
+    else:
+        scores += _best_in_rounds(todo, right, threshold)
+    found = functools.reduce(DataFrame.unionByName, scores).withColumnRenamed("s", "_set")
+    out = left_rows.join(found, "_set", "left").drop("_set")
+    return out.withColumn("score", F.floor(F.coalesce("score", F.lit(0.0))).cast("int")).withColumn(
+        "correspondance", F.when(F.col("best_match").isNotNull(), "yes").otherwise("no")
+    )
+
+
+#: Up to so many token sets every name is compared with all: that is linear in the names, and cheaper than candidates.
+ALL_TARGETS = 10_000
+#: Names and targets that are compared in one table.
+NAME_BLOCK, TARGET_BLOCK = 256, 512
+
+
+def _best_of_all(todo: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(s, score, best_match) of the names, each compared with every target, block by block."""
+
+    def blocks(df: DataFrame, key: str, size: int, row: Column) -> tuple[DataFrame, int]:
+        count = max(1, -(-df.count() // size))
+        number = F.pmod(F.xxhash64(key), F.lit(count))
+        return df.select(number.alias("block"), row.alias("row")).groupBy("block").agg(F.sort_array(F.collect_list("row")).alias("rows")), count
+
+    todo = cut_lineage(todo, "names")
+    names, count = blocks(todo, "id", NAME_BLOCK, F.col("id"))
+    others, _ = blocks(right, "o", TARGET_BLOCK, F.struct("best_match", "o"))
+    dealt = names.select(F.col("rows").alias("names")).repartition(min(count, 1000))
+    met = dealt.crossJoin(F.broadcast(others.select(F.col("rows").alias("others"))))
+    each = met.select(F.explode(best_of_blocks("names", "others")).alias("x")).select("x.*")
+    best = each.groupBy("s").agg(F.min(F.struct((-F.col("score")).alias("m"), F.col("best_match").alias("b"))).alias("w"))
+    score = -F.col("w.m")
+    return cut_lineage(best.select("s", score.alias("score"), F.when(score >= threshold, F.col("w.b")).alias("best_match")), "scored")
+
+
+def _best_in_rounds(todo: DataFrame, right: DataFrame, threshold: float) -> list[DataFrame]:
+    """The same in parts, found among candidates: names that reach a round's bound are done."""
     targets = right.select(F.col("o").alias("id"))
     index = _name_grams(targets, targets)
     still = _name_grams(todo, targets).withColumn("best", F.lit(0.0))
-    scores = [same]
+    scores = []
     for bound in [threshold, *[r for r in ROUNDS if r < threshold]]:
         scored = cut_lineage(_scored_candidates(still, index, bound), "scored")
         best = scored.groupBy("s").agg(F.max("score").alias("score"))
@@ -344,11 +384,7 @@ def best_name_match(
         still = now.where(~ends).drop("best_match")
         if still.isEmpty():
             break
-    found = functools.reduce(DataFrame.unionByName, scores).withColumnRenamed("s", "_set")
-    out = left_rows.join(found, "_set", "left").drop("_set")
-    return out.withColumn("score", F.floor(F.coalesce("score", F.lit(0.0))).cast("int")).withColumn(
-        "correspondance", F.when(F.col("best_match").isNotNull(), "yes").otherwise("no")
-    )
+    return scores
 
 
 def _name_grams(names: DataFrame, targets: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from fieldcohort.functions.similarity import common_lengths, matched_lengths, sequence_ratio, token_set_ratio
+from fieldcohort.functions.similarity import common_lengths, common_table, matched_lengths, sequence_ratio, token_set_ratio
 from fieldcohort.operators import linkage, similar, skew
 
 FIRST = ["Marie", "Jean", "Josué", "Mariette", "Anne", "Rose-Marie", "Jeanne", "Wilner", "marie", "Jn"]
@@ -254,3 +254,37 @@ def test_every_name_has_the_best_score_whatever_it_is(spark, monkeypatch, crowd)
     assert got == {i: int(max((token_set_score(n or "", o) for _, o in right), default=0) + 1e-9) for i, n in left}
     none = linkage.best_name_match(spark.createDataFrame(left, cols), spark.createDataFrame([], cols))
     assert {(r.best_match, r.score, r.correspondance) for r in none.collect()} == {(None, 0, "no")}
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_names_meet_all_of_few_targets_and_candidates_of_many(spark, monkeypatch, most):
+    monkeypatch.setattr(linkage, "ALL_TARGETS", most)
+    monkeypatch.setattr(linkage, "NAME_BLOCK", 7)
+    monkeypatch.setattr(linkage, "TARGET_BLOCK", 5)
+    searched = []
+    rounds = linkage._best_in_rounds
+    monkeypatch.setattr(linkage, "_best_in_rounds", lambda *a: searched.append(a) or rounds(*a))
+    rng = random.Random(12)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    shared = [word("abcde", 4) for _ in range(6)]
+    name = lambda letters: " ".join([*rng.sample(shared, rng.randrange(3)), *[word(letters, rng.randrange(1, 8)) for _ in range(rng.randrange(1, 3))]])
+    left = [(i, name("abcxyz")) for i in range(40)] + [(100, word("abc", 64)), (101, word("abc", 65)), (102, word("ab", 90) + " " + shared[0]), (103, "\U0001f642 " + shared[1]), (104, None), (105, shared[2])]
+    right = [(i, name("abcdefgh")) for i in range(40)] + [(100, word("abc", 70)), (101, shared[2] + " " + shared[3]), (102, left[0][1].upper()), (103, "  "), (104, None)]
+    cols = "id long, name string"
+    found = linkage.best_name_match(spark.createDataFrame(left, cols), spark.createDataFrame(right, cols), threshold=60).collect()
+    assert len(found) == len(left) and bool(searched) == (most == 0)
+    texts = {i: n for i, n in right if n and n.strip()}
+    for r in found:
+        score = {o: token_set_score((r.name or "").lower(), o.lower()) for o in texts.values()}
+        best = max(score.values())
+        assert r.score == int(best + 1e-9)
+        # an equal token set wins, of other equal scores the smaller name
+        equal = [o for o in score if set(o.lower().split()) == set((r.name or "").lower().split())]
+        assert r.best_match == (None if best < 60 else min(equal or [o for o in score if score[o] > best - 1e-9]))
+
+
+def test_common_table_equals_dynamic_programming():
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("abc\u00e9\U0001f642") for _ in range(n))
+    left, right = [word(n) for n in (0, 1, 5, 30, 63, 64)], [word(n) for n in (0, 1, 7, 40, 120)]
+    assert common_table(left, right).tolist() == [[slow_lcs(a, b) for b in right] for a in left]
