@@ -228,10 +228,12 @@ def fuzzy_duplicate_groups(
     1. Equal values are collapsed.
     2. Candidates share one of their rarest grams. Within a key every value is
        first scored only against two leaders, a linear number of pairs.
-    3. Pairs that are already in one component need no score. Of the rest, a
-       key pairs the values outside its largest component with the others, if
-       length and place of the gram allow the similarity, so a key that most
-       values share is not squared.
+    3. Pairs that are already in one component need no score. Where a key still
+       holds several components, its values meet ``LEADERS`` more, again a
+       linear number, so most of what can be linked is.
+    4. Of the rest, a key pairs the values outside its largest component with
+       the others, if length and place of the gram allow the similarity, so a
+       key that most values share is not squared.
     """
     _check(df, cols, mode)
     t = threshold / 100.0
@@ -251,10 +253,11 @@ def fuzzy_duplicate_groups(
     edges = cut_lineage(_score_pairs(pairs, values, threshold), "edges")
     roots = cut_lineage(connected_components(edges).withColumnRenamed("node", "vid"), "roots")
 
-    pairs = _unlinked_pairs(keys, roots, t)
-    more = cut_lineage(_score_pairs(pairs, values, threshold), "edges")
-    if not more.isEmpty():
-        roots = cut_lineage(connected_components(edges.unionByName(more)).withColumnRenamed("node", "vid"), "roots")
+    for unlinked in (_unlinked_leaders, _unlinked_pairs):
+        more = cut_lineage(_score_pairs(unlinked(keys, roots, t), values, threshold), "edges")
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            roots = cut_lineage(connected_components(edges).withColumnRenamed("node", "vid"), "roots")
 
     grouped = values.join(roots, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
     sizes = grouped.groupBy("root").agg(F.sum("n").alias(GROUP_SIZE)).where(F.col(GROUP_SIZE) >= 2)
@@ -267,10 +270,29 @@ def fuzzy_duplicate_groups(
     )
 
 
+#: Values of a key, chosen by their hash, that its others meet before any pairs by the square are made.
+LEADERS = 8
+
+
+def _labelled(keys: DataFrame, roots: DataFrame) -> DataFrame:
+    return cut_lineage(keys.join(roots, "vid", "left").select("key", "vid", "len", "p", F.coalesce("root", "vid").alias("label")), "members")
+
+
+def _unlinked_leaders(keys: DataFrame, roots: DataFrame, t: float) -> DataFrame:
+    """(a, b) of a value and a leader of one of its keys in another component, if length and place allow the similarity."""
+    members = _labelled(keys, roots)
+    row = F.struct(*[F.col(c).alias(f"{c}_y") for c in ("vid", "len", "p", "label")])
+    chosen = [F.min_by(row, F.struct(F.xxhash64("vid", F.lit(i)), "vid", "p")) for i in range(LEADERS)]
+    mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array(*chosen).alias("leaders"), F.count(F.lit(1)).alias("held")).where("low < high")
+    led = join_group_rows(members, mixed.select("key", "leaders", "held"), "key", "held").where("leaders is not null")
+    met = led.select("vid", "len", "p", "label", F.explode(F.array_distinct("leaders")).alias("y")).select("vid", "len", "p", "label", "y.*").where("label <> label_y")
+    fits = similar_lengths(F.col("len"), F.col("len_y"), t) & similar_places(F.col("len"), F.col("len_y"), F.col("p"), F.col("p_y"), t)
+    return met.where(fits).selectExpr("least(vid, vid_y) a", "greatest(vid, vid_y) b").distinct()
+
+
 def _unlinked_pairs(keys: DataFrame, roots: DataFrame, t: float) -> DataFrame:
     """(a, b) of values with a common key and no common component whose lengths and places allow the similarity."""
-    label = F.coalesce("root", "vid").alias("label")
-    members = cut_lineage(keys.join(roots, "vid", "left").select("key", "vid", "len", "p", label), "members")
+    members = _labelled(keys, roots)
     sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     major = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("held"))
     placed = join_group_rows(members, major.where("labels > 1").drop("labels"), "key", "held").where("major is not null")

@@ -1,5 +1,6 @@
 """Record linkage against brute force on small invented names."""
 
+import hashlib
 import random
 import re
 import unicodedata
@@ -288,3 +289,15 @@ def test_common_table_equals_dynamic_programming():
     word = lambda n: "".join(rng.choice("abc\u00e9\U0001f642") for _ in range(n))
     left, right = [word(n) for n in (0, 1, 5, 30, 63, 64)], [word(n) for n in (0, 1, 7, 40, 120)]
     assert common_table(left, right).tolist() == [[slow_lcs(a, b) for b in right] for a in left]
+
+
+def test_sites_of_one_place_are_not_paired_by_the_square(spark, monkeypatch):
+    pairs = []
+    score = linkage._score_pairs
+    monkeypatch.setattr(linkage, "_score_pairs", lambda p, v, t: pairs.append(p.count()) or score(p, v, t))
+    sites = [(i, f"haiti {hashlib.md5(str(i).encode()).hexdigest()[:4]}") for i in range(3000)]
+    found = linkage.fuzzy_duplicate_groups(spark.createDataFrame(sites, "id long, site string"), ["site"], "id", threshold=85, mode="all").collect()
+    values = len({s for _, s in sites})
+    assert sum(pairs) < 200 * values
+    # three of four places in order are similar, and most codes hang together
+    assert max(r.duplicate_group_size for r in found) > 2000
