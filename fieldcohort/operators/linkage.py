@@ -376,7 +376,7 @@ def _best_of_all(todo: DataFrame, right: DataFrame, threshold: float) -> DataFra
     names, count = blocks(todo, "id", NAME_BLOCK, F.col("id"))
     others, _ = blocks(right, "o", TARGET_BLOCK, F.struct("best_match", "o"))
     dealt = names.select(F.col("rows").alias("names")).repartition(min(count, 1000))
-    met = dealt.crossJoin(F.broadcast(others.select(F.col("rows").alias("others"))))
+    met = dealt.crossJoin(cut_lineage(others.select(F.col("rows").alias("others")), "targets"))
     each = met.select(F.explode(best_of_blocks("names", "others")).alias("x")).select("x.*")
     best = each.groupBy("s").agg(F.min(F.struct((-F.col("score")).alias("m"), F.col("best_match").alias("b"))).alias("w"))
     score = -F.col("w.m")
