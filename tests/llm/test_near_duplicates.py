@@ -266,3 +266,36 @@ def test_lines_that_repeat_a_phrase_have_one_signature(spark):
     assert len(bands) == 6 and len({frozenset(b) for b in bands.values()}) == 3
     found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, rows)).select("row.doc_id", "clean").collect()}
     assert found == {i: text if i % 2 == 0 else "" for i, text in enumerate(r[1] for r in rows)}
+
+
+def _one_region(rows):
+    """All nodes in one region whose order divides nothing."""
+    nodes = rows.groupBy("node").agg(F.max("n").alias("n"))
+    return nodes.select(F.lit(1).cast("long").alias("region"), "node", "n", F.array(F.lit(1)).alias("ord"), F.lit(True).alias("first"))
+
+
+def test_lines_of_a_region_that_nothing_divides_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "crowded_regions", lambda rows: candidates.crowded_regions(_one_region(rows)))
+    rng = random.Random(14)
+    some = lambda count: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(count))
+    template = some(150)
+    lines = [template + some(30) for _ in range(100)]
+    lines += [line[:-5] + some(5) for line in lines[:40]]
+    wide = "".join(chr(0x1F600 + i % 70) for i in range(60))
+    lines += [wide, wide[:58] + "ab", wide[::-1], "ab" * 40, "ab" * 90]
+    rows = [(i, line, "", "", 1) for i, line in enumerate(lines)]
+    _, _, low = _line_groups(rows)
+    found = {r.doc_id: r.clean for r in line_dedup.keep_first_lines(documents(spark, rows)).select("row.doc_id", "clean").collect()}
+    assert found == {i: line if low[i] == i else "" for i, line in enumerate(lines)}
+
+
+def test_rare_pairs_are_whole_and_few(spark):
+    """Every pair with the similarity is met; members that share frequent elements only are not."""
+    rng = random.Random(15)
+    sets = [set(range(40)) | {1000 * i + k for k in range(100, 120)} for i in range(1, 401)]
+    sets += [set(rng.sample(sorted(s), len(s) - 6)) | {10**6 + 9 * i + k for k in range(rng.randrange(5))} for i, s in enumerate(sets[:50])]
+    table = spark.createDataFrame([(i, t) for i, s in enumerate(sets) for t in s], "node long, token long")
+    members = spark.range(len(sets)).select(F.lit(1).alias("region"), F.col("id").alias("node"), F.col("id").alias("label"))
+    found = {(r.a, r.b) for r in candidates.rare_pairs(members, lambda nodes: table.join(nodes, "node", "left_semi"), 80).collect()}
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert len(links) >= 30 and links <= found and len(found) <= 4 * len(sets)
