@@ -78,6 +78,15 @@ def _compare(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
+def _tokens(batches):
+    """(node, token): the hash of each distinct shingle."""
+    for batch in batches:
+        for low, high, texts in text_slices(batch.column("text")):
+            sets = list(shingle_sets(texts))
+            nodes = np.repeat(batch.column("uid")[low:high].to_numpy(zero_copy_only=False), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(sets).view(np.int64))], ["node", "token"])
+
+
 def forest(signed: DataFrame) -> DataFrame:
     """(region, node, n, tree, first): one row per tree and document."""
     tree = F.col("tree")
@@ -126,8 +135,10 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         full = pairs.join(texts.selectExpr("uid a", "text ta"), "a").join(texts.selectExpr("uid b", "text tb"), "b")
         return full.select("a", "b", "ta", "tb").mapInArrow(_compare, "a long, b long")
 
-    near_sizes = lambda a, b: 100 * F.least(a("n"), b("n")) >= SIMILARITY_PCT * F.greatest(a("n"), b("n"))
-    labels = link_rounds(members, verify, f"100 * least(n, m) >= {SIMILARITY_PCT} * greatest(n, m)", agree=near_sizes)
+    def sets(nodes: DataFrame) -> DataFrame:
+        return texts.join(small(nodes.selectExpr("node uid")), "uid", "left_semi").mapInArrow(_tokens, "node long, token long")
+
+    labels = link_rounds(members, verify, f"100 * least(n, m) >= {SIMILARITY_PCT} * greatest(n, m)", sets=sets, percent=SIMILARITY_PCT)
     release(members, wanted, texts)
     if labels is not None:
         classes_rooted = classes.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("root", "node").alias("root"))

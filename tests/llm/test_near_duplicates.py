@@ -274,6 +274,19 @@ def _one_region(rows):
     return nodes.select(F.lit(1).cast("long").alias("region"), "node", "n", F.array(F.lit(1)).alias("ord"), F.lit(True).alias("first"))
 
 
+def test_documents_of_a_region_that_nothing_divides_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "crowded_regions", lambda rows, deepen: candidates.crowded_regions(_one_region(rows)))
+    rng = random.Random(13)
+    template = prose(rng, 100)
+    texts = [f"{template} {prose(rng, 22)}" for _ in range(120)]
+    texts += [text.rsplit(" ", 2)[0] + " " + prose(rng, 2) for text in texts[:30]]
+    texts += [prose(rng, 3), prose(rng, 6)]
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(texts)]
+    _, low = _brute(rows)
+    found = {r.doc_id: r.component_id for r in lsh_forest.cluster(documents(spark, rows)).select("row.doc_id", "component_id").collect()}
+    assert found == dict(enumerate(low))
+
+
 def test_lines_of_a_region_that_nothing_divides_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "crowded_regions", lambda rows: candidates.crowded_regions(_one_region(rows)))
     rng = random.Random(14)
