@@ -312,3 +312,26 @@ def test_rare_pairs_are_whole_and_few(spark):
     found = {(r.a, r.b) for r in candidates.rare_pairs(members, lambda nodes: table.join(nodes, "node", "left_semi"), 80).collect()}
     links = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert len(links) >= 30 and links <= found and len(found) <= 4 * len(sets)
+
+
+def test_last_round_takes_only_regions_left_open(spark):
+    """A region whose members were all neighbours is done, a small one is compared pair by pair, a large one by its sets."""
+    rows = [(1, i) for i in range(9)] + [(2, 100 + i) for i in range(12)] + [(3, 200 + i) for i in range(40)]
+    members = spark.createDataFrame(rows, "region long, node long").selectExpr("region", "0L part", "array(1) ord", "node", "1 n", "false first", "node label")
+    asked = []
+
+    def sets(nodes):
+        asked.extend(r.node for r in nodes.collect())
+        return nodes.selectExpr("node", "explode(sequence(node div 2 * 10, node div 2 * 10 + 8)) token")
+
+    found = {(r.a, r.b) for r in candidates.open_pairs(members, sets, 80, 8, 16, "true").collect()}
+    assert sorted(asked) == list(range(200, 240))
+    assert {(a, b) for a, b in found if b < 200} == {(a, b) for b in range(100, 112) for a in range(100, b)}
+    assert {(a, b) for a, b in found if b >= 200} == {(a, a + 1) for a in range(200, 240, 2)}
+
+
+def test_turns_of_the_signature_share_no_band(spark):
+    rows = [(1, "one line of words that is long enough for all bins\nanother of the lines here", "", "", 1)]
+    lines = line_dedup._lines(line_dedup.numbered_rows(documents(spark, rows)), "text")
+    one, two = ({b for r in line_dedup.signatures(lines, turn).collect() for b in r.bands} for turn in (0, 1))
+    assert one and two and not one & two
