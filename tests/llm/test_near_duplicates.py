@@ -151,6 +151,12 @@ def _region(spark, count, order):
     return candidates.crowded_regions(rows)
 
 
+def test_line_signatures_place_shingles_in_whole_numbers(spark):
+    lines = line_dedup._lines(line_dedup.numbered_rows(documents(spark)), "text")
+    plan = line_dedup.signatures(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FLOOR" not in plan.upper()
+
+
 def test_all_members_of_a_leaf_meet(spark, monkeypatch):
     monkeypatch.setattr(candidates, "LEAF", 900)
     monkeypatch.setattr(candidates, "CROWD", 128)
