@@ -1,10 +1,12 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from fieldcohort import session
 from fieldcohort.llm import candidates, components, line_dedup, lsh_forest, tokens
 
 from .cases import corpus, documents, empty, groups, lower_words, prose, spoiled
@@ -341,3 +343,46 @@ def test_turns_of_the_signature_share_no_band(spark):
     lines = line_dedup._lines(line_dedup.numbered_rows(documents(spark, rows)), "text")
     one, two = ({b for r in line_dedup.signatures(lines, turn).collect() for b in r.bands} for turn in (0, 1))
     assert one and two and not one & two
+
+
+def test_shuffle_files_of_the_last_query_go_too(spark):
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    written = session.cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    own = files() - before
+    assert own
+    session.drop_shuffles(spark)
+    until = time.time() + 20
+    while own & files() and time.time() < until:
+        time.sleep(0.2)
+    assert not own & files()
+    session.release(written)
+
+
+def test_lines_drop_shuffles_between_their_large_steps(spark, monkeypatch):
+    steps = []
+    for module in (candidates, line_dedup):
+        cut, drop, free = module.cut_lineage, module.drop_shuffles, module.release
+
+        def cut_lineage(df, label="step", *rest, cut=cut):
+            steps.append(label)
+            return cut(df, label, *rest)
+
+        def drop_shuffles(spark, drop=drop):
+            steps.append("drop")
+            drop(spark)
+
+        def release(*frames, free=free):
+            steps.extend(f"-{f._scratch.rpartition('/')[2].partition('-')[0]}" for f in frames)
+            free(*frames)
+
+        for made in (cut_lineage, drop_shuffles, release):
+            monkeypatch.setattr(module, made.__name__, made)
+    rng = random.Random(23)
+    lines = [prose(rng, 12) for _ in range(20)]
+    rows = [(i, "\n".join([rng.choice(lines), spoiled(rng, rng.choice(lines), 0.04), prose(rng, 9)])) for i in range(60)]
+    assert line_dedup.keep_first_lines(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+    for label in ("held", "spots", "texts", "pairs", "verified", "gone"):
+        for at in [i for i, x in enumerate(steps) if x == label]:
+            assert next(x for x in steps[at + 1 :] if x[0] != "-") == "drop", (label, steps[at : at + 8])
+    assert {"-places", "-texts", "-marks"} <= set(steps)
