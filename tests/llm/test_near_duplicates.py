@@ -386,3 +386,15 @@ def test_lines_drop_shuffles_between_their_large_steps(spark, monkeypatch):
         for at in [i for i, x in enumerate(steps) if x == label]:
             assert next(x for x in steps[at + 1 :] if x[0] != "-") == "drop", (label, steps[at : at + 8])
     assert {"-places", "-texts", "-marks"} <= set(steps)
+
+
+def test_lines_are_brought_to_their_normal_form_once(spark):
+    texts = ["  Abcdefgh\t", "\r\tÉcole élémentaire \r", "short", "a b c d \t", "\U0001f600" * 8, "\U0001f600" * 7, "İstanbul", " \t\r", "", "x y\tz of\rsome words", None]
+    rows = spark.createDataFrame([(i, (t,)) for i, t in enumerate(["\n".join(t for t in texts if t is not None), *texts])], "uid long, row struct<text string>")
+    found = line_dedup._lines(rows, "text")
+    plain = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("lower(btrim(t, ' \\t\\r')) norm").where("length(norm) >= 8")
+    want = sorted(r.norm for r in plain.collect())
+    assert len(want) == 5
+    assert sorted(r.norm for r in found.collect()) == sorted(want * 2)
+    plan = found.select(line_dedup.line_id(F.col("norm")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 1
